@@ -1,0 +1,5 @@
+"""No streaming operators exist to be matched.
+
+The column functions and the stateless operators (filters, added columns, interval columns)
+take a streaming DataFrame as they are; ``tests/test_streaming.py`` shows it.
+"""
