@@ -14,6 +14,9 @@ from quarryline.operators.row_index import add_row_index
 # Longer value lists are joined instead of being spelled out in the plan.
 IN_LIST_LIMIT = 1_000
 
+# Joined lists up to this length are sent to every executor.
+BROADCAST_LIST_LIMIT = 1_000_000
+
 # A band this wide or narrower is read as two top-k queries around the reference row.
 TOP_K_LIMIT = 100_000
 
@@ -40,8 +43,10 @@ def filter_multiple_match(df: DataFrame, column: str, values) -> DataFrame:
     if len(values) <= IN_LIST_LIMIT:
         return df.where(quoted(column).isin(*[_typed(df, column, v) for v in values]))
     key_type = df.select(quoted(column)).schema[0].dataType
-    wanted = df.sparkSession.createDataFrame([(v,) for v in values], "wanted string")
-    wanted = wanted.select(F.col("wanted").cast(key_type)).distinct()
+    wanted = df.sparkSession.createDataFrame([(text,) for text in sorted({str(v) for v in values})], "wanted string")
+    wanted = wanted.select(F.col("wanted").cast(key_type))
+    if len(values) <= BROADCAST_LIST_LIMIT:
+        wanted = F.broadcast(wanted)
     return df.join(wanted, quoted(column) == F.col("wanted"), "left_semi")
 
 

@@ -7,14 +7,7 @@ from pyspark.sql import functions as F
 
 from quarryline.functions.dates import quoted
 from quarryline.functions.text import fill_empty
-from quarryline.operators.row_index import add_row_index
-
-# Groups with more rows than this are not handed to a single window task.
-MAX_GROUP_ROWS = 5_000_000
-
-# Rows per window task when a global order is cut into chunks.
-CHUNK_ROWS = 1_000_000
-
+from quarryline.operators.row_index import CHUNK_ROWS, MAX_GROUP_ROWS, add_row_index, largest_group
 
 def signed_offset(direction: str, deviation: int) -> int:
     """Rows to look back: positive moves values down, ``up`` looks ahead instead."""
@@ -40,11 +33,6 @@ def _fold(df: DataFrame, specs: list[dict], window, partition_by: list[str] | No
     return df
 
 
-def _largest_group(df: DataFrame, partition_by: list[str]) -> int:
-    sizes = df.groupBy(*[quoted(c) for c in partition_by]).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n").alias("m")).first().m or 0
-
-
 def add_shifted_columns(
     df: DataFrame,
     specs: list[dict],
@@ -61,7 +49,7 @@ def add_shifted_columns(
     first: when all fit a task this is one ordinary window, otherwise, and without groups, the
     rows are put in global order and cut into chunks of equal size (see ``_shift_in_chunks``).
     """
-    if partition_by and _largest_group(df, partition_by) <= max_group_rows:
+    if partition_by and largest_group(df, partition_by) <= max_group_rows:
         window = Window.partitionBy(*[quoted(c) for c in partition_by]).orderBy(
             *[quoted(c) for c in order_by]
         )
@@ -83,7 +71,7 @@ def _shift_in_chunks(
     ahead = sum(-o for o in offsets if o < 0)
     size = max(chunk_rows, back, ahead, 1)
     indexed = add_row_index(df, [*partition_by, *order_by], name="__idx")
-    home = F.floor(F.col("__idx") / size).cast("long")
+    home = F.expr(f"__idx div {size}")
     within = F.col("__idx") - home * size
     next_chunk = F.when(within >= size - back, home + 1)
     previous_chunk = F.when((within < ahead) & (home > 0), home - 1)

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarryline.operators.row_index import MAX_GROUP_ROWS
+
 
 def missing_keys(properties: Column | str, required: list[str]) -> Column:
     """The required keys a map column lacks, in the order they are required."""
@@ -31,14 +36,43 @@ def complete_rows(df: DataFrame, properties: Column | str, required: list[str])
     return df.where(F.size(missing_keys(properties, required)) == 0)
 
 
-def resolvable(df: DataFrame, catalogue: DataFrame, keys: list[str]) -> DataFrame:
+def _keep_by_keys(df: DataFrame, catalogue: DataFrame, keys: list[str], how: str, hot_rows: int) -> DataFrame:
+    """Semi or anti join on composite keys that no single key can slow down.
+
+    Rows with an incomplete key never match and take no part. The catalogue is reduced to
+    distinct keys first. Keys with more than ``hot_rows`` rows are
+    found by a pre-aggregated count; there are at most ``rows / hot_rows`` of them, so their part
+    of the join can be a broadcast. All other rows go through an ordinary join.
+    """
+    complete = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    wanted = catalogue.select(*keys).where(complete).distinct()
+    rows = df.where(complete)
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    hot = sizes.where(F.col("__n") > hot_rows).select(*keys).collect()
+    if hot:
+        hot_keys = df.sparkSession.createDataFrame(hot, df.select(*keys).schema)
+        known_hot = hot_keys.join(wanted, keys, "left_semi")
+        hot_rows_part = rows.join(F.broadcast(hot_keys), keys, "left_semi")
+        kept = hot_rows_part.join(F.broadcast(known_hot), keys, how).unionByName(
+            rows.join(F.broadcast(hot_keys), keys, "left_anti").join(wanted, keys, how)
+        )
+    else:
+        kept = rows.join(wanted, keys, how)
+    return kept if how == "left_semi" else kept.unionByName(df.where(~complete))
+
+
+def resolvable(
+    df: DataFrame, catalogue: DataFrame, keys: list[str], hot_rows: int = MAX_GROUP_ROWS
+) -> DataFrame:
     """Rows whose composite key exists in the catalogue."""
-    return df.join(catalogue.select(*keys).distinct(), keys, "left_semi")
+    return _keep_by_keys(df, catalogue, keys, "left_semi", hot_rows)
 
 
-def unresolvable(df: DataFrame, catalogue: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose composite key the catalogue does not know."""
-    return df.join(catalogue.select(*keys).distinct(), keys, "left_anti")
+def unresolvable(
+    df: DataFrame, catalogue: DataFrame, keys: list[str], hot_rows: int = MAX_GROUP_ROWS
+) -> DataFrame:
+    """Rows whose composite key the catalogue does not know; incomplete keys are unknown."""
+    return _keep_by_keys(df, catalogue, keys, "left_anti", hot_rows)
 
 
 def non_empty_list(items: Column | str) -> Column:

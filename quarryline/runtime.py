@@ -129,6 +129,12 @@ def remove_output(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def move_file(spark: SparkSession, source: str, target: str) -> None:
+    fs, source_path = _hadoop(spark, source)
+    if not fs.rename(source_path, _hadoop(spark, target)[1]):
+        raise OSError(f"could not move {source} to {target}")
+
+
 def mark_complete(spark: SparkSession, path: str) -> None:
     """Put the success marker into an output folder."""
     fs, marker = _hadoop(spark, f"{path}/_SUCCESS")
@@ -147,3 +153,8 @@ def java_class_exists(spark: SparkSession, name: str) -> bool:
     except Py4JJavaError:
         return False
     return True
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what this library left in the shared scratch folder; call it when results are stored."""
+    remove_output(spark, f"{scratch_root(spark).rstrip('/')}/quarryline")

@@ -55,8 +55,12 @@ def _with_provenance(df: DataFrame) -> DataFrame:
     return df.withColumn(SOURCE_FILE_COLUMN, F.col("_metadata.file_name"))
 
 
-def _csv_headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
-    """Header line -> files that start with it. Each task reads the head of its files only."""
+def _csv_groups(spark: SparkSession, paths: list[str]) -> list[list[str]]:
+    """The paths split by header line; as given when all files share one.
+
+    Each task reads the head of its files only, and file names are brought to the driver, where
+    Spark's own file listing is kept, only when headers differ.
+    """
 
     def heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
@@ -77,11 +81,13 @@ def _csv_headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
 
     ship_package(spark)
     listed = spark.read.format("binaryFile").load(paths).select("path")
-    rows = listed.mapInPandas(heads, "path string, header string").collect()
+    found = listed.mapInPandas(heads, "path string, header string").where("header <> ''")
+    if found.select("header").distinct().count() <= 1:
+        return [paths]
     groups: dict[str, list[str]] = {}
-    for row in sorted(rows):
+    for row in sorted(found.collect()):
         groups.setdefault(row.header, []).append(row.path)
-    return groups
+    return list(groups.values())
 
 
 def _load_csv(spark: SparkSession, paths: list[str], spec: Mapping) -> DataFrame:
@@ -90,9 +96,7 @@ def _load_csv(spark: SparkSession, paths: list[str], spec: Mapping) -> DataFrame
     if spec.get("schema") is not None:
         return _with_provenance(reader.schema(spec["schema"]).csv(paths))
     reader = reader.option("inferSchema", True).option("preferDate", True)
-    groups = _csv_headers(spark, paths)
-    filled = [group for header, group in groups.items() if header] or list(groups.values())
-    return union_tables([_with_provenance(reader.csv(group)) for group in filled])
+    return union_tables([_with_provenance(reader.csv(group)) for group in _csv_groups(spark, paths)])
 
 
 def _json_layout(spark: SparkSession, paths: list[str], spec: Mapping) -> str:

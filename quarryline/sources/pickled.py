@@ -1,4 +1,4 @@
-"""Pickle files: record batches pickled by the tasks into sequence files.
+"""Pickle files: record batches pickled by the tasks into Spark pickle files.
 
 Unpickling runs code, so only files this library wrote should be read.
 """
@@ -23,10 +23,7 @@ from quarryline.operators.columns import union_tables
 from quarryline.runtime import expand_glob, list_folder, mark_complete, read_head, ship_package
 from quarryline.sources.formats import SOURCE_FILE_COLUMN
 
-# Hadoop classes of the container.
-_NULL = "org.apache.hadoop.io.NullWritable"
-_BYTES = "org.apache.hadoop.io.BytesWritable"
-_FILE = "org.apache.hadoop.mapred.SequenceFileOutputFormat"
+_SCHEMA_FOLDER = "_schema"
 
 
 def _zip(blob: bytes) -> bytes:
@@ -57,9 +54,6 @@ def _decompressed(blob: bytes) -> bytes:
     return blob
 
 
-_SCHEMA_FOLDER = "_schema"
-
-
 def write_pickled(df: DataFrame, path: str, codec: str) -> None:
     """Write each Arrow batch as one pickled, compressed list of dictionaries.
 
@@ -73,8 +67,8 @@ def write_pickled(df: DataFrame, path: str, codec: str) -> None:
             yield pa.RecordBatch.from_arrays([pa.array([blob], pa.binary())], ["blob"])
 
     ship_package(df.sparkSession)
-    packed = df.mapInArrow(pack, "blob binary").rdd.map(lambda row: (None, bytearray(row.blob)))
-    packed.saveAsHadoopFile(f"{path}/data", _FILE, keyClass=_NULL, valueClass=_BYTES)
+    packed = df.mapInArrow(pack, "blob binary").rdd.map(lambda row: bytes(row.blob))
+    packed.saveAsPickleFile(f"{path}/data", batchSize=1)
     spark = df.sparkSession
     schema = spark.createDataFrame([(df.schema.json(),)], "value string").coalesce(1)
     schema.write.mode("overwrite").text(f"{path}/{_SCHEMA_FOLDER}")
@@ -101,7 +95,7 @@ def _read_folder(spark: SparkSession, folder: str) -> DataFrame:
                 yield pa.RecordBatch.from_pylist(rows, schema=arrow_schema)
 
     ship_package(spark)
-    blobs = spark.sparkContext.sequenceFile(f"{folder}/data", _NULL, _BYTES).map(lambda kv: (bytes(kv[1]),))
+    blobs = spark.sparkContext.pickleFile(f"{folder}/data").map(lambda blob: (blob,))
     frame = spark.createDataFrame(blobs, "blob binary").mapInArrow(unpack, schema)
     return frame.withColumn(SOURCE_FILE_COLUMN, F.lit(folder.rstrip("/").rsplit("/", 1)[-1]))
 

@@ -1,7 +1,7 @@
 """Excel 2013+ workbooks as a partitioned source and sink.
 
-Reading: one task per workbook over the ``binaryFile`` source. Writing: a Python data source whose
-tasks write workbooks of at most ``MAX_SHEET_ROWS`` rows each and whose commit publishes them.
+Reading: one task per workbook over the ``binaryFile`` source. Writing: every task writes workbooks of
+at most ``MAX_SHEET_ROWS`` rows each, and the driver publishes those of accepted attempts.
 """
 
 from __future__ import annotations
@@ -20,7 +20,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 from pyspark.sql.types import (
     BooleanType,
     DoubleType,
@@ -30,7 +29,7 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
-from quarryline.runtime import ship_package
+from quarryline.runtime import mark_complete, move_file, remove_output, ship_package
 from quarryline.sources.formats import SOURCE_FILE_COLUMN
 
 # Fixed values of the file format: rows a sheet can hold (with its header), day zero of its
@@ -307,82 +306,46 @@ class _OpenWorkbook:
         self._archive.close()
 
 
-class _Written(WriterCommitMessage):
-    def __init__(self, files: list[tuple[str, str]]):
-        self.files = files
-
+def write_workbooks(df: DataFrame, path: str, max_rows: int = MAX_SHEET_ROWS) -> None:
+    """Write a folder of workbooks, one or more per partition.
 
-class _WorkbookWriter(DataSourceArrowWriter):
-    def __init__(self, path: str, names: list[str], max_rows: int):
-        self.path, self.names, self.max_rows = path, names, max_rows
-        self.job = uuid.uuid4().hex
+    Every task attempt writes below a folder of its own and reports its files. The reports that
+    reach the driver are those of the attempts Spark accepted; only their files are published.
+    """
+    if not 2 <= max_rows <= MAX_SHEET_ROWS:
+        raise ValueError(f"a sheet holds 2 to {MAX_SHEET_ROWS} rows, header included")
+    spark, names = df.sparkSession, df.columns
+    pending_root = f"{path}/_temporary-{uuid.uuid4().hex}"
 
-    def write(self, iterator: Iterator[pa.RecordBatch]) -> _Written:
-        """Write under a name of this attempt alone; only committed attempts are published."""
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
         from pyspark import TaskContext
 
         context = TaskContext.get()
-        filesystem, root = fs.FileSystem.from_uri(self.path)
-        pending = f"{root}/_temporary-{self.job}/{context.taskAttemptId()}"
-        filesystem.create_dir(pending, recursive=True)
+        filesystem, root = fs.FileSystem.from_uri(pending_root)
+        attempt = f"attempt-{context.taskAttemptId()}"
+        filesystem.create_dir(f"{root}/{attempt}", recursive=True)
         files, book, stream = [], None, None
-        for batch in iterator:
+        for batch in batches:
             for row in zip(*[column.to_pylist() for column in batch.columns]):
-                if book is not None and book.rows >= self.max_rows:
+                if book is not None and book.rows >= max_rows:
                     book.close()
                     stream.close()
                     book = None
                 if book is None:
-                    name = f"part-{context.partitionId():05d}-{len(files):05d}.xlsx"
-                    files.append((f"{pending}/{name}", f"{root}/{name}"))
-                    stream = filesystem.open_output_stream(files[-1][0])
-                    book = _OpenWorkbook(stream, self.names)
+                    files.append(f"part-{context.partitionId():05d}-{len(files):05d}.xlsx")
+                    stream = filesystem.open_output_stream(f"{root}/{attempt}/{files[-1]}")
+                    book = _OpenWorkbook(stream, names)
                 book.add(list(row))
         if book is not None:
             book.close()
             stream.close()
-        return _Written(files)
-
-    def commit(self, messages: list[_Written | None]) -> None:
-        from pyarrow import fs
-
-        filesystem, root = fs.FileSystem.from_uri(self.path)
-        for message in messages:
-            for pending, final in message.files if message else []:
-                filesystem.move(pending, final)
-        self._discard()
-        with filesystem.open_output_stream(f"{root}/_SUCCESS"):
-            pass
-
-    def abort(self, messages: list[_Written | None]) -> None:
-        self._discard()
-
-    def _discard(self) -> None:
-        from pyarrow import fs
+        yield pa.RecordBatch.from_pydict({"attempt": [attempt] * len(files), "file": files})
 
-        filesystem, root = fs.FileSystem.from_uri(self.path)
-        pending = f"{root}/_temporary-{self.job}"
-        if filesystem.get_file_info(pending).type == fs.FileType.Directory:
-            filesystem.delete_dir(pending)
-
-
-class WorkbookDataSource(DataSource):
-    """``df.write.format("quarryline_workbook")``; the target folder must not exist before."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "quarryline_workbook"
-
-    def writer(self, schema: StructType, overwrite: bool) -> _WorkbookWriter:
-        max_rows = int(self.options.get("maxrows", MAX_SHEET_ROWS))
-        if not 2 <= max_rows <= MAX_SHEET_ROWS:
-            raise ValueError(f"a sheet holds 2 to {MAX_SHEET_ROWS} rows, header included")
-        return _WorkbookWriter(self.options["path"], schema.names, max_rows)
-
-
-def write_workbooks(df: DataFrame, path: str, max_rows: int = MAX_SHEET_ROWS) -> None:
-    """Write a folder of workbooks, one or more per partition."""
-    ship_package(df.sparkSession)
-    df.sparkSession.dataSource.register(WorkbookDataSource)
-    df.write.format("quarryline_workbook").option("maxrows", max_rows).mode("append").save(path)
+    ship_package(spark)
+    try:
+        for row in df.mapInArrow(write, "attempt string, file string").collect():
+            move_file(spark, f"{pending_root}/{row.attempt}/{row.file}", f"{path}/{row.file}")
+    finally:
+        remove_output(spark, pending_root)
+    mark_complete(spark, path)

@@ -166,6 +166,17 @@ def unresolvable(spark, sf_dir):
     return validation.unresolvable(orders, _catalogue(spark, sf_dir), ["o_custkey"])
 
 
+@query(
+    "F9_resolvable_hot_keys",
+    "SELECT event_id, event_type FROM events WHERE event_type IN (SELECT event_type FROM events WHERE value > 400)",
+)
+def resolvable_hot_keys(spark, sf_dir):
+    """Five keys, each with a large share of the rows: the path that splits off hot keys."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    catalogue = table(spark, sf_dir, "events").where("value > 400").select("event_type")
+    return validation.resolvable(events, catalogue, ["event_type"], hot_rows=1_000)
+
+
 @query(
     "F10_non_empty_list",
     "SELECT p_partkey, len(list_filter(string_split(p_name, ' '), lambda w: length(w) > 5)) > 0 AS ok FROM part",
@@ -338,6 +349,18 @@ def row_index_by_group(spark, sf_dir):
     return add_row_index(orders, ["o_orderkey"], partition_by=["o_custkey"]).select("o_orderkey", "row_idx")
 
 
+@query(
+    "W4_row_index_hot_groups",
+    "SELECT event_id, row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1 AS row_idx FROM events",
+)
+def row_index_hot_groups(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    indexed = add_row_index(
+        events, ["event_id"], partition_by=["event_type"], max_group_rows=1_000, chunk_rows=1_000
+    )
+    return indexed.select("event_id", "row_idx")
+
+
 # --------------------------------------------------------------------------- union
 
 
