@@ -13,7 +13,7 @@ from quarryline.functions.checksums import all_checksums
 from quarryline.functions.dates import quoted
 from quarryline.functions.text import base_name
 from quarryline.operators.columns import union_tables
-from quarryline.runtime import expand_glob, qualified, read_head, ship_package
+from quarryline.runtime import empty_files, expand_glob, read_head, ship_package
 from quarryline.sources.formats import SOURCE_FILE_COLUMN, field_delimiter, file_format, worksheet
 from quarryline.sources.pickled import read_pickled
 from quarryline.sources.workbook import read_workbooks
@@ -31,14 +31,30 @@ def build_file_list(spark: SparkSession, pattern: str) -> list[str]:
     return [entry.path for entry in expand_glob(spark, pattern)]
 
 
+def _file_table(
+    spark: SparkSession, paths: str | list[str], pattern: str | None, recursive: bool
+) -> DataFrame:
+    """Files with their content as a lazy column; files without content included."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
+    if pattern is not None:
+        reader = reader.option("pathGlobFilter", pattern)
+    files = reader.load(paths)
+    folders = [paths] if isinstance(paths, str) else paths
+    empty = [row for folder in folders for row in empty_files(spark, folder, pattern, recursive)]
+    if not empty:
+        return files
+    blank = spark.createDataFrame(empty, "path string, changed long").select(
+        "path",
+        F.timestamp_millis("changed").alias("modificationTime"),
+        F.lit(0).cast("long").alias("length"),
+        F.lit("").cast("binary").alias("content"),
+    )
+    return files.unionByName(blank)
+
+
 def list_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
     """Files of a folder as a table: path, modificationTime, length. Contents are not read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
-        .load(folder)
-        .select("path", "modificationTime", "length")
-    )
+    return _file_table(spark, folder, pattern, False).select("path", "modificationTime", "length")
 
 
 def read_text_document(spark: SparkSession, path: str) -> DataFrame:
@@ -240,10 +256,7 @@ def file_statistics(
     Without checksums the contents are not read. The length filters are pushed to the file
     source, so a file over the limit is never loaded as one value.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    if pattern is not None:
-        reader = reader.option("pathGlobFilter", pattern)
-    files = reader.load(paths)
+    files = _file_table(spark, paths, pattern, True)
     facts = [
         F.col("path"),
         base_name("path").alias("file name"),
@@ -272,8 +285,3 @@ def stale_file_report(
     limit = barrier(moment_literal(as_of), expression)
     return add_age_verdict(files.withColumn("barrier", limit), "modificationTime", F.col("barrier"))
 
-
-__all__ = [
-    "build_file_list", "file_statistics", "ingest", "list_files", "load", "qualified",
-    "read_json_document", "read_text_document", "stale_file_report",
-]
