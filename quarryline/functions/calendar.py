@@ -233,22 +233,27 @@ def render_text(
     so one token being the prefix of another does no harm.
     """
     text, ts = _as_column(text), _as_column(ts)
-    token = F.lit(TOKEN_PATTERN)
-    aliases = F.regexp_extract_all(text, token, 1)
-    offsets = F.regexp_extract_all(text, token, 2)
+    aliases = F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), 1)
+    offsets = F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), 2)
 
-    def value(alias: Column, offset_text: Column) -> Column:
+    def moved(alias: Column, offset_text: Column) -> Column:
         offset = F.coalesce(F.nullif(offset_text, F.lit("")).cast("int"), F.lit(0))
-        branches = F.lit(None).cast("string")
-        for period, pair in reversed(ALIASES.items()):
-            moved = shift_period(ts, period, offset, month_end)
-            branches = F.when(alias.isin(*pair), format_period(moved, period, week_start)).otherwise(branches)
-        return F.coalesce(
-            branches,
-            F.raise_error(F.concat(F.lit("unknown calculated date alias: "), alias)).cast("string"),
-        )
-
-    values = F.zip_with(aliases, offsets, value)
+        shifted = ts
+        for unit, size in set(OFFSET_UNITS.values()):
+            periods = [p for p in ALIASES if offset_unit(p) == (unit, size)]
+            named = [name for p in periods for name in ALIASES[p]]
+            shifted = F.when(alias.isin(*named), shift_period(ts, periods[0], offset, month_end)).otherwise(shifted)
+        return F.struct(alias.alias("alias"), shifted.alias("moment"))
+
+    def value(token: Column) -> Column:
+        unknown = F.concat(F.lit("unknown calculated date alias: "), token["alias"])
+        shown = F.raise_error(unknown).cast("string")
+        for period, pair in ALIASES.items():
+            printed = format_period(token["moment"], period, week_start)
+            shown = F.when(token["alias"].isin(*pair), printed).otherwise(shown)
+        return shown
+
+    values = F.transform(F.zip_with(aliases, offsets, moved), value)
     pieces = F.split(text, TOKEN_PATTERN, -1)
     rendered = F.zip_with(pieces, values, lambda piece, v: F.concat(piece, F.coalesce(v, F.lit(""))))
     return F.when(F.size(aliases) == 0, text).otherwise(F.array_join(rendered, ""))

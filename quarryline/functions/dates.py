@@ -53,6 +53,26 @@ def spark_pattern(strftime_format: str) -> str:
     return "".join(pieces)
 
 
+def print_datetime(moment: Column, strftime_format: str) -> Column:
+    """Text of a datetime; ISO year, week and weekday are fields of their own in Spark."""
+    iso_fields = {
+        "%G": F.extract(F.lit("YEAROFWEEK"), moment).cast("string"),
+        "%V": F.lpad(F.weekofyear(moment).cast("string"), 2, "0"),
+        "%u": F.extract(F.lit("DAYOFWEEK_ISO"), moment).cast("string"),
+    }
+    fields, plain = [], ""
+    for part in [*re.findall(r"%.|[^%]+", strftime_format), None]:
+        if part is not None and part not in iso_fields:
+            plain += part
+            continue
+        if plain:
+            fields.append(F.date_format(moment, spark_pattern(plain)))
+            plain = ""
+        if part is not None:
+            fields.append(iso_fields[part])
+    return fields[0] if len(fields) == 1 else F.concat(*fields)
+
+
 def add_days_within(
     df: DataFrame, start: str = "Start Date", end: str = "End Date", name: str = "Days Within"
 ) -> DataFrame:
@@ -90,8 +110,7 @@ def add_weekday_columns(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def datetime_to_string(df: DataFrame, columns: list[str], strftime_format: str) -> DataFrame:
     """Print several datetime columns in place."""
-    pattern = spark_pattern(strftime_format)
-    return df.withColumns({c: F.date_format(quoted(c), pattern) for c in columns})
+    return df.withColumns({c: print_datetime(quoted(c), strftime_format) for c in columns})
 
 
 def string_to_datetime(

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 URL_PATTERN = r"(?U)^https?://(?:www)?(?:[\w-]{2,255}(?:\.\w{2,66}){1,2})"
 
 
-# Fixed value: one blank character, Unicode blanks and the separators 1C-1F included.
-BLANK = r"[\p{IsWhite_Space}\x1c-\x1f]"
+# The characters that count as blank, as ranges of a pattern and one by one.
+BLANK = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 
 def _column(value: Column | str) -> Column:
@@ -23,7 +24,7 @@ def single_line(text: Column | str) -> Column:
     """Fold a multi-line text into one line with single spaces."""
     flat = F.translate(_column(text), "\r\n", "  ")
     folded = F.replace(F.regexp_replace(flat, BLANK + "{2,100}", " "), F.lit(" , "), F.lit(", "))
-    return F.regexp_replace(folded, f"^{BLANK}+|{BLANK}+$", "")
+    return F.btrim(folded, F.lit(BLANKS))
 
 
 def pad_zeros(text: Column | str, digits: int) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarryline.functions.dates import quoted
-from quarryline.runtime import scratch_path
+from quarryline.runtime import scratch_path, shuffle_width
 
 # Layout of monotonically_increasing_id(): partition number above, row number below this bit.
 _ROW_BITS = 33
@@ -29,7 +29,7 @@ def _ordered_table(df: DataFrame, order_by: list[str], partitions: int | None) -
     """
     spark = df.sparkSession
     keys = [quoted(name) for name in order_by]
-    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+    ranged = df.repartitionByRange(partitions or shuffle_width(df), *keys)
     placed = ranged.sortWithinPartitions(*keys).withColumn("__place", F.monotonically_increasing_id())
     path = scratch_path(spark, "ordered")
     placed.write.parquet(path)

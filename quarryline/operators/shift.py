@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quarryline.functions.dates import quoted
 from quarryline.functions.text import fill_empty
 from quarryline.operators.row_index import CHUNK_ROWS, MAX_GROUP_ROWS, add_row_index, largest_group
+from quarryline.runtime import shuffle_width
 
 def signed_offset(direction: str, deviation: int) -> int:
     """Rows to look back: positive moves values down, ``up`` looks ahead instead."""
@@ -77,6 +78,7 @@ def _shift_in_chunks(
     previous_chunk = F.when((within < ahead) & (home > 0), home - 1)
     chunks = F.array_compact(F.array(home, next_chunk, previous_chunk))
     copied = indexed.withColumn("__home", home).withColumn("__chunk", F.explode(chunks))
+    copied = copied.repartition(shuffle_width(df), "__chunk")
     window = Window.partitionBy("__chunk").orderBy("__idx")
     shifted = _fold(copied, specs, window, partition_by)
     return shifted.where(F.col("__chunk") == F.col("__home")).drop("__idx", "__home", "__chunk")

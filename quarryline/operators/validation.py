@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarryline.operators.row_index import MAX_GROUP_ROWS
+from quarryline.runtime import broadcast_is_certain
 
 
 def missing_keys(properties: Column | str, required: list[str]) -> Column:
@@ -40,15 +41,18 @@ def _keep_by_keys(df: DataFrame, catalogue: DataFrame, keys: list[str], how: str
     """Semi or anti join on composite keys that no single key can slow down.
 
     Rows with an incomplete key never match and take no part. The catalogue is reduced to
-    distinct keys first. Keys with more than ``hot_rows`` rows are
-    found by a pre-aggregated count; there are at most ``rows / hot_rows`` of them, so their part
-    of the join can be a broadcast. All other rows go through an ordinary join.
+    distinct keys first; when Spark's own limit lets it be broadcast, no row of the table moves.
+    Otherwise keys with more than ``hot_rows`` rows are found by a pre-aggregated count. There are
+    at most ``rows / hot_rows`` of them, so their part of the join can be a broadcast, and all
+    other rows go through an ordinary join.
     """
     complete = reduce(and_, [F.col(k).isNotNull() for k in keys])
     wanted = catalogue.select(*keys).where(complete).distinct()
     rows = df.where(complete)
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    hot = sizes.where(F.col("__n") > hot_rows).select(*keys).collect()
+    hot = []
+    if not broadcast_is_certain(wanted):
+        sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+        hot = sizes.where(F.col("__n") > hot_rows).select(*keys).collect()
     if hot:
         hot_keys = df.sparkSession.createDataFrame(hot, df.select(*keys).schema)
         known_hot = hot_keys.join(wanted, keys, "left_semi")

@@ -76,7 +76,8 @@ def _run_session(
     connection = None if kind == SPARK_TABLES else resolve_connection(work.sequence, systems, credentials)
     result = query_scan(spark, fill_template(template, parameters), connection, work.resolve("parallel-scan"))
     result = add_columns(result, work.resolve("additional-columns", []), as_of)
-    written = save_all(result, targets)
+    # A database is asked once, whatever the number of outputs.
+    written = save_all(result, targets, stage=True if connection else None)
     if not written:
         return Outcome(*place, "empty")
     return Outcome(*place, "extracted", written)

@@ -11,7 +11,7 @@ from pathlib import Path
 from zoneinfo import ZoneInfo
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -56,6 +56,31 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+# Bytes of input one shuffle partition should stand for, and how many partitions are sensible.
+SHUFFLE_PARTITION_BYTES = 512 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 32_768
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Size of a plan's result as Catalyst estimates it; nothing when it cannot tell."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size if size < 1 << 60 else None
+
+
+def shuffle_width(df: DataFrame) -> int:
+    """Partitions for a shuffle of all rows: the session's setting, or more when the data asks for it."""
+    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = (estimated_bytes(df) or 0) // SHUFFLE_PARTITION_BYTES
+    return max(configured, min(wanted, MAX_SHUFFLE_PARTITIONS))
+
+
+def broadcast_is_certain(df: DataFrame) -> bool:
+    """Whether Spark will broadcast this side of a join on its own, by its own size limit."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = estimated_bytes(df)
+    return size is not None and size <= limit
+
+
 @dataclass(frozen=True)
 class FileEntry:
     """A file or folder; ``modified`` is wall time in the session time zone."""

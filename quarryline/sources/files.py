@@ -23,6 +23,15 @@ WHOLE_FILE_LIMIT = 256 * 1024 * 1024
 
 _STREAM_BLOCK = 8 * 1024 * 1024
 
+# Texts that stand for a missing value in a CSV file, besides an empty field.
+MISSING_TEXTS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
+WHOLE_NUMBER = r"^\s*[+-]?\d+\s*$"
+NUMBER = r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
+
 JSON_LAYOUTS = ("auto", "lines", "records", "columns")
 
 
@@ -106,13 +115,54 @@ def _csv_groups(spark: SparkSession, paths: list[str]) -> list[list[str]]:
     return list(groups.values())
 
 
+def _has_multi_line_fields(spark: SparkSession, paths: list[str], spec: Mapping) -> bool:
+    """Whether a quoted field goes over a line end: then a line has an odd number of quotes.
+
+    Only files without such fields can be split between tasks, so it pays to find out. ``multi
+    line`` in the specification answers the question without a scan.
+    """
+    told = spec.get("multi line")
+    if told is not None:
+        return bool(told)
+    odd = F.regexp_count("value", F.lit('"')) % 2 == 1
+    return not spark.read.text(paths).where(odd).isEmpty()
+
+
+def _inferred(frame: DataFrame, names: list[str]) -> DataFrame:
+    """Text columns as whole numbers, numbers or booleans when every value allows it.
+
+    One aggregation over the table decides for all columns; texts for missing values become null.
+    """
+    texts = {n: F.when(~quoted(n).isin(*MISSING_TEXTS), quoted(n)) for n in names}
+    frame = frame.withColumns(texts)
+
+    def every(test) -> list:
+        verdicts = [F.when(quoted(n).isNull(), True).otherwise(test(quoted(n))) for n in names]
+        return [F.bool_and(verdict).alias(f"c{i}") for i, verdict in enumerate(verdicts)]
+
+    kinds = {
+        "bigint": lambda c: c.rlike(WHOLE_NUMBER) & c.try_cast("bigint").isNotNull(),
+        "double": lambda c: c.rlike(NUMBER),
+        "boolean": lambda c: F.lower(c).isin("true", "false"),
+    }
+    facts = frame.agg(*[F.struct(*every(test)).alias(kind) for kind, test in kinds.items()]).first()
+    chosen = {}
+    for i, name in enumerate(names):
+        kind = next((k for k in kinds if facts[k][f"c{i}"]), None)
+        if kind is not None:
+            chosen[name] = F.trim(quoted(name)).cast(kind)
+    return frame.withColumns(chosen) if chosen else frame
+
+
 def _load_csv(spark: SparkSession, paths: list[str], spec: Mapping) -> DataFrame:
     """One multi-file scan per distinct header, joined by column name."""
-    reader = spark.read.option("header", True).option("sep", field_delimiter(spec))
+    reader = spark.read.options(
+        header=True, sep=field_delimiter(spec), escape='"', multiLine=_has_multi_line_fields(spark, paths, spec)
+    )
     if spec.get("schema") is not None:
         return _with_provenance(reader.schema(spec["schema"]).csv(paths))
-    reader = reader.option("inferSchema", True).option("preferDate", True)
-    return union_tables([_with_provenance(reader.csv(group)) for group in _csv_groups(spark, paths)])
+    united = union_tables([_with_provenance(reader.csv(group)) for group in _csv_groups(spark, paths)])
+    return _inferred(united, [c for c in united.columns if c != SOURCE_FILE_COLUMN])
 
 
 def _json_layout(spark: SparkSession, paths: list[str], spec: Mapping) -> str:
@@ -210,8 +260,8 @@ def load(spark: SparkSession, spec: Mapping) -> DataFrame:
 
 
 def ingest(spark: SparkSession, pattern: str, spec: Mapping) -> DataFrame:
-    """Glob, load by format, union with provenance."""
-    return load(spark, {**spec, "file list": build_file_list(spark, pattern)})
+    """All files matching a glob, loaded by format and united with provenance."""
+    return load(spark, {**spec, "file list": [pattern]})
 
 
 def _stream_checksums(files: DataFrame) -> DataFrame:

@@ -18,6 +18,9 @@ from quarryline.sources.workbook import MAX_SHEET_ROWS, write_workbooks
 # Fixed value: the class Parquet loads to write brotli; it comes in a jar of its own.
 BROTLI_CLASS = "org.apache.hadoop.io.compress.BrotliCodec"
 
+# How timestamps are written as text, to the microsecond.
+TIMESTAMP_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
 MODES = ("error", "ignore", "overwrite")
 
 
@@ -34,9 +37,11 @@ def save(df: DataFrame, spec: Mapping, mode: str = "overwrite") -> None:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
     path = qualified(df.sparkSession, spec["name"])
     if chosen in ("csv", "json", "parquet"):
-        writer = df.write.mode(mode).option("compression", packed)
+        writer = df.write.mode(mode).options(
+            compression=packed, timestampFormat=TIMESTAMP_TEXT, timestampNTZFormat=TIMESTAMP_TEXT
+        )
         if chosen == "csv":
-            writer.option("header", True).option("sep", field_delimiter(spec)).csv(path)
+            writer.options(header=True, sep=field_delimiter(spec), escape='"').csv(path)
         elif chosen == "json":
             writer.option("ignoreNullFields", False).json(path)
         else:
@@ -72,14 +77,17 @@ class Written:
     error: str | None = None
 
 
-def save_all(df: DataFrame, specs: Mapping | list[Mapping], mode: str = "overwrite") -> list[Written]:
+def save_all(
+    df: DataFrame, specs: Mapping | list[Mapping], mode: str = "overwrite", stage: bool | None = None
+) -> list[Written]:
     """Write one result to every target; nothing is written when it has no rows.
 
-    A single target is written straight from the query after a one-row probe. For more targets
-    the result is staged once. A target that fails does not keep the others from being written.
+    The result is staged once when there are several targets, or when asked for because the query
+    must not run twice; otherwise it is written straight from the query after a one-row probe. A
+    target that fails does not keep the others from being written.
     """
     specs = [specs] if isinstance(specs, Mapping) else list(specs)
-    source = staged(df) if len(specs) > 1 else df
+    source = staged(df) if (len(specs) > 1 if stage is None else stage) else df
     if source.isEmpty():
         return []
     outcome = []

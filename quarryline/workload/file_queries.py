@@ -50,22 +50,27 @@ def _register_round_trip(name: str, source, sql: str, **spec) -> None:
 
 _SCHEMA = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz"
 
+_CUSTOMER_SCHEMA = "c_custkey bigint, c_name string, c_nationkey bigint, c_acctbal double"
+
 _register_round_trip("K1_csv_sink", _orders, _ORDERS_SQL, format="csv", **{"field delimiter": "|"}, schema=_SCHEMA)
-_register_round_trip("S5_csv_source_inferred", _orders, _ORDERS_SQL, format="CSV", **{"field-delimiter": ";"})
 _register_round_trip("K1_csv_sink_gzip", _orders, _ORDERS_SQL, format="csv", compression="gzip", schema=_SCHEMA)
-_register_round_trip("K2_S6_excel", _customers, _CUSTOMER_SQL, format="excel", ending=".xlsx")
+_register_round_trip("K2_excel_sink", _customers, _CUSTOMER_SQL, format="excel", schema=_CUSTOMER_SCHEMA, ending=".xlsx")
 _register_round_trip("K3_json_sink", _orders, _ORDERS_SQL, format="json", schema=_SCHEMA)
+_register_round_trip("K4_parquet_sink_snappy", _orders, _ORDERS_SQL, format="parquet", compression="snappy")
+_register_round_trip("K4_parquet_sink_gzip", _orders, _ORDERS_SQL, format="parquet", compression="gzip")
+_register_round_trip("K4_parquet_sink_uncompressed", _orders, _ORDERS_SQL, format="parquet", compression="none")
+_register_round_trip("K5_pickle_sink", _orders, _ORDERS_SQL, format="pickle", compression="gzip")
+_register_round_trip("K5_pickle_sink_bz2", _customers, _CUSTOMER_SQL, format="pickle", compression="bz2")
+_register_round_trip("K5_pickle_sink_zip", _customers, _CUSTOMER_SQL, format="pickle", compression="zip")
+_register_round_trip("K5_pickle_sink_infer_xz", _customers, _CUSTOMER_SQL, format="pickle", ending=".xz")
+_register_round_trip("K6_save_dispatch", _orders, _ORDERS_SQL, format="JSON", compression="none", schema=_SCHEMA)
+_register_round_trip("S5_csv_source_inferred", _orders, _ORDERS_SQL, format="csv", **{"field-delimiter": ";"})
+_register_round_trip("S6_excel_source_inferred", _customers, _CUSTOMER_SQL, format="excel", **{"worksheet list": [0]})
 _register_round_trip("S7_json_source_inferred", _orders, _ORDERS_SQL, format="json", compression="gzip")
-_register_round_trip("K4_parquet_snappy", _orders, _ORDERS_SQL, format="parquet", compression="snappy")
-_register_round_trip("K4_parquet_gzip", _orders, _ORDERS_SQL, format="parquet", compression="gzip")
-_register_round_trip("K4_parquet_uncompressed", _orders, _ORDERS_SQL, format="parquet", compression="none")
 _register_round_trip("S8_parquet_source", _orders, _ORDERS_SQL, format="parquet", schema=_SCHEMA)
-_register_round_trip("K5_S9_pickle", _orders, _ORDERS_SQL, format="pickle")
-_register_round_trip("K5_pickle_bz2", _customers, _CUSTOMER_SQL, format="pickle", compression="bz2")
-_register_round_trip("K5_pickle_infer_xz", _customers, _CUSTOMER_SQL, format="pickle", ending=".xz")
-_register_round_trip("K5_pickle_zip", _customers, _CUSTOMER_SQL, format="pickle", compression="zip")
-_register_round_trip("S10_K6_S11_dispatch_defaults", _orders, _ORDERS_SQL, format="Parquet")
-
+_register_round_trip("S9_pickle_source", _orders, _ORDERS_SQL, format="pickle", compression="none")
+_register_round_trip("S10_load_dispatch", _orders, _ORDERS_SQL, format="Parquet")
+_register_round_trip("S11_load_defaults", _customers, _CUSTOMER_SQL, format="csv")
 
 # --------------------------------------------------------------------------- unions of files
 
@@ -99,9 +104,9 @@ for _format in ("csv", "json", "parquet", "pickle", "excel"):
 
 @query(
     "P10_source_file_name",
-    """SELECT CASE WHEN o_orderstatus = 'F' THEN 'part-' ELSE 'part-' END AS prefix, o_orderpriority IS NULL AS first_slice,
-        count(*) AS n FROM (SELECT o_orderstatus, CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END
-        AS o_orderpriority FROM orders) GROUP BY ALL""",
+    """SELECT 'part-' AS prefix, o_orderpriority IS NULL AS first_slice,
+        count(*) AS n FROM (SELECT CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS o_orderpriority FROM orders)
+        GROUP BY ALL""",
 )
 def source_file_name(spark, sf_dir):
     spec = {"format": "parquet"}
@@ -111,7 +116,7 @@ def source_file_name(spark, sf_dir):
     return loaded.groupBy(prefix, first).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("A6_file_count", "SELECT 3 AS files_counted")
+@query("A6_file_count", "SELECT CAST(3 AS BIGINT) AS files_counted")
 def file_count(spark, sf_dir):
     return aggregates.file_count(
         spark.read.option("mergeSchema", True).parquet(
@@ -184,12 +189,22 @@ def whole_text(spark, sf_dir):
     return texts.select(parts[0].cast("bigint").alias("doc_id"), F.md5(parts[1]).alias("digest"))
 
 
-@query("X1_X2_file_facts")
+@query("X1_file_size")
+def file_size(spark, sf_dir):
+    return files.file_statistics(spark, sf_dir).select("file name", "size [bytes]")
+
+
+@query("X2_file_dates")
+def file_dates(spark, sf_dir):
+    return files.file_statistics(spark, sf_dir).select("file name", "date when last modified")
+
+
+@query("X3_file_statistics")
 def file_facts(spark, sf_dir):
     return files.file_statistics(spark, sf_dir)
 
 
-@query("X3_H1_file_statistics_with_checksums")
+@query("X3_file_statistics_with_checksums")
 def file_checksums(spark, sf_dir):
     return files.file_statistics(spark, sf_dir, checksum=True)
 

@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarryline.functions.calendar import render_literals
 from quarryline.plans.freshness import extraction_required
 from quarryline.plans.plan import OVERWRITE, SKIP, flatten_plan, is_non_empty_list
 from quarryline.plans.runner import run_plan
@@ -38,7 +39,7 @@ def _view(spark: SparkSession, sf_dir: str, name: str) -> str:
 
 
 @query(
-    "S3_T7_F4_template_scan",
+    "F4_template_in_list",
     "SELECT l_orderkey, l_quantity FROM lineitem WHERE l_returnflag IN ('A', 'R')",
 )
 def template_over_lineitem(spark, sf_dir):
@@ -51,6 +52,15 @@ def template_over_lineitem(spark, sf_dir):
     return template_scan(spark, TEMPLATE, parameters, AS_OF, QUOTED_RULES)
 
 
+@query(
+    "T7_template_fill",
+    "SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_orderpriority LIKE '1%' GROUP BY o_orderstatus",
+)
+def template_fill(spark, sf_dir):
+    template = "SELECT %s, count(*) AS n FROM %s WHERE o_orderpriority LIKE '1%%' GROUP BY o_orderstatus"
+    return template_scan(spark, template, ["o_orderstatus", _view(spark, sf_dir, "orders")], AS_OF)
+
+
 @query(
     "T6_parameters_with_dates",
     """SELECT o_orderkey, o_orderdate FROM orders WHERE strftime(o_orderdate, '%Y%m') IN ('199802', '199803')
@@ -66,7 +76,7 @@ def parameters_with_dates(spark, sf_dir):
 
 
 @query(
-    "S3_sql_pass_through",
+    "S3_query_scan",
     """SELECT n_name, count(*) AS customers, max(c_acctbal) AS best FROM customer JOIN nation
         ON c_nationkey = n_nationkey GROUP BY n_name""",
 )
@@ -174,6 +184,26 @@ def every_output_must_ask(spark, sf_dir):
     )
 
 
+@query(
+    "K13_output_name_templating",
+    """SELECT 'extract-199803-F' AS output, o_orderkey FROM orders WHERE o_orderstatus = 'F' UNION ALL
+        SELECT '1998Q1-not-F', o_orderkey FROM orders WHERE o_orderstatus <> 'F'""",
+)
+def output_name_templating(spark, sf_dir):
+    base = scratch_path(spark, "named")
+    wanted = {"= 'F'": "extract-CalculatedDate_CYCM-F", "<> 'F'": "CalculatedDate_CYCQ-not-F"}
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    for condition, name in zip(wanted, render_literals(spark, list(wanted.values()), AS_OF)):
+        sinks.save(orders.where(f"o_orderstatus {condition}"), {"format": "parquet", "name": f"{base}/{name}"})
+    loaded = [
+        files.load(spark, {"format": "parquet", "file list": [f"{base}/{name}"]}).select(
+            F.lit(name).alias("output"), "o_orderkey"
+        )
+        for name in ("extract-199803-F", "1998Q1-not-F")
+    ]
+    return loaded[0].unionByName(loaded[1])
+
+
 # --------------------------------------------------------------------------- the whole job
 
 
@@ -242,7 +272,7 @@ def _run(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
 
 
 @query(
-    "J1_K13_run_plan",
+    "J1_run_plan",
     """SELECT 'done.parquet' AS output, o_orderkey, o_totalprice, 'Test' AS layer FROM orders WHERE o_orderstatus = 'F'
         UNION ALL SELECT 'done.csv', o_orderkey, o_totalprice, 'Test' FROM orders WHERE o_orderstatus = 'F'
         UNION ALL SELECT 'open.json', o_orderkey, o_totalprice, 'Own' FROM orders WHERE o_orderstatus IN ('O', 'P')""",

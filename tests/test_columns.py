@@ -51,7 +51,7 @@ def test_weekdays(intervals):
     assert named.where("id = 4").first()["Weekday for Start Date"] is None
 
 
-@pytest.mark.parametrize("pattern", ["%Y-%m-%d", "%d/%m/%y", "%A %d %B %Y", "%a %b %j at %H:%M:%S.%f", "it's %I %p %%"])
+@pytest.mark.parametrize("pattern", ["%Y-%m-%d", "%d/%m/%y", "%A %d %B %Y", "%a %b %j at %H:%M:%S.%f", "it's %I %p %%", "%G-W%V-%u", "%Y%V", "%V"])
 def test_datetime_to_string_prints_like_strftime(spark, pattern):
     moments = [datetime(2024, 2, 29, 23, 5, 6, 70), datetime(1999, 12, 1, 0, 0)]
     frame = spark.createDataFrame([(i, m) for i, m in enumerate(moments)], "i int, t timestamp_ntz")

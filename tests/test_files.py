@@ -79,6 +79,32 @@ def test_csv_inference_and_union_of_drifting_files(spark, tmp_path):
     ]
 
 
+def test_csv_values(spark, tmp_path):
+    """Missing texts, doubled quotes, fields over several lines, and what counts as a number."""
+    (tmp_path / "v.csv").write_text(
+        'n,x,b,s,d,big\n1,1e3,True,"say ""hi"", you",2024-01-01,99999999999999999999\n'
+        'NA, .5 ,false,"two\nlines",NULL,1\n 007,-inf,,1.0d,2024-01-02,2\n'
+    )
+    spec = {"format": "csv", "file list": [str(tmp_path / "v.csv")]}
+    loaded = files.load(spark, spec).drop(SOURCE_FILE_COLUMN)
+    assert [k for _, k in loaded.dtypes] == ["bigint", "double", "boolean", "string", "string", "double"]
+    assert rows(loaded) == [
+        (1, 1000.0, True, 'say "hi", you', "2024-01-01", 1e20), (7, float("-inf"), None, "1.0d", "2024-01-02", 2.0),
+        (None, 0.5, False, "two\nlines", None, 1.0),
+    ]
+    assert files.load(spark, {**spec, "multi line": False}).count() == 4
+
+
+def test_csv_round_trip_is_exact(spark, mixed, tmp_path):
+    fine = mixed.withColumn("t", F.expr("t + INTERVAL '0.000007' SECOND"))
+    spec = {"format": "csv", "name": str(tmp_path / "exact.csv")}
+    sinks.save(fine, spec)
+    assert rows(_back(spark, {**spec, "schema": fine.schema}).drop(SOURCE_FILE_COLUMN)) == rows(fine)
+    spec = {"format": "json", "name": str(tmp_path / "exact.json")}
+    sinks.save(fine, spec)
+    assert rows(_back(spark, {**spec, "schema": fine.schema}).drop(SOURCE_FILE_COLUMN)) == rows(fine)
+
+
 def test_json_layouts(spark, tmp_path):
     expected = [("x", 1, 0.5), ("y", 2, None)]
     contents = {

@@ -186,8 +186,17 @@ def test_missing_keys(spark):
     assert validation.complete_rows(parsed, "m", ["a", "b"]).count() == 1
 
 
+@pytest.mark.parametrize("limit", ["-1", "10485760"])
 @pytest.mark.parametrize("hot_rows", [5, 10_000])
-def test_referential_checks(spark, hot_rows):
+def test_referential_checks(spark, hot_rows, limit):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        _check_references(spark, hot_rows)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _check_references(spark, hot_rows):
     data = [("hot", 1)] * 40 + [("known", 2), ("known", 3), ("unknown", 2), (None, 2)] + [("hotmiss", 9)] * 30
     frame = spark.createDataFrame([(g, n, i) for i, (g, n) in enumerate(data)], "g string, n int, i int")
     catalogue = spark.createDataFrame([("hot", 1), ("hot", 1), ("known", 2), (None, 2)], "g string, n int")
