@@ -239,7 +239,7 @@ def render_text(
     def moved(alias: Column, offset_text: Column) -> Column:
         offset = F.coalesce(F.nullif(offset_text, F.lit("")).cast("int"), F.lit(0))
         shifted = ts
-        for unit, size in set(OFFSET_UNITS.values()):
+        for unit, size in dict.fromkeys(OFFSET_UNITS.values()):
             periods = [p for p in ALIASES if offset_unit(p) == (unit, size)]
             named = [name for p in periods for name in ALIASES[p]]
             shifted = F.when(alias.isin(*named), shift_period(ts, periods[0], offset, month_end)).otherwise(shifted)

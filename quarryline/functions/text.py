@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 URL_PATTERN = r"(?U)^https?://(?:www)?(?:[\w-]{2,255}(?:\.\w{2,66}){1,2})"
 
 
-# The characters that count as blank, as ranges of a pattern and one by one.
-BLANK = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+# The characters that count as blank, as a pattern and one by one.
+BLANK = r"(?U)[\s\x1c-\x1f]"
 BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 
@@ -22,7 +22,7 @@ def _column(value: Column | str) -> Column:
 
 def single_line(text: Column | str) -> Column:
     """Fold a multi-line text into one line with single spaces."""
-    flat = F.translate(_column(text), "\r\n", "  ")
+    flat = F.replace(F.replace(_column(text), F.lit("\n"), F.lit(" ")), F.lit("\r"), F.lit(" "))
     folded = F.replace(F.regexp_replace(flat, BLANK + "{2,100}", " "), F.lit(" , "), F.lit(", "))
     return F.btrim(folded, F.lit(BLANKS))
 

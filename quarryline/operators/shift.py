@@ -48,37 +48,63 @@ def add_shifted_columns(
     down), ``Deviation`` and ``Empty Values Replacement``; later specs may read columns made by
     earlier ones. ``partition_by`` restarts the shift for every group. The groups are counted
     first: when all fit a task this is one ordinary window, otherwise, and without groups, the
-    rows are put in global order and cut into chunks of equal size (see ``_shift_in_chunks``).
+    rows are put in global order and cut into chunks of equal size, or joined by index when a
+    shift reaches further than a chunk.
     """
     if partition_by and largest_group(df, partition_by) <= max_group_rows:
         window = Window.partitionBy(*[quoted(c) for c in partition_by]).orderBy(
             *[quoted(c) for c in order_by]
         )
         return _fold(df, specs, window)
-    return _shift_in_chunks(df, specs, order_by, partition_by or [], chunk_rows)
+    return _shift_globally(df, specs, order_by, partition_by or [], chunk_rows)
 
 
-def _shift_in_chunks(
+def _shift_globally(
     df: DataFrame, specs: list[dict], order_by: list[str], partition_by: list[str], chunk_rows: int
 ) -> DataFrame:
-    """Shift over a global order with windows of bounded size.
-
-    Chunk ``c`` holds the rows with index in ``[c * size, (c + 1) * size)``. Rows within reach of
-    a chunk border are copied to the neighbour chunk as well, so that every window sees all it
-    needs; the copies are dropped afterwards. No group, however large, goes to one task.
-    """
+    """Shift over a global order without ever holding all of it, or a whole group, in one task."""
     offsets = [signed_offset(s["Direction"], s["Deviation"]) for s in specs]
     back = sum(o for o in offsets if o > 0)
     ahead = sum(-o for o in offsets if o < 0)
-    size = max(chunk_rows, back, ahead, 1)
     indexed = add_row_index(df, [*partition_by, *order_by], name="__idx")
+    if max(back, ahead) > chunk_rows:
+        return _shift_by_join(indexed, specs, partition_by)
+    return _shift_in_chunks(indexed, specs, partition_by, chunk_rows, back, ahead, shuffle_width(df))
+
+
+def _shift_in_chunks(
+    indexed: DataFrame, specs: list[dict], partition_by: list[str], size: int, back: int, ahead: int, width: int
+) -> DataFrame:
+    """Windows of bounded size: chunk ``c`` holds the rows with index in ``[c * size, (c + 1) * size)``.
+
+    Rows within reach of a chunk border are copied to the neighbour chunk as well, so that every
+    window sees all it needs; the copies are dropped afterwards.
+    """
     home = F.expr(f"__idx div {size}")
     within = F.col("__idx") - home * size
     next_chunk = F.when(within >= size - back, home + 1)
     previous_chunk = F.when((within < ahead) & (home > 0), home - 1)
     chunks = F.array_compact(F.array(home, next_chunk, previous_chunk))
     copied = indexed.withColumn("__home", home).withColumn("__chunk", F.explode(chunks))
-    copied = copied.repartition(shuffle_width(df), "__chunk")
     window = Window.partitionBy("__chunk").orderBy("__idx")
-    shifted = _fold(copied, specs, window, partition_by)
+    shifted = _fold(copied.repartition(width, "__chunk"), specs, window, partition_by)
     return shifted.where(F.col("__chunk") == F.col("__home")).drop("__idx", "__home", "__chunk")
+
+
+def _shift_by_join(indexed: DataFrame, specs: list[dict], partition_by: list[str]) -> DataFrame:
+    """Far neighbours are met by their index, which is unique, so the join has no hot keys."""
+    for spec in specs:
+        offset = signed_offset(spec["Direction"], spec["Deviation"])
+        keys = [quoted(c).alias(f"__k{i}") for i, c in enumerate(partition_by)]
+        neighbours = indexed.select(
+            (F.col("__idx") + offset).alias("__idx"), quoted(spec["Original Column"]).alias("__value"), *keys
+        )
+        value = F.col("__value")
+        for i, name in enumerate(partition_by):
+            value = F.when(F.col(f"__k{i}").eqNullSafe(quoted(name)), value)
+        indexed = (
+            indexed.join(neighbours, "__idx", "left")
+            .withColumn(spec["New Column"], fill_empty(value, spec["Empty Values Replacement"]))
+            .drop("__value", *[f"__k{i}" for i in range(len(partition_by))])
+        )
+    return indexed.drop("__idx")

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarryline.operators.columns import FROM_GRAND_PARENT, FROM_PARENT
+from quarryline.operators.validation import json_keys, missing_keys
 from quarryline.plans.template import DEFAULT_RULES
 from quarryline.sources.files import read_text_document
 
@@ -51,6 +52,29 @@ def flatten_plan(df: DataFrame, document: str = "document") -> DataFrame:
     return queries.select("*", exploded(F.get_json_object("query", "$.sessions"), "session"))
 
 
+def plan_violations(df: DataFrame, document: str = "document") -> DataFrame:
+    """One row per mandatory key that a level of a plan document lacks, for any number of documents.
+
+    A level is judged once, with its first child.
+    """
+    first_query, first_session = (F.coalesce(F.col(c), F.lit(0)) == 0 for c in ("query_index", "session_index"))
+    judged = {
+        "sequence": (first_query & first_session, SEQUENCE_KEYS),
+        "query": (first_session & F.col("query").isNotNull(), QUERY_KEYS),
+        "session": (F.col("session").isNotNull(), SESSION_KEYS),
+    }
+
+    def violation(level: str) -> Callable[[Column], Column]:
+        return lambda key: F.struct(F.lit(level).alias("level"), key.alias("missing_key"))
+
+    found = [
+        F.when(condition, F.transform(missing_keys(json_keys(level), keys), violation(level))).otherwise(F.array())
+        for level, (condition, keys) in judged.items()
+    ]
+    flat = flatten_plan(df, document)
+    return flat.select("*", F.inline(F.concat(*found))).drop("sequence", "query", "session")
+
+
 @dataclass(frozen=True)
 class Session:
     """One unit of work with its parents."""

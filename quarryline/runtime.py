@@ -127,27 +127,6 @@ def expand_glob(spark: SparkSession, pattern: str) -> list[FileEntry]:
     return [_entry(spark, status) for status in (fs.globStatus(hadoop_path) or [])]
 
 
-def empty_files(
-    spark: SparkSession, folder: str, pattern: str | None = None, recursive: bool = False
-) -> list[tuple[str, int]]:
-    """Path and change time (ms) of the files without content, which Spark's file sources pass over."""
-    fs, hadoop_path = _hadoop(spark, folder)
-    accepts = spark.sparkContext._jvm.org.apache.hadoop.fs.GlobFilter(pattern or "*")
-    found, waiting = [], list(fs.globStatus(hadoop_path) or [])
-    roots = {status.getPath().toString() for status in waiting}
-    while waiting:
-        status = waiting.pop()
-        path = status.getPath()
-        if path.getName().startswith(("_", ".")) and path.toString() not in roots:
-            continue
-        if status.isDirectory():
-            if recursive or path.toString() in roots:
-                waiting.extend(fs.listStatus(path))
-        elif status.getLen() == 0 and accepts.accept(path):
-            found.append((path.toString(), status.getModificationTime()))
-    return found
-
-
 def qualified(spark: SparkSession, path: str) -> str:
     fs, hadoop_path = _hadoop(spark, path)
     return fs.makeQualified(hadoop_path).toString()

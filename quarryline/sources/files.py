@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Mapping
 
 import pandas as pd
@@ -13,7 +14,7 @@ from quarryline.functions.checksums import all_checksums
 from quarryline.functions.dates import quoted
 from quarryline.functions.text import base_name
 from quarryline.operators.columns import union_tables
-from quarryline.runtime import empty_files, expand_glob, read_head, ship_package
+from quarryline.runtime import expand_glob, read_head, ship_package
 from quarryline.sources.formats import SOURCE_FILE_COLUMN, field_delimiter, file_format, worksheet
 from quarryline.sources.pickled import read_pickled
 from quarryline.sources.workbook import read_workbooks
@@ -40,25 +41,50 @@ def build_file_list(spark: SparkSession, pattern: str) -> list[str]:
     return [entry.path for entry in expand_glob(spark, pattern)]
 
 
+def _glob_regex(pattern: str) -> str:
+    """A file name glob as a regular expression."""
+    parts = {"*": ".*", "?": ".", "{": "(?:", "}": ")", ",": "|"}
+    return "".join(parts.get(c, c if c in "[]-^" or c.isalnum() else re.escape(c)) for c in pattern)
+
+
+def _empty_files(
+    spark: SparkSession, paths: list[str], pattern: str | None, recursive: bool
+) -> DataFrame:
+    """The files without content, which Spark's file sources pass over; folders are listed by tasks."""
+    roots = [(e.path, e.is_dir) for path in paths for e in expand_glob(spark, path)]
+    wanted = re.compile(_glob_regex(pattern or "*"))
+
+    def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        for batch in batches:
+            rows = []
+            for root, is_dir in zip(batch["root"], batch["is_dir"]):
+                filesystem, location = fs.FileSystem.from_uri(root)
+                what = fs.FileSelector(location, recursive=recursive) if is_dir else [location]
+                for info in filesystem.get_file_info(what):
+                    below = info.path[len(location) :]
+                    hidden = any(part.startswith(("_", ".")) for part in below.split("/"))
+                    if info.type == fs.FileType.File and info.size == 0 and not hidden:
+                        if wanted.fullmatch(info.base_name):
+                            rows.append((root + below, info.mtime))
+            yield pd.DataFrame(rows, columns=["path", "modificationTime"])
+
+    ship_package(spark)
+    folders = spark.createDataFrame(roots, "root string, is_dir boolean")
+    found = folders.mapInPandas(listed, "path string, modificationTime timestamp")
+    return found.withColumns({"length": F.lit(0).cast("long"), "content": F.lit("").cast("binary")})
+
+
 def _file_table(
     spark: SparkSession, paths: str | list[str], pattern: str | None, recursive: bool
 ) -> DataFrame:
     """Files with their content as a lazy column; files without content included."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
     if pattern is not None:
         reader = reader.option("pathGlobFilter", pattern)
-    files = reader.load(paths)
-    folders = [paths] if isinstance(paths, str) else paths
-    empty = [row for folder in folders for row in empty_files(spark, folder, pattern, recursive)]
-    if not empty:
-        return files
-    blank = spark.createDataFrame(empty, "path string, changed long").select(
-        "path",
-        F.timestamp_millis("changed").alias("modificationTime"),
-        F.lit(0).cast("long").alias("length"),
-        F.lit("").cast("binary").alias("content"),
-    )
-    return files.unionByName(blank)
+    return reader.load(paths).unionByName(_empty_files(spark, paths, pattern, recursive))
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
@@ -193,12 +219,11 @@ def _load_json_columns(spark: SparkSession, paths: list[str]) -> DataFrame:
         F.col("_metadata.file_name").alias("source"),
         F.parse_json("value").alias("document"),
     )
-    documents.createOrReplaceTempView("__column_documents")
     cells = spark.sql(
-        "SELECT file, source, c.key AS name, r.key AS row, r.value AS cell FROM __column_documents, "
-        "LATERAL variant_explode(document) AS c, LATERAL variant_explode(c.value) AS r"
+        "SELECT file, source, c.key AS name, r.key AS row, r.value AS cell FROM {documents}, "
+        "LATERAL variant_explode(document) AS c, LATERAL variant_explode(c.value) AS r",
+        documents=documents,
     )
-    spark.catalog.dropTempView("__column_documents")
     kinds = cells.groupBy("name").agg(
         F.expr("schema_of_variant_agg(cell)").alias("kind"), F.min("file").alias("f")
     )

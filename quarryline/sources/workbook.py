@@ -38,6 +38,7 @@ MAX_SHEET_ROWS = 1_048_576
 _DAY_ZERO = datetime(1899, 12, 30)
 _DATE_FORMATS = {*range(14, 23), *range(45, 48)}
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
+_ROW, _CELL, _VALUE = f"{_MAIN}row", f"{_MAIN}c", f"{_MAIN}v"
 _LINK = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
 SHEET_NAME = "Sheet_name_1"
@@ -82,7 +83,7 @@ def _sheet_member(book: zipfile.ZipFile, sheet: str | int) -> str:
 
 
 def _cell_value(cell, strings: list[str], date_styles: set[int]):
-    kind, value = cell.get("t", "n"), cell.find(f"{_MAIN}v")
+    kind, value = cell.get("t", "n"), cell.find(_VALUE)
     if kind == "inlineStr":
         return "".join(t.text or "" for t in cell.iter(f"{_MAIN}t"))
     if value is None or value.text is None:
@@ -95,12 +96,9 @@ def _cell_value(cell, strings: list[str], date_styles: set[int]):
         return value.text
     if kind == "e":
         return None
-    number = float(value.text)
-    if int(cell.get("s", 0)) in date_styles:
-        return _DAY_ZERO + timedelta(microseconds=round(number * 86_400_000_000))
-    if re.fullmatch(r"-?\d+", value.text):
-        return int(value.text)
-    return number
+    if date_styles and int(cell.get("s", 0)) in date_styles:
+        return _DAY_ZERO + timedelta(microseconds=round(float(value.text) * 86_400_000_000))
+    return int(value.text) if value.text.lstrip("-").isdecimal() else float(value.text)
 
 
 def sheet_rows(content: bytes, sheet: str | int = 0) -> Iterator[list]:
@@ -113,10 +111,10 @@ def sheet_rows(content: bytes, sheet: str | int = 0) -> Iterator[list]:
         dates = _date_styles(book)
         with book.open(_sheet_member(book, sheet)) as stream:
             for _, node in ElementTree.iterparse(stream):
-                if node.tag != f"{_MAIN}row":
+                if node.tag != _ROW:
                     continue
                 row: list = []
-                for at, cell in enumerate(node.iter(f"{_MAIN}c")):
+                for at, cell in enumerate(node.iter(_CELL)):
                     place = _column_number(cell.get("r")) if cell.get("r") else at
                     row.extend([None] * (place + 1 - len(row)))
                     row[place] = _cell_value(cell, strings, dates)

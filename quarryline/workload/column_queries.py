@@ -295,11 +295,11 @@ def insert_at_position(spark, sf_dir):
 
 @query(
     "P8_insert_column",
-    "SELECT s_suppkey, s_name, upper(s_name) AS loud, s_acctbal FROM supplier",
+    "SELECT s_suppkey, s_name, s_name || '*' AS marked, s_acctbal FROM supplier",
 )
 def insert_column(spark, sf_dir):
     base = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal")
-    return columns.insert_column(base, "loud", F.upper("s_name"), "after", "s_name")
+    return columns.insert_column(base, "marked", F.concat("s_name", F.lit("*")), "after", "s_name")
 
 
 @query("P9_column_index", "SELECT s_suppkey, 1 AS name_at, 3 AS balance_at, 0 AS absent_at FROM supplier")

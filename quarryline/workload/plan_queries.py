@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quarryline.functions.calendar import render_literals
 from quarryline.plans.freshness import extraction_required
-from quarryline.plans.plan import OVERWRITE, SKIP, flatten_plan, is_non_empty_list
+from quarryline.plans.plan import OVERWRITE, SKIP, flatten_plan, is_non_empty_list, plan_violations
 from quarryline.plans.runner import run_plan
 from quarryline.plans.template import template_scan
 from quarryline.runtime import scratch_path
@@ -118,6 +118,17 @@ def flatten(spark, sf_dir):
     )
 
 
+@query(
+    "F8_plan_violations",
+    """SELECT c_custkey, q AS query_index, s AS session_index, level, k AS missing_key FROM customer, (VALUES
+        (0, 0, 'sequence', 'server-vendor'), (0, 0, 'sequence', 'server-type'), (0, 0, 'sequence', 'server-layer'),
+        (0, 0, 'sequence', 'account-label'), (0, 0, 'session', 'extract-behaviour'),
+        (0, 1, 'session', 'extract-behaviour'), (1, 0, 'session', 'extract-behaviour')) AS t(q, s, level, k)""",
+)
+def violations(spark, sf_dir):
+    return plan_violations(_documents(spark, sf_dir)).drop("sequence_index")
+
+
 @query("F10_plan_is_non_empty_list", "SELECT c_custkey, c_acctbal >= 0 AS ok FROM customer")
 def plan_is_list(spark, sf_dir):
     documents = table(spark, sf_dir, "customer").select(

@@ -315,3 +315,11 @@ def test_scratch_is_below_the_configured_folder(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     assert runtime.scratch_path(spark, "x").startswith(configured)
     assert moment_literal(date(2024, 1, 1)) is not None
+
+
+def test_globs(spark, tmp_path):
+    for name in ("a1.csv", "b2.csv", "c3.txt"):
+        (tmp_path / name).write_text("")
+        (tmp_path / f"full-{name}").write_text("x")
+    for pattern, count in (("*.csv", 4), ("{a,b}?.csv", 2), ("*[13].*", 4), ("*", 6), ("a.csv", 0)):
+        assert files.list_files(spark, str(tmp_path), pattern).count() == count

@@ -56,6 +56,21 @@ def test_plan_documents(spark, tmp_path):
     assert "sequence: queries" in sessions[2].missing_keys()
 
 
+def test_violations_of_plan_tables(spark):
+    full = {k: "x" for k in plan.SEQUENCE_KEYS}
+    documents = [
+        [{**full, "queries": [{"sessions": [{"output-file": None, "extract-behaviour": "x"}, {}]}]}],
+        [{"queries": []}, full],
+        "not a list",
+    ]
+    frame = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(documents)], "i int, document string")
+    seen = rows(plan.plan_violations(frame).select("i", "sequence_index", "level", "missing_key"))
+    expected = [(0, 0, "query", "input-query-file")]
+    expected += [(0, 0, "session", k) for k in plan.SESSION_KEYS]
+    expected += [(1, 0, "sequence", k) for k in plan.SEQUENCE_KEYS if k != "queries"]
+    assert [s for s in seen if s[0] < 2] == sorted(expected, key=repr)
+
+
 def _session(session, query=None, sequence=None):
     return plan.Session(0, 0, 0, sequence or {}, query or {}, session)
 
