@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quarryline.functions.dates import age_verdict, moment_literal, quoted
 from quarryline.operators.row_index import add_row_index
+from quarryline.operators.validation import resolvable
 
 # Longer value lists are joined instead of being spelled out in the plan.
 IN_LIST_LIMIT = 1_000
@@ -43,11 +44,11 @@ def filter_multiple_match(df: DataFrame, column: str, values) -> DataFrame:
     if len(values) <= IN_LIST_LIMIT:
         return df.where(quoted(column).isin(*[_typed(df, column, v) for v in values]))
     key_type = df.select(quoted(column)).schema[0].dataType
-    wanted = df.sparkSession.createDataFrame([(text,) for text in sorted({str(v) for v in values})], "wanted string")
-    wanted = wanted.select(F.col("wanted").cast(key_type))
-    if len(values) <= BROADCAST_LIST_LIMIT:
-        wanted = F.broadcast(wanted)
-    return df.join(wanted, quoted(column) == F.col("wanted"), "left_semi")
+    texts = df.sparkSession.createDataFrame([(text,) for text in sorted({str(v) for v in values})], "wanted string")
+    wanted = texts.select(F.col("wanted").cast(key_type).alias(column))
+    if len(values) > BROADCAST_LIST_LIMIT:
+        return resolvable(df, wanted, [column])
+    return df.join(F.broadcast(wanted), [column], "left_semi").select(*[quoted(c) for c in df.columns])
 
 
 def apply_filter(df: DataFrame, column_to_filter: str, filter_to_apply: str, filter_values) -> DataFrame:

@@ -8,6 +8,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarryline.functions.dates import quoted
 from quarryline.operators.row_index import MAX_GROUP_ROWS
 from quarryline.runtime import broadcast_is_certain
 
@@ -46,15 +47,16 @@ def _keep_by_keys(df: DataFrame, catalogue: DataFrame, keys: list[str], how: str
     at most ``rows / hot_rows`` of them, so their part of the join can be a broadcast, and all
     other rows go through an ordinary join.
     """
-    complete = reduce(and_, [F.col(k).isNotNull() for k in keys])
-    wanted = catalogue.select(*keys).where(complete).distinct()
+    columns = [quoted(k) for k in keys]
+    complete = reduce(and_, [quoted(k).isNotNull() for k in keys])
+    wanted = catalogue.select(*columns).where(complete).distinct()
     rows = df.where(complete)
     hot = []
     if not broadcast_is_certain(wanted):
-        sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-        hot = sizes.where(F.col("__n") > hot_rows).select(*keys).collect()
+        sizes = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
+        hot = sizes.where(F.col("__n") > hot_rows).select(*columns).collect()
     if hot:
-        hot_keys = df.sparkSession.createDataFrame(hot, df.select(*keys).schema)
+        hot_keys = df.sparkSession.createDataFrame(hot, df.select(*columns).schema)
         known_hot = hot_keys.join(wanted, keys, "left_semi")
         hot_rows_part = rows.join(F.broadcast(hot_keys), keys, "left_semi")
         kept = hot_rows_part.join(F.broadcast(known_hot), keys, how).unionByName(
@@ -62,7 +64,9 @@ def _keep_by_keys(df: DataFrame, catalogue: DataFrame, keys: list[str], how: str
         )
     else:
         kept = rows.join(wanted, keys, how)
-    return kept if how == "left_semi" else kept.unionByName(df.where(~complete))
+    if how == "left_anti":
+        kept = kept.unionByName(df.where(~complete))
+    return kept.select(*[quoted(c) for c in df.columns])
 
 
 def resolvable(

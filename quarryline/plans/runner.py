@@ -10,6 +10,7 @@ from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quarryline.functions.calendar import render_literals
 from quarryline.functions.dates import moment_literal
@@ -17,7 +18,7 @@ from quarryline.operators.columns import add_columns
 from quarryline.plans.freshness import extraction_required
 from quarryline.plans.plan import Session, read_plan
 from quarryline.plans.template import fill_template, render_parameters
-from quarryline.sources.files import read_text_document
+from quarryline.sources.files import file_statistics, read_text_document
 from quarryline.sources.jdbc import SPARK_TABLES, query_scan, resolve_connection
 from quarryline.sources.sinks import Written, output_statistics, save_all
 
@@ -83,6 +84,18 @@ def _run_session(
     return Outcome(*place, "extracted", written)
 
 
+def _audit_rows(spark: SparkSession, outcomes: list[Outcome], configuration: list[str], checksum: bool) -> DataFrame:
+    """Statistics of the configuration files and of the part files of everything that was written."""
+    facts = file_statistics(spark, configuration, checksum).select(
+        F.lit("configuration").alias("meaning"), F.col("path").alias("output"), "*"
+    )
+    written = [t.name for o in outcomes for t in o.targets if t.error is None]
+    if written:
+        outputs = output_statistics(spark, written, checksum)
+        facts = facts.unionByName(outputs.withColumn("meaning", F.lit("output")))
+    return facts
+
+
 def run_plan(
     spark: SparkSession,
     plan: str,
@@ -98,8 +111,8 @@ def run_plan(
 
     ``systems`` and ``credentials`` are JSON files or mappings; relative names in the plan are
     below ``base``. All sessions see the same ``as_of`` clock. A session that fails is reported
-    and the others go on. With ``audit``, the statistics of the written part files are appended
-    to a parquet table there. ``parallel_sessions`` lets independent sessions share the cluster.
+    and the others go on. With ``audit``, the statistics of the configuration files and of the
+    written part files are appended to a parquet table there. ``parallel_sessions`` lets independent sessions share the cluster.
     """
     as_of = as_of or spark.sql("SELECT CAST(current_timestamp() AS TIMESTAMP_NTZ)").first()[0]
     known_systems = _load_json(spark, systems, "Systems")
@@ -114,8 +127,7 @@ def run_plan(
 
     with ThreadPoolExecutor(max_workers=parallel_sessions) as pool:
         outcomes = list(pool.map(attempt, read_plan(spark, plan)))
-    written = [t.name for o in outcomes for t in o.targets if t.error is None]
-    if audit and written:
-        statistics = output_statistics(spark, written, checksum)
-        statistics.withColumn("as_of", moment_literal(as_of)).write.mode("append").parquet(audit)
+    if audit:
+        facts = _audit_rows(spark, outcomes, [f for f in (plan, systems, credentials) if isinstance(f, str)], checksum)
+        facts.withColumn("as_of", moment_literal(as_of)).write.mode("append").parquet(audit)
     return spark.createDataFrame([row for o in outcomes for row in o.rows()], OUTCOME_SCHEMA)

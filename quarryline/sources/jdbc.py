@@ -121,6 +121,7 @@ def query_scan(
     pushed to the database as a whole; ``split`` (column, lower, upper, partitions) turns it into
     a parallel scan. Bounds only steer the split, no row is left out.
     """
+    query = query.strip().rstrip(";")
     if connection is None:
         return spark.sql(query)
     reader = spark.read.format("jdbc").options(**jdbc_options(connection))

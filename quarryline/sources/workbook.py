@@ -146,7 +146,7 @@ def _kind(value) -> str:
 def _files(spark: SparkSession, paths: list[str]) -> DataFrame:
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     ship_package(spark)
-    files = reader.option("pathGlobFilter", "*.xlsx").load(paths)
+    files = reader.option("pathGlobFilter", "*.xls[xm]").load(paths)
     return files.select("content", F.col("_metadata.file_name").alias("name"))
 
 

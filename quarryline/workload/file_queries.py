@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarryline.functions.dates import moment_literal
+from quarryline.functions.text import base_name
 from quarryline.operators import aggregates, filters
 from quarryline.runtime import scratch_path
 from quarryline.sources import files, sinks
@@ -172,9 +173,21 @@ def empty_result(spark, sf_dir):
 # --------------------------------------------------------------------------- file tables
 
 
-@query("S12_file_listing")
+_TABLES = (
+    "benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels", "lineitem", "nation",
+    "orders", "pages", "part", "region", "supplier",
+)
+
+_FILES_SQL = f"""(SELECT name || '.parquet' AS file FROM (VALUES {", ".join(f"('{t}')" for t in _TABLES)}) AS t(name))"""
+
+
+@query("S12_file_listing", f"SELECT file, true AS has_length, true AS has_time FROM {_FILES_SQL}")
 def file_listing(spark, sf_dir):
-    return files.list_files(spark, sf_dir, "*.parquet")
+    return files.list_files(spark, sf_dir, "*.parquet").select(
+        base_name("path").alias("file"),
+        (F.col("length") > 0).alias("has_length"),
+        F.col("modificationTime").isNotNull().alias("has_time"),
+    )
 
 
 @query("S13_whole_text", "SELECT doc_id, md5(text) AS digest FROM documents")
@@ -226,9 +239,10 @@ def file_date_verdict(spark, sf_dir):
     return judged.groupBy("verdict").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("J3_stale_file_report")
+@query("J3_stale_file_report", f"SELECT file, '2998-12-30 00:00:00' AS barrier, 'older' AS verdict FROM {_FILES_SQL}")
 def stale_files(spark, sf_dir):
-    return files.stale_file_report(spark, sf_dir, "CalculatedDate_CYCMCDCH_-48", datetime(2030, 1, 1), "*.parquet")
+    report = files.stale_file_report(spark, sf_dir, "CalculatedDate_CYCMCDCH_-48", datetime(2999, 1, 1), "*.parquet")
+    return report.select(base_name("path").alias("file"), F.col("barrier").cast("string").alias("barrier"), "verdict")
 
 
 @query(

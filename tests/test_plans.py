@@ -189,7 +189,8 @@ def test_whole_run(spark, workspace):
         kept = loaded.selectExpr("CAST(id AS BIGINT)", "CAST(text AS STRING)", "CAST(`Calculated Timestamp [UTC]` AS TIMESTAMP_NTZ)")
         assert rows(kept) == sorted([(i, str(i), AS_OF) for i in range(20)], key=repr)
     audited = spark.read.parquet(audit)
-    assert audited.select("output").distinct().count() == 5
+    assert audited.where("meaning = 'output'").select("output").distinct().count() == 5
+    assert audited.where("meaning = 'configuration'").count() == 1
     assert audited.where("length(`MD5 Checksum`) <> 32").count() == 0
     again = _run(spark, workspace, document, parallel_sessions=3)
     assert [s[0] for s in again] == [s[0] for s in seen]
