@@ -2,21 +2,16 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarryline.functions.dates import quoted
+from quarryline.operators.skew import MAX_GROUP_ROWS, same_keys, split_hot_groups
 from quarryline.runtime import scratch_path, shuffle_width
 
 # Layout of monotonically_increasing_id(): partition number above, row number below this bit.
 _ROW_BITS = 33
 
-# Groups with more rows than this are not handed to a single window task.
-MAX_GROUP_ROWS = 5_000_000
-
 # Rows per task when a global order is cut into chunks.
 CHUNK_ROWS = 1_000_000
 
@@ -49,8 +44,8 @@ def add_row_index(
 
     One range shuffle; the second pass reads one column and counts rows per partition. The only
     broadcast holds one offset per shuffle partition. ``order_by`` must be a total order. With
-    ``partition_by`` the index restarts for every group: by a window when all groups fit a task,
-    else from the global index, so that a group of any size stays spread over partitions.
+    ``partition_by`` the index restarts for every group: by a window for groups that fit a task,
+    from a global index for hot ones, so that a group of any size stays spread over partitions.
     """
     if partition_by:
         return _index_by_group(df, order_by, name, partitions, partition_by, max_group_rows, chunk_rows)
@@ -67,12 +62,6 @@ def add_row_index(
     return indexed.withColumn(name, F.col("__start") + row).select(*[quoted(c) for c in df.columns], name)
 
 
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    """Rows of the biggest group; counted per task before anything is shuffled."""
-    sizes = df.groupBy(*[quoted(c) for c in keys]).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n").alias("m")).first().m or 0
-
-
 def _index_by_group(
     df: DataFrame,
     order_by: list[str],
@@ -82,20 +71,22 @@ def _index_by_group(
     max_group_rows: int,
     chunk_rows: int,
 ) -> DataFrame:
-    if largest_group(df, partition_by) <= max_group_rows:
-        window = Window.partitionBy(*[quoted(c) for c in partition_by]).orderBy(*[quoted(c) for c in order_by])
-        return df.withColumn(name, F.row_number().over(window).cast("long") - 1)
+    """A window for ordinary groups, the global index for hot ones."""
+    split = split_hot_groups(df, partition_by, max_group_rows)
+    window = Window.partitionBy(*[quoted(c) for c in partition_by]).orderBy(*[quoted(c) for c in order_by])
+    ordinary = (split.rest if split else df).withColumn(name, F.row_number().over(window).cast("long") - 1)
+    if split is None:
+        return ordinary
     # A group is a run of the global index. Its start is joined by group and chunk of the run, so
-    # the rows of a big group meet it in many tasks.
-    indexed = add_row_index(df, [*partition_by, *order_by], "__idx", partitions)
+    # the rows of a hot group meet it in many tasks.
+    indexed = add_row_index(split.hot, [*partition_by, *order_by], "__idx", partitions)
     indexed = indexed.withColumn("__chunk", F.expr(f"__idx div {chunk_rows}"))
-    keys = [quoted(c).alias(f"__k{i}") for i, c in enumerate(partition_by)]
     starts = (
-        indexed.groupBy(*keys)
+        indexed.groupBy(*[quoted(c).alias(f"__k{i}") for i, c in enumerate(partition_by)])
         .agg(F.min("__idx").alias("__first"), F.min("__chunk").alias("low"), F.max("__chunk").alias("high"))
         .withColumn("__start_chunk", F.explode(F.sequence("low", "high")))
         .drop("low", "high")
     )
-    same = reduce(and_, [quoted(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(partition_by)])
-    joined = indexed.join(starts, same & (F.col("__chunk") == F.col("__start_chunk")))
-    return joined.withColumn(name, F.col("__idx") - F.col("__first")).select(*[quoted(c) for c in df.columns], name)
+    joined = indexed.join(starts, same_keys(partition_by, "__k") & (F.col("__chunk") == F.col("__start_chunk")))
+    hot = joined.withColumn(name, F.col("__idx") - F.col("__first")).select(*[quoted(c) for c in df.columns], name)
+    return ordinary.unionByName(hot)

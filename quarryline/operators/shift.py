@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from quarryline.functions.dates import quoted
 from quarryline.functions.text import fill_empty
-from quarryline.operators.row_index import CHUNK_ROWS, MAX_GROUP_ROWS, add_row_index, largest_group
+from quarryline.operators.row_index import CHUNK_ROWS, add_row_index
+from quarryline.operators.skew import MAX_GROUP_ROWS, split_hot_groups
 from quarryline.runtime import shuffle_width
 
 def signed_offset(direction: str, deviation: int) -> int:
@@ -46,17 +47,19 @@ def add_shifted_columns(
 
     Each spec has ``New Column``, ``Original Column``, ``Direction`` (``up``, anything else is
     down), ``Deviation`` and ``Empty Values Replacement``; later specs may read columns made by
-    earlier ones. ``partition_by`` restarts the shift for every group. The groups are counted
-    first: when all fit a task this is one ordinary window, otherwise, and without groups, the
-    rows are put in global order and cut into chunks of equal size, or joined by index when a
-    shift reaches further than a chunk.
+    earlier ones. ``partition_by`` restarts the shift for every group. Groups that
+    fit a task go through one ordinary window. The rows of hot groups, and all rows without
+    groups, are put in global order and cut into chunks of equal size, or joined by index when
+    a shift reaches further than a chunk.
     """
-    if partition_by and largest_group(df, partition_by) <= max_group_rows:
-        window = Window.partitionBy(*[quoted(c) for c in partition_by]).orderBy(
-            *[quoted(c) for c in order_by]
-        )
-        return _fold(df, specs, window)
-    return _shift_globally(df, specs, order_by, partition_by or [], chunk_rows)
+    if not partition_by:
+        return _shift_globally(df, specs, order_by, [], chunk_rows)
+    split = split_hot_groups(df, partition_by, max_group_rows)
+    window = Window.partitionBy(*[quoted(c) for c in partition_by]).orderBy(*[quoted(c) for c in order_by])
+    ordinary = _fold(split.rest if split else df, specs, window)
+    if split is None:
+        return ordinary
+    return ordinary.unionByName(_shift_globally(split.hot, specs, order_by, partition_by, chunk_rows))
 
 
 def _shift_globally(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarryline.functions.dates import quoted
-from quarryline.operators.row_index import MAX_GROUP_ROWS
+from quarryline.operators.skew import MAX_GROUP_ROWS, split_hot_groups
 from quarryline.runtime import broadcast_is_certain
 
 
@@ -51,19 +51,13 @@ def _keep_by_keys(df: DataFrame, catalogue: DataFrame, keys: list[str], how: str
     complete = reduce(and_, [quoted(k).isNotNull() for k in keys])
     wanted = catalogue.select(*columns).where(complete).distinct()
     rows = df.where(complete)
-    hot = []
-    if not broadcast_is_certain(wanted):
-        sizes = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
-        hot = sizes.where(F.col("__n") > hot_rows).select(*columns).collect()
-    if hot:
-        hot_keys = df.sparkSession.createDataFrame(hot, df.select(*columns).schema)
-        known_hot = hot_keys.join(wanted, keys, "left_semi")
-        hot_rows_part = rows.join(F.broadcast(hot_keys), keys, "left_semi")
-        kept = hot_rows_part.join(F.broadcast(known_hot), keys, how).unionByName(
-            rows.join(F.broadcast(hot_keys), keys, "left_anti").join(wanted, keys, how)
-        )
-    else:
+    split = None if broadcast_is_certain(wanted) else split_hot_groups(rows, keys, hot_rows)
+    if split is None:
         kept = rows.join(wanted, keys, how)
+    else:
+        known_hot = split.keys.select(*[F.col(f"__hot{i}").alias(k) for i, k in enumerate(keys)])
+        known_hot = known_hot.join(wanted, keys, "left_semi")
+        kept = split.hot.join(F.broadcast(known_hot), keys, how).unionByName(split.rest.join(wanted, keys, how))
     if how == "left_anti":
         kept = kept.unionByName(df.where(~complete))
     return kept.select(*[quoted(c) for c in df.columns])

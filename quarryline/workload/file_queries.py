@@ -195,7 +195,8 @@ def whole_text(spark, sf_dir):
     """Every document as a whole text again, read from files with one document per file row."""
     path = scratch_path(spark, "texts")
     packed = F.concat(F.col("doc_id").cast("string"), F.lit("\x1d"), "text", F.lit("\x1e"))
-    table(spark, sf_dir, "documents").select(packed.alias("value")).write.option("lineSep", "\x1f").text(path)
+    lines = table(spark, sf_dir, "documents").select(packed.alias("value"))
+    lines.write.options(lineSep="\x1f", maxRecordsPerFile=1_000).text(path)
     whole = files.read_text_document(spark, path)
     texts = whole.select(F.explode(F.split("value", "\x1e\x1f")).alias("t")).where("t <> ''")
     parts = F.split("t", "\x1d", 2)

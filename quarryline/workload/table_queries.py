@@ -171,7 +171,7 @@ def unresolvable(spark, sf_dir):
     "SELECT event_id, event_type FROM events WHERE event_type IN (SELECT event_type FROM events WHERE value > 400)",
 )
 def resolvable_hot_keys(spark, sf_dir):
-    """Five keys, each with a large share of the rows: the path that splits off hot keys."""
+    """Five keys, each with a large share of the rows."""
     events = table(spark, sf_dir, "events").select("event_id", "event_type")
     catalogue = table(spark, sf_dir, "events").where("value > 400").select("event_type")
     return validation.resolvable(events, catalogue, ["event_type"], hot_rows=1_000)
@@ -271,7 +271,7 @@ def shift_down_by_group(spark, sf_dir):
         FROM events WINDOW w AS (PARTITION BY event_type ORDER BY event_id)""",
 )
 def shift_down_hot_groups(spark, sf_dir):
-    """Five big groups: the chunked path, which never gives a whole group to one task."""
+    """Big groups count as hot here, so their rows take the way that never gives a group to one task."""
     specs = [_spec("previous", "user_id", "down", 1), _spec("following", "user_id", "up", 3)]
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "user_id")
     moved = shift.add_shifted_columns(
