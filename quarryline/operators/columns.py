@@ -30,9 +30,8 @@ def add_columns(df: DataFrame, additional_columns: list[dict], as_of=None) -> Da
     def value(given) -> Column:
         return clock[given] if isinstance(given, str) and given in clock else F.lit(given)
 
-    for column in additional_columns:
-        df = df.withColumn(column["name"], value(column["value"]))
-    return df
+    added = {column["name"]: value(column["value"]) for column in additional_columns}
+    return df.withColumns(added) if added else df
 
 
 def rename_columns(df: DataFrame, names: dict[str, str]) -> DataFrame:

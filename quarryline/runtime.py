@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -183,3 +184,10 @@ def java_class_exists(spark: SparkSession, name: str) -> bool:
 def clear_scratch(spark: SparkSession) -> None:
     """Remove what this library left in the shared scratch folder; call it when results are stored."""
     remove_output(spark, f"{scratch_root(spark).rstrip('/')}/quarryline")
+
+
+def task_filesystem(path: str):
+    """File system and location of a path for use inside tasks, where there is no Hadoop client."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", path))

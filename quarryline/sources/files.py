@@ -6,6 +6,8 @@ import re
 from collections.abc import Iterator, Mapping
 
 import pandas as pd
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -14,7 +16,7 @@ from quarryline.functions.checksums import all_checksums
 from quarryline.functions.dates import quoted
 from quarryline.functions.text import base_name
 from quarryline.operators.columns import union_tables
-from quarryline.runtime import expand_glob, read_head, ship_package
+from quarryline.runtime import expand_glob, read_head, ship_package, task_filesystem
 from quarryline.sources.formats import SOURCE_FILE_COLUMN, field_delimiter, file_format, worksheet
 from quarryline.sources.pickled import read_pickled
 from quarryline.sources.workbook import read_workbooks
@@ -60,7 +62,7 @@ def _empty_files(
         for batch in batches:
             rows = []
             for root, is_dir in zip(batch["root"], batch["is_dir"]):
-                filesystem, location = fs.FileSystem.from_uri(root)
+                filesystem, location = task_filesystem(root)
                 what = fs.FileSelector(location, recursive=recursive) if is_dir else [location]
                 for info in filesystem.get_file_info(what):
                     below = info.path[len(location) :]
@@ -114,12 +116,10 @@ def _csv_groups(spark: SparkSession, paths: list[str]) -> list[list[str]]:
     """
 
     def heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
         for batch in batches:
             lines = []
             for path in batch["path"]:
-                filesystem, location = fs.FileSystem.from_uri(path)
+                filesystem, location = task_filesystem(path)
                 with filesystem.open_input_stream(location, compression="detect") as stream:
                     head = b""
                     while b"\n" not in head:
@@ -258,7 +258,13 @@ def _load_json(spark: SparkSession, paths: list[str], spec: Mapping) -> DataFram
 def _load_parquet(spark: SparkSession, paths: list[str], spec: Mapping) -> DataFrame:
     if spec.get("schema") is not None:
         return _with_provenance(spark.read.schema(spec["schema"]).parquet(*paths))
-    return _with_provenance(spark.read.option("mergeSchema", True).parquet(*paths))
+    try:
+        return _with_provenance(spark.read.option("mergeSchema", True).parquet(*paths))
+    except (PySparkException, Py4JJavaError):
+        # Types that differ between outputs are brought together column by column.
+        if len(paths) == 1:
+            raise
+        return union_tables([_load_parquet(spark, [path], spec) for path in paths])
 
 
 def load(spark: SparkSession, spec: Mapping) -> DataFrame:
@@ -295,14 +301,12 @@ def _stream_checksums(files: DataFrame) -> DataFrame:
     def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import hashlib
 
-        from pyarrow import fs
-
         names = ("md5", "sha1", "sha224", "sha256", "sha384", "sha512")
         for batch in batches:
             rows = []
             for path in batch["path"]:
                 hashes = [hashlib.new(n) for n in names]
-                filesystem, location = fs.FileSystem.from_uri(path)
+                filesystem, location = task_filesystem(path)
                 with filesystem.open_input_stream(location, compression=None) as stream:
                     while block := stream.read(_STREAM_BLOCK):
                         for h in hashes:

@@ -18,6 +18,7 @@ from xml.sax.saxutils import escape
 
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -29,7 +30,7 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
-from quarryline.runtime import mark_complete, move_file, remove_output, ship_package
+from quarryline.runtime import mark_complete, move_file, remove_output, ship_package, task_filesystem
 from quarryline.sources.formats import SOURCE_FILE_COLUMN
 
 # Fixed values of the file format: rows a sheet can hold (with its header), day zero of its
@@ -316,11 +317,8 @@ def write_workbooks(df: DataFrame, path: str, max_rows: int = MAX_SHEET_ROWS) ->
     pending_root = f"{path}/_temporary-{uuid.uuid4().hex}"
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-        from pyspark import TaskContext
-
         context = TaskContext.get()
-        filesystem, root = fs.FileSystem.from_uri(pending_root)
+        filesystem, root = task_filesystem(pending_root)
         attempt = f"attempt-{context.taskAttemptId()}"
         filesystem.create_dir(f"{root}/{attempt}", recursive=True)
         files, book, stream = [], None, None

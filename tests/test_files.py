@@ -138,6 +138,13 @@ def test_parquet_with_missing_columns(spark, tmp_path):
     assert rows(loaded.select("a", "b")) == [(1, None), (2, "x")]
 
 
+def test_parquet_with_differing_types(spark, tmp_path):
+    for name, sql in (("one", "SELECT 1 AS a, 1 AS b"), ("two", "SELECT 2.5D AS a, 'x' AS b")):
+        spark.sql(sql).write.parquet(str(tmp_path / name))
+    loaded = files.load(spark, {"format": "parquet", "file list": [str(tmp_path / n) for n in ("one", "two")]})
+    assert rows(loaded.select("a", "b")) == [(1.0, "1"), (2.5, "x")]
+
+
 # --------------------------------------------------------------------------- workbooks
 
 

@@ -220,3 +220,16 @@ def test_database_sequences_need_catalogue_and_credentials(spark, workspace):
     systems = _write(workspace / "systems.json", {"Systems": {"Oracle": {"MySQL": {"Server": {}}}}})
     (status, _, message), = _run(spark, workspace, document, systems=systems, credentials={"Credentials": {}})
     assert status == "failed" and "source catalogue" in message
+
+
+def test_database_queries_go_to_the_jdbc_source(spark, workspace):
+    """The vendor's driver is not installed, so Spark stops before it contacts anything."""
+    session = {"extract-behaviour": plan.SKIP, "output-file": {"format": "csv", "name": "db.csv"},
+               "parameters": _parameters("numbers"), "parallel-scan": {"column": "id", "lower": 0, "upper": 9, "partitions": 3}}
+    place = {**PLACE, "server-vendor": "Oracle", "server-type": "MySQL"}
+    document = _plan_over("numbers", [session, {k: v for k, v in session.items() if k != "parallel-scan"}], **place)
+    systems = {"Oracle": {"MySQL": {"Server": {"g": {"l": {"ServerName": "db.invalid", "ServerPort": 3306}}}}}}
+    account = {"Name": "n", "Username": "u", "Password": "made-up"}
+    credentials = {"Oracle": {"MySQL": {"g": {"l": {"a": account}}}}}
+    for status, _, message in _run(spark, workspace, document, systems=systems, credentials=credentials):
+        assert status == "failed" and "com.mysql.cj.jdbc.Driver" in message and "made-up" not in message
