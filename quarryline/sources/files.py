@@ -8,7 +8,7 @@ from collections.abc import Iterator, Mapping
 import pandas as pd
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -157,26 +157,28 @@ def _has_multi_line_fields(spark: SparkSession, paths: list[str], spec: Mapping)
 def _inferred(frame: DataFrame, names: list[str]) -> DataFrame:
     """Text columns as whole numbers, numbers or booleans when every value allows it.
 
-    One aggregation over the table decides for all columns; texts for missing values become null.
+    One aggregation over the table decides for all columns: the lowest and highest rank of its
+    values. Texts for missing values become null; a column without any value is numeric.
     """
     texts = {n: F.when(~quoted(n).isin(*MISSING_TEXTS), quoted(n)) for n in names}
     frame = frame.withColumns(texts)
 
-    def every(test) -> list:
-        verdicts = [F.when(quoted(n).isNull(), True).otherwise(test(quoted(n))) for n in names]
-        return [F.bool_and(verdict).alias(f"c{i}") for i, verdict in enumerate(verdicts)]
+    def rank(value: Column) -> Column:
+        whole = value.rlike(WHOLE_NUMBER) & value.try_cast("bigint").isNotNull()
+        flag = F.lower(value).isin("true", "false")
+        ranked = F.when(whole, 1).when(value.rlike(NUMBER), 2).when(flag, 3).otherwise(4)
+        return F.when(value.isNotNull(), ranked)
 
-    kinds = {
-        "bigint": lambda c: c.rlike(WHOLE_NUMBER) & c.try_cast("bigint").isNotNull(),
-        "double": lambda c: c.rlike(NUMBER),
-        "boolean": lambda c: F.lower(c).isin("true", "false"),
-    }
-    facts = frame.agg(*[F.struct(*every(test)).alias(kind) for kind, test in kinds.items()]).first()
+    ranks = frame.select(*[rank(quoted(n)).alias(f"r{i}") for i, n in enumerate(names)])
+    bounds = [f(f"r{i}").alias(f"{label}{i}") for i in range(len(names)) for label, f in (("low", F.min), ("high", F.max))]
+    facts = ranks.agg(*bounds).first()
     chosen = {}
     for i, name in enumerate(names):
-        kind = next((k for k in kinds if facts[k][f"c{i}"]), None)
-        if kind is not None:
-            chosen[name] = F.trim(quoted(name)).cast(kind)
+        low, high = facts[f"low{i}"], facts[f"high{i}"]
+        if high is None or high <= 2:
+            chosen[name] = F.trim(quoted(name)).cast("bigint" if high == 1 else "double")
+        elif low == high == 3:
+            chosen[name] = quoted(name).cast("boolean")
     return frame.withColumns(chosen) if chosen else frame
 
 

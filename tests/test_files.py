@@ -95,6 +95,13 @@ def test_csv_values(spark, tmp_path):
     assert files.load(spark, {**spec, "multi line": False}).count() == 4
 
 
+def test_csv_column_kinds(spark, tmp_path):
+    (tmp_path / "k.csv").write_text("none,mixed,flag,text\n,1,TRUE,true\nNA,2.5,false,1\n")
+    loaded = files.load(spark, {"format": "csv", "file list": [str(tmp_path / "k.csv")]}).drop(SOURCE_FILE_COLUMN)
+    assert loaded.dtypes == [("none", "double"), ("mixed", "double"), ("flag", "boolean"), ("text", "string")]
+    assert rows(loaded) == [(None, 1.0, True, "true"), (None, 2.5, False, "1")]
+
+
 def test_csv_round_trip_is_exact(spark, mixed, tmp_path):
     fine = mixed.withColumn("t", F.expr("t + INTERVAL '0.000007' SECOND"))
     spec = {"format": "csv", "name": str(tmp_path / "exact.csv")}
