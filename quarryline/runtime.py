@@ -68,10 +68,16 @@ def estimated_bytes(df: DataFrame) -> int | None:
     return size if size < 1 << 60 else None
 
 
+def _source_bytes(df: DataFrame) -> int:
+    """Size of the tables a plan reads; join estimates above them multiply and say too much."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+
+
 def shuffle_width(df: DataFrame) -> int:
     """Partitions for a shuffle of all rows: the session's setting, or more when the data asks for it."""
     configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    wanted = (estimated_bytes(df) or 0) // SHUFFLE_PARTITION_BYTES
+    wanted = min(estimated_bytes(df) or 0, _source_bytes(df)) // SHUFFLE_PARTITION_BYTES
     return max(configured, min(wanted, MAX_SHUFFLE_PARTITIONS))
 
 

@@ -1,5 +1,6 @@
 """Sources and sinks: round trips, drifting files, workbooks, statistics."""
 
+import gzip
 import hashlib
 import json
 import zipfile
@@ -131,6 +132,14 @@ def test_json_layouts(spark, tmp_path):
         files.load(spark, {"format": "json", "file list": ["x"], "layout": "other"})
 
 
+def test_compressed_json_documents(spark, tmp_path):
+    for name, text in (("c", '{"a": {"0": 1, "1": 2}}'), ("r", '[{"a": 1}, {"a": 2}]')):
+        path = tmp_path / f"{name}.json.gz"
+        path.write_bytes(gzip.compress(text.encode()))
+        loaded = files.load(spark, {"format": "json", "file list": str(path)})
+        assert rows(loaded.select("a")) == [(1,), (2,)]
+
+
 def test_column_layout_over_several_files(spark, tmp_path):
     (tmp_path / "1.json").write_text('{"a": {"0": 1, "1": 2}}')
     (tmp_path / "2.json").write_text('{"a": {"0": 3}, "b": {"0": {"k": [1]}}}')
