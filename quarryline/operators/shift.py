@@ -16,22 +16,22 @@ def signed_offset(direction: str, deviation: int) -> int:
     return -deviation if direction == "up" else deviation
 
 
-def _shifted(spec: dict, window, partition_by: list[str] | None = None) -> Column:
-    """One shifted column; with ``partition_by`` the neighbour must belong to the same group."""
+def _shifted(spec: dict, window, group: str | None) -> Column:
+    """One shifted column; with a ``group`` column the neighbour must belong to the same group."""
     offset = signed_offset(spec["Direction"], spec["Deviation"])
-    value = quoted(spec["Original Column"])
-    moved = F.lag(value, offset) if offset >= 0 else F.lead(value, -offset)
-    moved = moved.over(window)
-    if partition_by:
-        key = F.struct(*[quoted(c) for c in partition_by])
-        neighbour = (F.lag(key, offset) if offset >= 0 else F.lead(key, -offset)).over(window)
-        moved = F.when(neighbour.eqNullSafe(key), moved)
+
+    def neighbour(column: Column) -> Column:
+        return (F.lag(column, offset) if offset >= 0 else F.lead(column, -offset)).over(window)
+
+    moved = neighbour(quoted(spec["Original Column"]))
+    if group is not None:
+        moved = F.when(neighbour(F.col(group)).eqNullSafe(F.col(group)), moved)
     return fill_empty(moved, spec["Empty Values Replacement"])
 
 
-def _fold(df: DataFrame, specs: list[dict], window, partition_by: list[str] | None = None) -> DataFrame:
+def _fold(df: DataFrame, specs: list[dict], window, group: str | None = None) -> DataFrame:
     for spec in specs:
-        df = df.withColumn(spec["New Column"], _shifted(spec, window, partition_by))
+        df = df.withColumn(spec["New Column"], _shifted(spec, window, group))
     return df
 
 
@@ -89,9 +89,12 @@ def _shift_in_chunks(
     previous_chunk = F.when((within < ahead) & (home > 0), home - 1)
     chunks = F.array_compact(F.array(home, next_chunk, previous_chunk))
     copied = indexed.withColumn("__home", home).withColumn("__chunk", F.explode(chunks))
+    copied = copied.repartition(width, "__chunk")
+    if partition_by:
+        copied = copied.withColumn("__group", F.struct(*[quoted(c) for c in partition_by]))
     window = Window.partitionBy("__chunk").orderBy("__idx")
-    shifted = _fold(copied.repartition(width, "__chunk"), specs, window, partition_by)
-    return shifted.where(F.col("__chunk") == F.col("__home")).drop("__idx", "__home", "__chunk")
+    shifted = _fold(copied, specs, window, "__group" if partition_by else None)
+    return shifted.where(F.col("__chunk") == F.col("__home")).drop("__idx", "__home", "__chunk", "__group")
 
 
 def _shift_by_join(indexed: DataFrame, specs: list[dict], partition_by: list[str]) -> DataFrame:
