@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from quarryline.llm.embedding_dedup import near_duplicates
 from quarryline.llm.simhash import simhash_components
+from quarryline.llm.topk_search import top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -28,6 +31,36 @@ def query(name: str, sql: str | None = None):
     return decorate
 
 
+@query("op1_embedding_near_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of cosine 0.9 or more between all embeddings, counted, with components."""
+    return near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+TOP_K_SQL = """
+with sized as (
+    select vec_id, list_transform(embedding, x -> floor(256 * x::double)::bigint) as v from embeddings
+    where vec_id is not null and embedding is not null
+      and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+),
+scored as (
+    select q.vec_id as query_id, c.vec_id as vec_id, list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2]))::bigint as score
+    from sized q join sized c on q.vec_id != c.vec_id and len(q.v) = len(c.v)
+    where q.vec_id % 50 = 0
+),
+ranked as (
+    select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored
+)
+select query_id, rank, vec_id, score from ranked where rank <= 5
+"""
+
+
+@query("op4_exact_top_k", TOP_K_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best matches of every fiftieth vector by integer inner product."""
+    return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query("op10_simhash_near_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
