@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarryline.llm import byte_bpe, html_text
 from quarryline.llm.embedding_dedup import near_duplicates
 from quarryline.llm.simhash import simhash_components
 from quarryline.llm.topk_search import top_k
@@ -37,6 +39,13 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+@query("op2_byte_bpe")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document and the bytes decoded from them, as digests."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.digests(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
 TOP_K_SQL = """
 with sized as (
     select vec_id, list_transform(embedding, x -> floor(256 * x::double)::bigint) as v from embeddings
@@ -61,6 +70,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+@query("op9_html_extraction")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
 @query("op10_simhash_near_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
