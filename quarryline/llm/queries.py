@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarryline.llm import byte_bpe, html_text
+from quarryline.llm import byte_bpe, html_text, language_id, packing, quality, sharding, url_filter
 from quarryline.llm.embedding_dedup import near_duplicates
 from quarryline.llm.simhash import simhash_components
 from quarryline.llm.topk_search import top_k
@@ -46,14 +46,82 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+# The rules of the url filter.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+# Links of a page's markup to itself under other urls, then everything reachable by them.
+URL_SQL = r"""
+with recursive parts as (
+    select page_id, url, html,
+      case when contains(url, '://') then regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1) else '' end as raw_host,
+      case when contains(url, '://') then regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) else '' end as path
+    from pages
+),
+named as (
+    select page_id, html, url, translate(raw_host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host, path
+    from parts
+),
+rules(rule_host, rule_path, ruled) as (
+    values ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+           ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+),
+tags as (
+    select url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\s[^>]*>')) as tag from pages
+),
+links as (
+    select distinct regexp_replace(url, '(?s)#.*$', '') as a,
+      regexp_replace(case when regexp_matches(tag, '(?is)\srel\s*=\s*["'']?canonical') then regexp_extract(tag, '(?is)\shref\s*=\s*["'']?([^"''\s>]+)', 1)
+           else regexp_extract(tag, '(?is)\scontent\s*=\s*["'']?\s*[0-9.]*\s*[;,]\s*(?:url\s*=\s*)?["'']?([^"''\s>]+)', 1) end, '(?s)#.*$', '') as b
+    from tags
+    where regexp_matches(tag, '(?is)\srel\s*=\s*["'']?canonical') or regexp_matches(tag, '(?is)\shttp-equiv\s*=\s*["'']?refresh')
+),
+both_ways as (select a, b from links union select b, a from links),
+reach(a, b) as (select a, b from both_ways union select r.a, w.b from reach r join both_ways w on r.b = w.a),
+places as (
+    select n as node, regexp_extract(n, '(?s)^.*?://([^/?#]*)', 1) as host, regexp_extract(n, '(?s)^.*?://[^/?#]*([^?#]*)', 1) as path
+    from (select distinct b as n from reach)
+),
+place_rules as (
+    select node, arg_max(ruled, length(rule_host || rule_path)) as ruled
+    from places join rules on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)
+    group by node
+),
+inherited as (
+    select a as node, bool_or(ruled = 'block') and not bool_or(ruled = 'allow') as blocks
+    from reach join place_rules on b = node group by a
+),
+best as (
+    select n.page_id, n.url, n.host, n.path, arg_max(rule_host || rule_path, length(rule_host || rule_path)) as rule,
+      arg_max(ruled, length(rule_host || rule_path)) as ruled
+    from named n left join rules on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)
+    group by all
+)
+select page_id, host, path, rule, coalesce(ruled, case when blocks then 'block' end, 'allow') as verdict
+from best left join inherited on node = regexp_replace(url, '(?s)#.*$', '')
+"""
+
+
+@query("op3_url_filters", URL_SQL.replace(r"\\", "\\"))
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every page url, by rule or by its aliases."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.url_verdicts(_table(spark, sf_dir, "pages"), rules)
+
+
 TOP_K_SQL = """
 with sized as (
-    select vec_id, list_transform(embedding, x -> floor(256 * x::double)::bigint) as v from embeddings
+    select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings
     where vec_id is not null and embedding is not null
-      and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ),
 scored as (
-    select q.vec_id as query_id, c.vec_id as vec_id, list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2]))::bigint as score
+    select q.vec_id as query_id, c.vec_id as vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::bigint as score
     from sized q join sized c on q.vec_id != c.vec_id and len(q.v) = len(c.v)
     where q.vec_id % 50 = 0
 ),
@@ -70,6 +138,51 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+@query("op5_language_id")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that are not held out."""
+    documents = _table(spark, sf_dir, "documents")
+    return language_id.predict(documents, language_id.train(documents))
+
+
+@query("op6_best_fit_packing")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bins for all documents; equal texts and equal sources never share one."""
+    return packing.best_fit(_table(spark, sf_dir, "documents"))
+
+
+@query("op7_quality")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from labels that are not held out."""
+    documents = _table(spark, sf_dir, "documents")
+    return quality.score(documents, quality.train(documents, _table(spark, sf_dir, "labels")))
+
+
+SHARD_SQL = """
+with addressed as (
+    select doc_id, coalesce(strlen(text), 0) as bytes, ('0x' || substr(md5(coalesce(doc_id::varchar, '')), 1, 11))::bigint as address
+    from documents
+),
+nodes as (
+    select depth, address >> (44 - depth)::bigint as prefix, sum(bytes) as bytes, count(*) as n
+    from addressed, (select unnest(range(0, 45)) as depth) group by all
+),
+shards as (
+    select c.* from nodes c left join nodes p on p.depth = c.depth - 1 and p.prefix = c.prefix >> 1
+    where (c.bytes <= 1048576 or c.n <= 1) and (p.depth is null or not (p.bytes <= 1048576 or p.n <= 1))
+)
+select doc_id, case when depth = 0 then '' else lpad(bin(prefix), depth::int, '0') end as shard, depth::int as depth,
+  s.bytes::bigint as shard_bytes, s.n::bigint as shard_rows
+from addressed a join shards s on s.prefix = a.address >> (44 - s.depth)::bigint
+"""
+
+
+@query("op8_extendible_sharding", SHARD_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard of every document."""
+    return sharding.assign(_table(spark, sf_dir, "documents"))
+
+
 @query("op9_html_extraction")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
