@@ -54,7 +54,10 @@ class Vocabulary:
         self.tokens = {rank: token for token, rank in ranks.items()}
         # Tokens that merging can never produce cannot end a prefix.
         self.usable = {token: rank for token, rank in ranks.items() if len(token) == 1 or merged(token, ranks) == [token]}
-        self.longest = max(map(len, self.usable))
+        # The longest token that ends in each pair of bytes.
+        self.reach: dict[bytes, int] = {}
+        for token in self.usable:
+            self.reach[token[-2:]] = max(self.reach.get(token[-2:], 0), len(token))
         self.pairs: dict[tuple[int, int], bool] = {}
 
     def apart(self, left: int, right: int) -> bool:
@@ -86,11 +89,12 @@ class PrefixTable:
     def append(self, more: bytes) -> None:
         """Add bytes at the end; earlier entries stay."""
         vocabulary = self.vocabulary
-        usable, longest, pairs, apart = vocabulary.usable, vocabulary.longest, vocabulary.pairs, vocabulary.apart
+        usable, reach, pairs, apart = vocabulary.usable, vocabulary.reach, vocabulary.pairs, vocabulary.apart
         last = self.last
         start = len(last)
         self.piece = piece = self.piece + more
         for end in range(start + 1, len(piece) + 1):
+            longest = reach.get(piece[end - 2 : end], 1) if end > 1 else 1
             for begin in range(max(0, end - longest), end):
                 token = usable.get(piece[begin:end])
                 if token is None:
