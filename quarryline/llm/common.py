@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,24 +42,6 @@ class Stage:
         return self.spark.read.schema(df.schema).parquet(path)
 
 
-def source_bytes(df: DataFrame) -> int:
-    """Size of the files a plan reads, as Spark knows it."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
-
-
-def batches_of(rows: Iterator, size: int) -> Iterator[list]:
-    """Cut an iterator into lists of at most ``size`` items."""
-    held = []
-    for row in rows:
-        held.append(row)
-        if len(held) == size:
-            yield held
-            held = []
-    if held:
-        yield held
-
-
 def _signature(edges: DataFrame) -> tuple:
     row = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
     return tuple(row)
@@ -127,3 +110,28 @@ class DisjointSets:
             return False
         self.parent[max(one, other)] = min(one, other)
         return True
+
+
+def sorted_runs(batches: Iterator, keys: list[str], values: list[str]) -> Iterator[tuple[tuple, dict]]:
+    """Runs of rows with equal integer keys in sorted batches, also across batches: the key and arrays of the values."""
+    held: dict[str, list] = {name: [] for name in values}
+    current = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        columns = {name: batch[name].to_numpy() for name in keys + values}
+        changes = np.zeros(len(batch), dtype=bool)
+        changes[0] = True
+        for name in keys:
+            changes[1:] |= columns[name][1:] != columns[name][:-1]
+        starts = np.flatnonzero(changes).tolist()
+        for start, end in zip(starts, [*starts[1:], len(batch)]):
+            key = tuple(int(columns[name][start]) for name in keys)
+            if current is not None and key != current:
+                yield current, {name: np.concatenate(parts) for name, parts in held.items()}
+                held = {name: [] for name in values}
+            current = key
+            for name in values:
+                held[name].append(columns[name][start:end])
+    if current is not None:
+        yield current, {name: np.concatenate(parts) for name, parts in held.items()}

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarryline.llm.common import DisjointSets, connected_components, pinned, prepare
+from quarryline.llm.common import DisjointSets, connected_components, pinned, prepare, sorted_runs
 
 SEED = 42
 WORDS = 3
@@ -146,19 +146,27 @@ def with_fingerprint(documents: DataFrame, text: str = "text", name: str = "fing
     return documents.withColumn(name, _fingerprints(words)(F.col(text)))
 
 
+SHARD = ["block", "code", "tile_a", "tile_b"]
+
+
 def _shard_links(radius: int):
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        values = np.sort(rows["value"].to_numpy()).view(np.uint64).tolist()
-        tile_a, tile_b = key[2], key[3]
-        if tile_a == tile_b:
-            links = tree_links(values, None, radius)
-        else:
-            own = rows["tile"].to_numpy() == tile_a
-            order = rows["value"].to_numpy()
-            left = np.sort(order[own]).view(np.uint64).tolist()
-            right = np.sort(order[~own]).view(np.uint64).tolist()
-            links = tree_links(left, right, radius)
-        return pd.DataFrame(np.array(links, dtype=np.uint64).reshape(-1, 2).view(np.int64), columns=["a", "b"])
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in links_of(sorted_runs(batches, SHARD, ["value", "tile"])):
+            yield pd.DataFrame(np.array(batch, dtype=np.uint64).reshape(-1, 2).view(np.int64), columns=["a", "b"])
+
+    def links_of(shards: Iterator[tuple[tuple, dict]]) -> Iterator[list[tuple[int, int]]]:
+        held: list[tuple[int, int]] = []
+        for (_, _, tile_a, tile_b), rows in shards:
+            values = rows["value"].view(np.uint64)
+            if tile_a == tile_b:
+                held += tree_links(np.sort(values).tolist(), None, radius)
+            else:
+                own = rows["tile"] == tile_a
+                held += tree_links(np.sort(values[own]).tolist(), np.sort(values[~own]).tolist(), radius)
+            if len(held) >= HASH_CHUNK:
+                yield held
+                held = []
+        yield held
 
     return run
 
@@ -185,7 +193,9 @@ def near_links(nodes: DataFrame, value: str = "fingerprint", radius: int = RADIU
     rows = rows.select(
         "block", "code", F.least("tile", "other").alias("tile_a"), F.greatest("tile", "other").alias("tile_b"), "value", "tile"
     )
-    return rows.groupBy("block", "code", "tile_a", "tile_b").applyInPandas(_shard_links(radius), "a long, b long")
+    # Most shards are tiny, so a task goes through its shards in sorted order instead of starting anew for each.
+    dealt = rows.repartition(*SHARD).sortWithinPartitions(*SHARD)
+    return dealt.mapInPandas(_shard_links(radius), "a long, b long")
 
 
 def simhash_components(documents: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:
