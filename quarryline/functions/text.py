@@ -38,8 +38,17 @@ def is_url(text: Column | str) -> Column:
 
 
 def plain_number_text(value: Column | str) -> Column:
-    """Text of a value; a number without a fraction is printed without ``.0``."""
-    return F.regexp_replace(_column(value).cast("string"), r"^(-?\d+)\.0$", "$1")
+    """Text of a value; a floating-point number without a fraction is printed without ``.0``.
+
+    Such numbers are printed in plain digits from 0.0001 on and below 10^16, beyond with an exponent; NaN is missing.
+    Texts stay as they are.
+    """
+    value = _column(value)
+    text = value.cast("string")
+    size = F.abs(text.try_cast("double"))
+    digits = F.regexp_replace(text.try_cast("decimal(38,18)").cast("string"), r"\.?0+$", "")
+    spelled = F.when(text.contains("E") & (size >= 1e-4) & (size < 1e16), digits).otherwise(F.regexp_replace(text, r"\.0$", ""))
+    return F.when(F.typeof(value).isin("double", "float"), F.when(text != "NaN", spelled)).otherwise(text)
 
 
 def fill_empty(value: Column | str, replacement) -> Column:

@@ -20,15 +20,19 @@ def min_max_by_group(
 ) -> DataFrame:
     """Smallest and largest value of a column per group, as ``<column>_min`` and ``<column>_max``.
 
-    Rows without a key are left out; sorting the result by key is optional.
+    Rows without a key are left out, and NaN counts as missing; sorting the result by key is optional.
     """
     keys = [group_by] if isinstance(group_by, str) else list(group_by)
     low, high = f"{calculation}_min", f"{calculation}_max"
-    has_key = reduce(and_, [quoted(k).isNotNull() for k in keys])
+    floats = {name for name, kind in df.dtypes if kind in ("double", "float")}
+    has_key = reduce(and_, [quoted(k).isNotNull() & (~F.isnan(quoted(k)) if k in floats else F.lit(True)) for k in keys])
+    measured = quoted(calculation)
+    if calculation in floats:
+        measured = F.when(~F.isnan(measured), measured)
     result = (
         df.where(has_key)
         .groupBy(*[quoted(k) for k in keys])
-        .agg(F.min(quoted(calculation)).alias(low), F.max(quoted(calculation)).alias(high))
+        .agg(F.min(measured).alias(low), F.max(measured).alias(high))
     )
     if sort:
         result = result.orderBy(*[quoted(k) for k in keys])

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from datetime import date, datetime
+from decimal import Decimal, InvalidOperation, localcontext
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,40 +17,110 @@ from quarryline.operators.validation import resolvable
 # Longer value lists are joined instead of being spelled out in the plan.
 IN_LIST_LIMIT = 1_000
 
-# Joined lists up to this length are sent to every executor.
-BROADCAST_LIST_LIMIT = 1_000_000
-
 # A band this wide or narrower is read as two top-k queries around the reference row.
-TOP_K_LIMIT = 100_000
+TOP_K_LIMIT = 1_000
+
+INTEGRAL = {"tinyint": 8, "smallint": 16, "int": 32, "bigint": 64}
+
+
+def _type_of(df: DataFrame, column: str):
+    return df.select(quoted(column)).schema[0].dataType
 
 
 def _typed(df: DataFrame, column: str, value) -> Column:
-    """The literal in the type of the column it is compared with."""
+    """The literal in the type of the column it is compared with; null when the text is no such value."""
     if isinstance(value, (date, datetime)):
         value = value.isoformat()
-    return F.lit(value).cast(df.select(quoted(column)).schema[0].dataType)
+    return F.lit(value).try_cast(_type_of(df, column))
+
+
+def _number(value) -> Decimal | None:
+    try:
+        number = Decimal(int(value) if isinstance(value, bool) else str(value).strip())
+    except InvalidOperation:
+        return None
+    return number if number.is_finite() else None
+
+
+def _holds(df: DataFrame, column: str, value) -> bool:
+    """Whether a column of this type can hold exactly this value; a cast would cut off what does not fit."""
+    kind = _type_of(df, column)
+    name = kind.simpleString()
+    if value is None or not (name in INTEGRAL or name.startswith("decimal")):
+        return True
+    number = _number(value)
+    if number is None:
+        return False
+    if name in INTEGRAL:
+        bound = 1 << (INTEGRAL[name] - 1)
+        return number == number.to_integral_value() and -bound <= number < bound
+    with localcontext() as exact:
+        exact.prec = 100
+        scaled = number.scaleb(kind.scale)
+        return scaled == scaled.to_integral_value() and abs(scaled) < 10**kind.precision
+
+
+def _exact(df: DataFrame, column: str, value) -> Column:
+    """The literal of a value that the column can hold."""
+    name = _type_of(df, column).simpleString()
+    if value is not None and (name in INTEGRAL or name.startswith("decimal")):
+        value = str(int(_number(value))) if name in INTEGRAL else format(_number(value), "f")
+    return _typed(df, column, value)
 
 
 def filter_equal(df: DataFrame, column: str, value) -> DataFrame:
-    return df.where(quoted(column) == _typed(df, column, value))
+    """Rows with this value; none when the column's type cannot hold it."""
+    if not _holds(df, column, value):
+        return df.where(F.lit(False))
+    return df.where(quoted(column) == _exact(df, column, value))
 
 
 def filter_different(df: DataFrame, column: str, value) -> DataFrame:
-    """Rows with another value; rows without a value are kept."""
-    return df.where(~quoted(column).eqNullSafe(_typed(df, column, value)))
+    """Rows with another value; rows without a value are kept, and all when the column's type cannot hold it."""
+    if not _holds(df, column, value):
+        return df
+    literal = _exact(df, column, value)
+    if value is None:
+        return df.where(~quoted(column).eqNullSafe(literal))
+    return df.where(~(quoted(column).eqNullSafe(literal) & literal.isNotNull()))
+
+
+def _listed(df: DataFrame, column: str, values: list) -> DataFrame:
+    """Values as rows in the column's type, cast like single literals: each kind of Python value on its own."""
+    kinds = {bool: "boolean", int: "decimal(38,0)", float: "double"}
+    exact = _type_of(df, column).simpleString()
+    tables: dict[str, list] = {}
+    for value in values:
+        if exact in INTEGRAL:
+            tables.setdefault("string", []).append(str(int(_number(value))))
+        elif exact.startswith("decimal"):
+            tables.setdefault("string", []).append(format(_number(value), "f"))
+        elif isinstance(value, (date, datetime)):
+            tables.setdefault("string", []).append(value.isoformat())
+        elif type(value) is int:
+            tables.setdefault(kinds[int], []).append(Decimal(value))
+        else:
+            kind = kinds.get(type(value), "string")
+            tables.setdefault(kind, []).append(value if kind != "string" else str(value))
+    parts = [
+        df.sparkSession.createDataFrame([(v,) for v in dict.fromkeys(rows)], f"wanted {kind}").select(
+            F.col("wanted").try_cast(_type_of(df, column)).alias(column)
+        )
+        for kind, rows in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def filter_multiple_match(df: DataFrame, column: str, values) -> DataFrame:
-    """Rows whose value is in a set (the values of a mapping, or a list)."""
+    """Rows whose value is in a set (the values of a mapping, or a list), however long.
+
+    Values that the column's type cannot hold, and missing ones, match nothing.
+    """
     values = list(values.values()) if isinstance(values, Mapping) else list(values)
+    values = [value for value in values if value is not None and _holds(df, column, value)]
     if len(values) <= IN_LIST_LIMIT:
-        return df.where(quoted(column).isin(*[_typed(df, column, v) for v in values]))
-    key_type = df.select(quoted(column)).schema[0].dataType
-    texts = df.sparkSession.createDataFrame([(text,) for text in sorted({str(v) for v in values})], "wanted string")
-    wanted = texts.select(F.col("wanted").cast(key_type).alias(column))
-    if len(values) > BROADCAST_LIST_LIMIT:
-        return resolvable(df, wanted, [column])
-    return df.join(F.broadcast(wanted), [column], "left_semi").select(*[quoted(c) for c in df.columns])
+        return df.where(quoted(column).isin(*[_exact(df, column, value) for value in values]))
+    return resolvable(df, _listed(df, column, values), [column])
 
 
 def apply_filter(df: DataFrame, column_to_filter: str, filter_to_apply: str, filter_values) -> DataFrame:
@@ -73,18 +145,26 @@ def _sort_key(order_by: list[str]) -> Column:
 
 
 def _compare(df: DataFrame, order_by: list[str], reference, beyond: str) -> Column:
-    """Column-wise comparison with a reference position, so that it reaches the scan.
+    """Column-wise comparison with a reference position, so that it reaches the scan; nulls come first.
 
     The first conjunct bounds the leading column alone: parquet can skip row groups with it.
     """
-    literals = [_typed(df, name, value) for name, value in zip(order_by, reference)]
-    result = F.lit(beyond == "at or after")
-    for name, literal in reversed(list(zip(order_by, literals))):
+    after = beyond == "at or after"
+    result = F.lit(after)
+    for name, value in reversed(list(zip(order_by, reference))):
         column = quoted(name)
-        step = column > literal if beyond == "at or after" else column < literal
-        result = step | ((column == literal) & result)
-    lead = quoted(order_by[0])
-    bound = lead >= literals[0] if beyond == "at or after" else lead <= literals[0]
+        if value is None:
+            step, same = (column.isNotNull() if after else F.lit(False)), column.isNull()
+        else:
+            literal = _typed(df, name, value)
+            step, same = (column > literal if after else column.isNull() | (column < literal)), column == literal
+        result = step | (same & result)
+    lead, value = quoted(order_by[0]), reference[0]
+    if value is None:
+        bound = F.lit(True) if after else lead.isNull()
+    else:
+        literal = _typed(df, order_by[0], value)
+        bound = lead >= literal if after else lead.isNull() | (lead <= literal)
     return bound & result
 
 
@@ -97,7 +177,7 @@ def filter_band(
 ) -> DataFrame:
     """Rows at most ``lower`` before and ``upper`` after the first row matching an expression.
 
-    ``order_by`` must be a total order over non-null columns. A missing side is unbounded; when
+    ``order_by`` must be a total order, in which nulls come first. A missing side is unbounded; when
     nothing matches, all rows come back. The reference position is one row on the driver. Bounded
     sides are top-k queries, so no global index is built; only bands wider than ``TOP_K_LIMIT``
     go through one.
@@ -123,7 +203,7 @@ def _band_by_index(df: DataFrame, position: tuple, order_by: list[str], lower, u
     indexed = add_row_index(df, order_by, name="__row_idx")
     here = F.lit(True)
     for name, value in zip(order_by, position):
-        here = here & (quoted(name) == _typed(df, name, value))
+        here = here & quoted(name).eqNullSafe(_typed(df, name, value))
     at = indexed.where(here).agg(F.min("__row_idx").alias("i")).first().i
     if lower is not None:
         indexed = indexed.where(F.col("__row_idx") >= at - lower)

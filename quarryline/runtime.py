@@ -28,7 +28,7 @@ def scratch_root(spark: SparkSession) -> str:
     )
     if configured:
         return configured
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the whole cluster")
     fallback = "file://" + tempfile.mkdtemp(prefix="quarryline-")
     context.setCheckpointDir(fallback)
@@ -37,7 +37,12 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path below the shared scratch folder that nothing has used before."""
-    return f"{scratch_root(spark).rstrip('/')}/quarryline/{label}-{uuid.uuid4().hex}"
+    return f"{_own_scratch(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _own_scratch(spark: SparkSession) -> str:
+    """The folder of this application below the shared one."""
+    return f"{scratch_root(spark).rstrip('/')}/quarryline/{spark.sparkContext.applicationId}"
 
 
 _shipped: set[str] = set()
@@ -57,9 +62,8 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
-# Bytes of input one shuffle partition should stand for, and how many partitions are sensible.
-SHUFFLE_PARTITION_BYTES = 512 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 32_768
+# Bytes of input one shuffle partition should stand for.
+SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -77,8 +81,11 @@ def _source_bytes(df: DataFrame) -> int:
 def shuffle_width(df: DataFrame) -> int:
     """Partitions for a shuffle of all rows: the session's setting, or more when the data asks for it."""
     configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(estimated_bytes(df) or 0, _source_bytes(df)) // SHUFFLE_PARTITION_BYTES
-    return max(configured, min(wanted, MAX_SHUFFLE_PARTITIONS))
+    sources, result = _source_bytes(df), estimated_bytes(df)
+    known = sources if result is None else min(result, sources)
+    # Sources whose size nobody knows are no reason for a width.
+    wanted = known // SHUFFLE_PARTITION_BYTES if known < 1 << 60 else 0
+    return max(configured, wanted)
 
 
 def broadcast_is_certain(df: DataFrame) -> bool:
@@ -188,8 +195,8 @@ def java_class_exists(spark: SparkSession, name: str) -> bool:
 
 
 def clear_scratch(spark: SparkSession) -> None:
-    """Remove what this library left in the shared scratch folder; call it when results are stored."""
-    remove_output(spark, f"{scratch_root(spark).rstrip('/')}/quarryline")
+    """Remove what this application left in the shared scratch folder; call it when results are stored."""
+    remove_output(spark, _own_scratch(spark))
 
 
 def task_filesystem(path: str):

@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from quarryline.runtime import MAX_SHUFFLE_PARTITIONS, SHUFFLE_PARTITION_BYTES
+from quarryline.runtime import SHUFFLE_PARTITION_BYTES
 
 
 def recommended_settings(input_bytes: int, cores: int) -> dict[str, str]:
     """Spark settings for a job over so many bytes on so many cores.
 
-    Shuffles start with partitions of about half a gigabyte, which adaptive execution merges when
+    Shuffles start with partitions of about 128 MB, which adaptive execution merges when
     they turn out small and splits in joins when keys are skewed.
     """
-    partitions = min(max(cores, input_bytes // SHUFFLE_PARTITION_BYTES), MAX_SHUFFLE_PARTITIONS)
+    partitions = max(cores, input_bytes // SHUFFLE_PARTITION_BYTES)
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.enabled": "true",

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Mapping
+from functools import reduce
 
 import pandas as pd
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from quarryline.functions.checksums import all_checksums
 from quarryline.functions.dates import quoted
@@ -90,7 +91,12 @@ def _file_table(
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
-    """Files of a folder as a table: path, modificationTime, length. Contents are not read."""
+    """Files of a folder as a table: path, modificationTime, length. Contents are not read.
+
+    A folder that does not exist has no files.
+    """
+    if not expand_glob(spark, folder):
+        return spark.createDataFrame([], "path string, modificationTime timestamp, length long")
     return _file_table(spark, folder, pattern, False).select("path", "modificationTime", "length")
 
 
@@ -164,9 +170,11 @@ def _inferred(frame: DataFrame, names: list[str]) -> DataFrame:
     frame = frame.withColumns(texts)
 
     def rank(value: Column) -> Column:
-        whole = value.rlike(WHOLE_NUMBER) & value.try_cast("bigint").isNotNull()
+        whole = value.rlike(WHOLE_NUMBER)
+        fits, wide = (F.trim(value).try_cast(kind).isNotNull() for kind in ("bigint", "decimal(38,0)"))
         flag = F.lower(value).isin("true", "false")
-        ranked = F.when(whole, 1).when(value.rlike(NUMBER), 2).when(flag, 3).otherwise(4)
+        number = F.when(whole & ~fits & ~wide, 5).when(value.rlike(NUMBER), 3)
+        ranked = F.when(whole & fits, 1).when(whole & wide, 2).otherwise(F.coalesce(number, F.when(flag, 4), F.lit(5)))
         return F.when(value.isNotNull(), ranked)
 
     ranks = frame.select(*[rank(quoted(n)).alias(f"r{i}") for i, n in enumerate(names)])
@@ -175,20 +183,39 @@ def _inferred(frame: DataFrame, names: list[str]) -> DataFrame:
     chosen = {}
     for i, name in enumerate(names):
         low, high = facts[f"low{i}"], facts[f"high{i}"]
-        if high is None or high <= 2:
-            chosen[name] = F.trim(quoted(name)).cast("bigint" if high == 1 else "double")
-        elif low == high == 3:
+        if high is None or high <= 3:
+            chosen[name] = F.trim(quoted(name)).cast({1: "bigint", 2: "decimal(38,0)"}.get(high, "double"))
+        elif low == high == 4:
             chosen[name] = quoted(name).cast("boolean")
     return frame.withColumns(chosen) if chosen else frame
 
 
+def _csv_by_name(reader, groups: list[list[str]], schema: StructType) -> DataFrame:
+    """Columns of a schema by header name: files may order them differently; what a file lacks is null."""
+    parts = []
+    for group in groups:
+        header = reader(None).csv(group).columns
+        kinds = {field.name: field for field in schema}
+        found = StructType([kinds.get(name, StructField(name, StringType())) for name in header])
+        part = _with_provenance(reader(found).csv(group))
+        columns = [quoted(f.name) if f.name in header else F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+        parts.append(part.select(*columns, SOURCE_FILE_COLUMN))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _load_csv(spark: SparkSession, paths: list[str], spec: Mapping) -> DataFrame:
     """One multi-file scan per distinct header, joined by column name."""
-    reader = spark.read.options(
-        header=True, sep=field_delimiter(spec), escape='"', multiLine=_has_multi_line_fields(spark, paths, spec)
-    )
+    options = {"header": True, "sep": field_delimiter(spec), "escape": '"', "multiLine": _has_multi_line_fields(spark, paths, spec)}
+    reader = spark.read.options(**options)
     if spec.get("schema") is not None:
-        return _with_provenance(reader.schema(spec["schema"]).csv(paths))
+        given = spec["schema"]
+        schema = given if isinstance(given, StructType) else spark.createDataFrame([], given).schema
+
+        def typed(kinds: StructType | None):
+            fresh = spark.read.options(**options)
+            return fresh if kinds is None else fresh.schema(kinds)
+
+        return _csv_by_name(typed, _csv_groups(spark, paths), schema)
     united = union_tables([_with_provenance(reader.csv(group)) for group in _csv_groups(spark, paths)])
     return _inferred(united, [c for c in united.columns if c != SOURCE_FILE_COLUMN])
 

@@ -112,7 +112,7 @@ def test_is_url(spark):
 def test_fill_empty(spark):
     frame = spark.createDataFrame([(1.0, "nancy"), (1.05, None), (None, "1.0")], "n double, s string")
     seen = rows(frame.select(text.fill_empty("n", "-"), text.fill_empty("s", "-")))
-    assert seen == [("-", "1"), ("1", "nancy"), ("1.05", "-")]
+    assert seen == [("-", "1.0"), ("1", "nancy"), ("1.05", "-")]
 
 
 def test_parameter_texts(spark):

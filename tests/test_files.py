@@ -88,7 +88,7 @@ def test_csv_values(spark, tmp_path):
     )
     spec = {"format": "csv", "file list": [str(tmp_path / "v.csv")]}
     loaded = files.load(spark, spec).drop(SOURCE_FILE_COLUMN)
-    assert [k for _, k in loaded.dtypes] == ["bigint", "double", "boolean", "string", "string", "double"]
+    assert [k for _, k in loaded.dtypes] == ["bigint", "double", "boolean", "string", "string", "decimal(38,0)"]
     assert rows(loaded) == [
         (1, 1000.0, True, 'say "hi", you', "2024-01-01", 1e20), (7, float("-inf"), None, "1.0d", "2024-01-02", 2.0),
         (None, 0.5, False, "two\nlines", None, 1.0),
@@ -346,3 +346,34 @@ def test_globs(spark, tmp_path):
         (tmp_path / f"full-{name}").write_text("x")
     for pattern, count in (("*.csv", 4), ("{a,b}?.csv", 2), ("*[13].*", 4), ("*", 6), ("a.csv", 0)):
         assert files.list_files(spark, str(tmp_path), pattern).count() == count
+
+
+def test_csv_schema_goes_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "b.csv").write_text("b,extra,a\n20,x,10\n")
+    (tmp_path / "c.csv").write_text("a\n5\n")
+    spec = {"format": "csv", "file list": [str(tmp_path)], "schema": "a int, b int"}
+    assert {(r.a, r.b) for r in files.load(spark, spec).collect()} == {(1, 2), (10, 20), (5, None)}
+
+
+def test_csv_integers_beyond_64_bits_stay_exact(spark, tmp_path):
+    (tmp_path / "w.csv").write_text("id,long\n12345678901234567891," + "9" * 50 + "\n12345678901234567892,1\n")
+    frame = files.load(spark, {"format": "csv", "file list": [str(tmp_path / "w.csv")]})
+    assert dict(frame.dtypes)["id"] == "decimal(38,0)" and dict(frame.dtypes)["long"] == "string"
+    assert {str(r.id) for r in frame.collect()} == {"12345678901234567891", "12345678901234567892"}
+
+
+def test_missing_folder_has_no_files(spark, tmp_path):
+    listed = files.list_files(spark, str(tmp_path / "absent"))
+    assert listed.columns == ["path", "modificationTime", "length"] and listed.count() == 0
+
+
+def test_scratch_of_other_applications_stays(spark, tmp_path):
+    from pathlib import Path
+
+    own = Path(runtime.scratch_path(spark, "x").removeprefix("file://").removeprefix("file:"))
+    other = own.parent.parent / "application-other" / "table"
+    for folder in (own, other):
+        folder.mkdir(parents=True)
+    runtime.clear_scratch(spark)
+    assert not own.exists() and other.exists()

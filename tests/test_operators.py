@@ -34,7 +34,6 @@ def test_filter_names_with_blanks(spark):
 @pytest.mark.parametrize("limit", [0, 1_000_000])
 def test_long_lists(spark, monkeypatch, limit):
     monkeypatch.setattr(filters, "IN_LIST_LIMIT", 10)
-    monkeypatch.setattr(filters, "BROADCAST_LIST_LIMIT", limit)
     kept = filters.filter_multiple_match(spark.range(100), "id", [*range(40), 3, 3])
     assert kept.count() == 40
 
@@ -209,3 +208,50 @@ def _check_references(spark, hot_rows):
 def test_non_empty_list(spark):
     frame = spark.createDataFrame([([1], True), ([], False), (None, False)], "a array<int>, expected boolean")
     assert frame.where(validation.non_empty_list("a") != F.col("expected")).count() == 0
+
+
+def test_literals_that_a_column_cannot_hold(spark):
+    frame = spark.createDataFrame([(7, "7"), (8, None), (None, "x")], "k long, t string")
+    assert filters.filter_equal(frame, "k", 7.5).count() == 0
+    assert filters.filter_equal(frame, "k", "abc").count() == 0
+    assert filters.filter_equal(frame, "k", 1 << 70).count() == 0
+    assert filters.filter_equal(frame, "k", "7").count() == filters.filter_equal(frame, "k", 7.0).count() == 1
+    assert filters.filter_different(frame, "k", 7.5).count() == 3
+    assert filters.filter_different(frame, "k", "abc").count() == 3
+    assert filters.filter_different(frame, "k", 7).count() == 2
+
+
+@pytest.mark.parametrize("more", [0, 1200])
+def test_list_length_does_not_change_the_answer(spark, more):
+    frame = spark.createDataFrame([("true",), ("1.0E7",), ("x",), (None,), ("None",)], "t string")
+    values = [None, True, 1e7, *[f"other {i}" for i in range(more)]]
+    assert {r.t for r in filters.filter_multiple_match(frame, "t", values).collect()} == {"true", "1.0E7"}
+    numbers = spark.range(20).toDF("k")
+    wanted = [7.5, 3, "4", 5.0, "abc", *range(100, 100 + more)]
+    assert {r.k for r in filters.filter_multiple_match(numbers, "k", wanted).collect()} == {3, 4, 5}
+
+
+@pytest.mark.parametrize("top_k", [1_000, 1])
+def test_band_with_missing_order_keys(spark, monkeypatch, top_k):
+    monkeypatch.setattr(filters, "TOP_K_LIMIT", top_k)
+    frame = spark.createDataFrame([(None, 1), (None, 2), (3, 3), (4, 4), (5, 5)], "k int, id int")
+    band = lambda condition, low, up: sorted(r.id for r in filters.filter_band(frame, condition, ["k", "id"], low, up).collect())
+    assert band("id = 3", 2, 1) == [1, 2, 3, 4]
+    assert band("id = 2", 5, 2) == [1, 2, 3, 4]
+    assert band("id = 1", 2, None) == [1, 2, 3, 4, 5]
+
+
+def test_not_a_number_counts_as_missing(spark):
+    frame = spark.createDataFrame([("a", 1.0), ("a", float("nan")), ("b", float("nan"))], "g string, v double")
+    found = {tuple(r) for r in aggregates.min_max_by_group(frame, "g", "v").collect()}
+    assert found == {("a", 1.0, 1.0), ("b", None, None)}
+
+
+def test_text_of_numbers(spark):
+    values = [12345678.0, 0.0005, 1e-7, 1e20, 2.5, -3.0, float("nan"), None]
+    frame = spark.createDataFrame([(v, "1.0") for v in values], "v double, t string")
+    from quarryline.functions.text import fill_empty
+
+    found = [tuple(r) for r in frame.select(fill_empty("v", "-"), fill_empty("t", "-")).collect()]
+    assert [t for t, _ in found] == ["12345678", "0.0005", "1.0E-7", "1.0E20", "2.5", "-3", "-", "-"]
+    assert {t for _, t in found} == {"1.0"}
