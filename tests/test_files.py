@@ -90,8 +90,9 @@ def test_csv_values(spark, tmp_path):
     loaded = files.load(spark, spec).drop(SOURCE_FILE_COLUMN)
     assert [k for _, k in loaded.dtypes] == ["bigint", "double", "boolean", "string", "string", "decimal(38,0)"]
     assert rows(loaded) == [
-        (1, 1000.0, True, 'say "hi", you', "2024-01-01", 1e20), (7, float("-inf"), None, "1.0d", "2024-01-02", 2.0),
-        (None, 0.5, False, "two\nlines", None, 1.0),
+        (1, 1000.0, True, 'say "hi", you', "2024-01-01", Decimal(10**20 - 1)),
+        (7, float("-inf"), None, "1.0d", "2024-01-02", Decimal(2)),
+        (None, 0.5, False, "two\nlines", None, Decimal(1)),
     ]
     assert files.load(spark, {**spec, "multi line": False}).count() == 4
 
@@ -368,11 +369,11 @@ def test_missing_folder_has_no_files(spark, tmp_path):
     assert listed.columns == ["path", "modificationTime", "length"] and listed.count() == 0
 
 
-def test_scratch_of_other_applications_stays(spark, tmp_path):
-    from pathlib import Path
-
-    own = Path(runtime.scratch_path(spark, "x").removeprefix("file://").removeprefix("file:"))
-    other = own.parent.parent / "application-other" / "table"
+def test_scratch_of_other_applications_stays(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(runtime, "scratch_root", lambda spark: str(tmp_path))
+    own = tmp_path / "quarryline" / spark.sparkContext.applicationId / "table"
+    assert str(own.parent) == runtime.scratch_path(spark, "x").rsplit("/", 1)[0]
+    other = tmp_path / "quarryline" / "application-other" / "table"
     for folder in (own, other):
         folder.mkdir(parents=True)
     runtime.clear_scratch(spark)
