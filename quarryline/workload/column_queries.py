@@ -208,6 +208,27 @@ _register_checksum("H5_sha384", lambda c: checksums.sha2(c, 384), None)
 _register_checksum("H6_sha512", lambda c: checksums.sha2(c, 512), None)
 
 
+def _register_digest_groups(name, bits):
+    """Digests that SQL does not know: equal exactly where texts are, and of the right length."""
+
+    @query(
+        name,
+        f"""SELECT doc_id, {bits // 4} AS digits, count(*) OVER (PARTITION BY text) AS copies, true AS hexadecimal
+            FROM documents""",
+    )
+    def digest_groups(spark, sf_dir):
+        digests = table(spark, sf_dir, "documents").select("doc_id", checksums.sha2("text", bits).alias("digest"))
+        sizes = digests.groupBy("digest").agg(F.count("*").alias("copies"))
+        return digests.join(sizes, "digest").select(
+            "doc_id", F.length("digest").alias("digits"), "copies", F.col("digest").rlike("^[0-9a-f]+$").alias("hexadecimal")
+        )
+
+
+_register_digest_groups("H3_sha224_groups", 224)
+_register_digest_groups("H5_sha384_groups", 384)
+_register_digest_groups("H6_sha512_groups", 512)
+
+
 @query(
     "P2_property_inheritance",
     """SELECT n_nationkey, CASE WHEN n_nationkey % 3 = 0 THEN r_name WHEN n_nationkey % 3 = 1 THEN 'WORLD'

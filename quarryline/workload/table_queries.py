@@ -236,9 +236,9 @@ def first_current_and_last(spark, sf_dir):
     return aggregates.first_current_and_last(placed, "End Date", ["l_orderkey"])
 
 
-@query("A5_row_count", "SELECT count(*) AS rows_counted FROM lineitem WHERE l_returnflag = 'R'")
+@query("A5_row_count", "SELECT count(*) AS rows_counted FROM lineitem")
 def row_count(spark, sf_dir):
-    return aggregates.row_count(table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'"))
+    return aggregates.row_count(table(spark, sf_dir, "lineitem"))
 
 
 # --------------------------------------------------------------------------- shifts and index
@@ -375,3 +375,62 @@ def union_by_name(spark, sf_dir):
         table(spark, sf_dir, "nation"), {"n_nationkey": "key", "n_name": "name", "n_regionkey": "region"}
     )
     return columns.union_tables([regions, nations])
+
+
+# ----------------------------------------------------------- values beyond the ordinary
+
+
+@query("F1_filter_equal_fraction", "SELECT o_orderkey FROM orders WHERE false")
+def filter_equal_fraction(spark, sf_dir):
+    return filters.filter_equal(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", 7.5)
+
+
+@query("F1_filter_equal_text_on_number", "SELECT o_orderkey FROM orders WHERE false")
+def filter_equal_text_on_number(spark, sf_dir):
+    return filters.filter_equal(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", "abc")
+
+
+@query("F2_filter_different_fraction", "SELECT o_orderkey FROM orders")
+def filter_different_fraction(spark, sf_dir):
+    return filters.filter_different(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", 7.5)
+
+
+@query(
+    "F3_filter_long_list_of_kinds",
+    """SELECT o_orderkey, planted FROM (SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'true' WHEN 1 THEN '1.0E7'
+        WHEN 2 THEN 'None' ELSE 'x' END AS planted FROM orders) WHERE planted IN ('true', '1.0E7')""",
+)
+def filter_long_list_of_kinds(spark, sf_dir):
+    key = F.col("o_orderkey") % 4
+    planted = F.when(key == 0, "true").when(key == 1, "1.0E7").when(key == 2, "None").otherwise("x")
+    frame = table(spark, sf_dir, "orders").select("o_orderkey", planted.alias("planted"))
+    return filters.filter_multiple_match(frame, "planted", [None, True, 1e7, *[f"other {i}" for i in range(1200)]])
+
+
+_BAND_NULLS = """WITH planted AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 > 0 THEN o_custkey END AS part FROM orders),
+    placed AS (SELECT *, row_number() OVER (ORDER BY part NULLS FIRST, o_orderkey) AS n FROM planted),
+    here AS (SELECT min(n) AS spot FROM placed WHERE part >= 5)
+    SELECT o_orderkey, part FROM placed, here WHERE n BETWEEN spot - {width} AND spot + {width}"""
+
+
+def _register_band_null_keys(name, width):
+    @query(name, _BAND_NULLS.format(width=width))
+    def band_null_keys(spark, sf_dir):
+        part = F.when(F.col("o_orderkey") % 3 > 0, F.col("o_custkey"))
+        frame = table(spark, sf_dir, "orders").select("o_orderkey", part.alias("part"))
+        return filters.filter_band(frame, "part >= 5", ["part", "o_orderkey"], lower=width, upper=width)
+
+
+_register_band_null_keys("F5_band_null_keys", 100)
+_register_band_null_keys("F5_wide_band_null_keys", 2_000)
+
+
+@query(
+    "A1_min_max_nan",
+    """SELECT o_custkey, min(v) AS v_min, max(v) AS v_max FROM (SELECT o_custkey,
+        CASE WHEN o_orderkey % 5 > 0 THEN o_totalprice END AS v FROM orders) GROUP BY o_custkey""",
+)
+def min_max_nan(spark, sf_dir):
+    planted = F.when(F.col("o_orderkey") % 5 > 0, F.col("o_totalprice")).otherwise(F.lit(float("nan")))
+    frame = table(spark, sf_dir, "orders").select("o_custkey", planted.alias("v"))
+    return aggregates.min_max_by_group(frame, "o_custkey", "v")
