@@ -149,20 +149,30 @@ def with_fingerprint(documents: DataFrame, text: str = "text", name: str = "fing
 SHARD = ["block", "code", "tile_a", "tile_b"]
 
 
-def _shard_links(radius: int):
+def _from_longs(values: np.ndarray) -> list[int]:
+    return np.sort(values.view(np.uint64)).tolist()
+
+
+def _to_longs(links: list[tuple[int, int]]) -> pd.DataFrame:
+    return pd.DataFrame(np.array(links, dtype=np.uint64).reshape(-1, 2).view(np.int64), columns=["a", "b"])
+
+
+def _shard_links(radius: int, numbers=_from_longs, frame=_to_longs):
+    """Links inside sorted shards; ``numbers`` reads fingerprints as sorted integers, ``frame`` writes links of them."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in links_of(sorted_runs(batches, SHARD, ["value", "tile"])):
-            yield pd.DataFrame(np.array(batch, dtype=np.uint64).reshape(-1, 2).view(np.int64), columns=["a", "b"])
+        for links in links_of(sorted_runs(batches, SHARD, ["value", "tile"])):
+            yield frame(links)
 
     def links_of(shards: Iterator[tuple[tuple, dict]]) -> Iterator[list[tuple[int, int]]]:
         held: list[tuple[int, int]] = []
         for (_, _, tile_a, tile_b), rows in shards:
-            values = rows["value"].view(np.uint64)
+            values = rows["value"]
             if tile_a == tile_b:
-                held += tree_links(np.sort(values).tolist(), None, radius)
+                held += tree_links(numbers(values), None, radius)
             else:
                 own = rows["tile"] == tile_a
-                held += tree_links(np.sort(values[own]).tolist(), np.sort(values[~own]).tolist(), radius)
+                held += tree_links(numbers(values[own]), numbers(values[~own]), radius)
             if len(held) >= HASH_CHUNK:
                 yield held
                 held = []
@@ -171,6 +181,22 @@ def _shard_links(radius: int):
     return run
 
 
+def links_in_shards(rows: DataFrame, run, schema: str, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """Links found by ``run`` in every shard of distinct rows (block, code, value); large shards are tiled."""
+    # A shard with one fingerprint has no links, and shards beyond the limit are tiled.
+    sizes = rows.groupBy("block", "code").agg(F.count("*").alias("n")).where("n > 1")
+    tiles = F.ceil(F.col("n") / F.lit(shard_rows)).cast("int")
+    rows = rows.join(sizes, ["block", "code"]).withColumn("tiles", tiles)
+    rows = rows.withColumn("tile", F.pmod(F.xxhash64("value"), F.col("tiles")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
+    rows = rows.select("block", "code", "value", "tile", other.alias("other"))
+    rows = rows.select(
+        "block", "code", F.least("tile", "other").alias("tile_a"), F.greatest("tile", "other").alias("tile_b"), "value", "tile"
+    )
+    # Most shards are tiny, so a task goes through its shards in sorted order instead of starting anew for each.
+    return rows.repartition(*SHARD).sortWithinPartitions(*SHARD).mapInPandas(run, schema)
+
+
 def near_links(nodes: DataFrame, value: str = "fingerprint", radius: int = RADIUS, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """Links (a, b) between distinct fingerprints; they connect all that differ in ``radius`` bits or fewer."""
     prepare(nodes.sparkSession)
@@ -183,19 +209,7 @@ def near_links(nodes: DataFrame, value: str = "fingerprint", radius: int = RADIU
         mask = (1 << size) - 1 if size < BITS else -1
         codes.append(F.struct(F.lit(block).alias("block"), part.bitwiseAND(F.lit(mask)).alias("code")))
     rows = nodes.select(F.col(value).alias("value"), F.explode(F.array(*codes)).alias("s")).select("value", "s.*")
-    # A shard with one fingerprint has no links, and shards beyond the limit are tiled.
-    sizes = rows.groupBy("block", "code").agg(F.count("*").alias("n")).where("n > 1")
-    tiles = F.ceil(F.col("n") / F.lit(shard_rows)).cast("int")
-    rows = rows.join(sizes, ["block", "code"]).withColumn("tiles", tiles)
-    rows = rows.withColumn("tile", F.pmod(F.xxhash64("value"), F.col("tiles")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
-    rows = rows.select("block", "code", "value", "tile", other.alias("other"))
-    rows = rows.select(
-        "block", "code", F.least("tile", "other").alias("tile_a"), F.greatest("tile", "other").alias("tile_b"), "value", "tile"
-    )
-    # Most shards are tiny, so a task goes through its shards in sorted order instead of starting anew for each.
-    dealt = rows.repartition(*SHARD).sortWithinPartitions(*SHARD)
-    return dealt.mapInPandas(_shard_links(radius), "a long, b long")
+    return links_in_shards(rows, _shard_links(radius), "a long, b long", shard_rows)
 
 
 def simhash_components(documents: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:
@@ -233,10 +247,15 @@ def one_of_each(documents: DataFrame, key: str = "doc_id", text: str = "text", w
     marked = with_fingerprint(documents.select(F.struct(*columns).alias("row")).select("row", F.col(f"row.`{text}`").alias("text")), "text", "value", words)
     ids = pinned(marked.select(F.col(f"row.`{key}`").alias("key"), "value", F.xxhash64("row").alias("digest")), "fingerprints")
     nodes = ids.groupBy("value").agg(F.min(F.struct(F.col("key").isNull().alias("last"), "key", "digest")).alias("best"))
-    roots = connected_components(near_links(nodes, "value", radius))
+    return first_of_each(documents, nodes, connected_components(near_links(nodes, "value", radius)), key)
+
+
+def first_of_each(documents: DataFrame, nodes: DataFrame, roots: DataFrame, key: str) -> DataFrame:
+    """One row of every component: ``nodes`` has a value and its ``best`` (last, key, digest), ``roots`` joins values."""
+    columns = documents.columns
     joined = nodes.join(roots, nodes["value"] == roots["node"], "left")
-    keep = joined.groupBy(F.coalesce("root", "value").alias("root")).agg(F.min(F.struct("best", "value")).alias("kept"))
-    keep = keep.select("kept.value", F.col("kept.best.key").alias("key"), F.col("kept.best.digest").alias("digest"))
+    keep = joined.groupBy(F.coalesce("root", "value").alias("root")).agg(F.min("best").alias("best"))
+    keep = keep.select(F.col("best.key").alias("key"), F.col("best.digest").alias("digest"))
     source = documents.select(F.struct(*columns).alias("row"))
     source = source.select("row", F.col(f"row.`{key}`").alias("key"), F.xxhash64("row").alias("digest"))
     picked = source.join(keep, source["key"].eqNullSafe(keep["key"]) & (source["digest"] == keep["digest"]), "left_semi")

@@ -13,7 +13,7 @@ import pytest
 import tiktoken
 import xxhash
 
-from quarryline.llm import byte_bpe, html_text, language_id, packing, quality, sharding, simhash, topk_search, url_filter
+from quarryline.llm import byte_bpe, html_text, language_id, near_copies, packing, quality, sharding, simhash, topk_search, url_filter
 from quarryline.llm.common import connected_components
 from quarryline.llm.embedding_dedup import near_duplicates
 from quarryline.llm.topk_search import top_k
@@ -375,6 +375,27 @@ def test_tiled_shards_connect_the_same(spark):
         assert {r["root"] for r in roots} == {min(values)} and len(roots) == len(values)
 
 
+def test_near_copies_of_similarity_go(spark):
+    source = random.Random(8)
+    words = [f"w{i}" for i in range(4000)]
+    rows, groups = [], 60
+    for group in range(groups):
+        text = source.choices(words, k=source.choice([60, 200, 900]))
+        for copy in range(source.choice([1, 2, 5])):
+            own = list(text)
+            # One edit takes five shingles; similarity stays at 0.8 or more.
+            for _ in range(min(copy, len(own) // 60)):
+                own[source.randrange(len(own))] = f"edit{group}-{copy}"
+            rows.append((group * 10 + copy, " ".join(own), "a"))
+    rows += [(10_000, None, None), (10_001, "", "a"), (10_001, " \t", "a"), (None, rows[0][1], "b"), (10_002, "a b", "a"), (10_003, "A  b", "a")]
+    rows += rows[:5] + [(10_004, "long " + " ".join(source.choices(words, k=60_000)), "a")]
+    frame = documents(spark, rows)
+    kept = near_copies.one_of_each(frame)
+    assert kept.columns == frame.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == [g * 10 for g in range(groups)] + [10_000, 10_002, 10_004]
+    assert near_copies.one_of_each(frame.limit(0)).count() == 0
+
+
 def test_tree_search_is_complete():
     rng = random.Random(1)
     tree, values = simhash.BKTree(), [rng.getrandbits(10) for _ in range(300)]
