@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarryline.llm import language_id, packing, quality, simhash
+from quarryline.llm import language_id, near_copies, packing, quality
 from quarryline.llm.common import pinned
 
 # A language that fits hardly better than chance is not recognised.
@@ -27,7 +27,7 @@ def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    return simhash.one_of_each(docs)
+    return near_copies.one_of_each(docs)
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
