@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from quarryline.llm.common import pinned
 
 SHARD_BYTES = 1 << 20
-KEY_BITS = 44
-SALT_BITS = 16
+KEY_BITS = 36
+# A key may fill 2 ** 26 shards of its own, which is 64 TiB at the default limit.
+SALT_BITS = 26
 BITS = KEY_BITS + SALT_BITS
 # Bits that a round looks beyond the depth that even buckets need.
 SPARE_BITS = 4
@@ -40,7 +41,7 @@ def assign(documents: DataFrame, key: str = "doc_id", text: str = "text", limit:
     """Shard of every row: ``key``, ``shard`` (prefix bits), ``depth``, ``shard_bytes``, ``shard_rows``.
 
     A row weighs the UTF-8 bytes of its text, null texts nothing. No shard weighs more than ``limit``, except shards
-    of one row that does so alone (and rows that agree in all address bits, one in 65,536 of a key). One shard with
+    of one row that does so alone (and rows that agree in all address bits, one in 2 ** 26 of a key). One shard with
     an empty prefix holds all when they fit. Null keys count as one key; repeated rows are rows. An empty table
     gives no rows. Other columns are not looked at.
     """
