@@ -184,7 +184,7 @@ def _bags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         passages, lengths, counts = windows(batch["text"].tolist())
         parts = np.split(features(passages, lengths), np.cumsum(counts)[:-1]) if len(counts) else []
-        yield pd.DataFrame({"label": batch["label"], "bag": [part.tobytes() for part in parts]})
+        yield pd.DataFrame({"key": batch["key"], "label": batch["label"], "bag": [part.tobytes() for part in parts]})
 
 
 def train(
@@ -198,7 +198,7 @@ def train(
     """A classifier fitted on labelled documents that are not held out; nothing unless both labels occur.
 
     About ``sample_documents`` labelled rows are drawn by a hash of the key, so the driver holds a bounded sample of
-    passage features. Rows with a null key or label teach nothing; a label counts once for every equal row.
+    passage features. Rows with a null key or label teach nothing; of rows with one key and label one teaches.
     """
     spark = documents.sparkSession
     prepare(spark)
@@ -211,8 +211,10 @@ def train(
     drawn = known.where(F.pmod(F.xxhash64("key", F.lit(SEED)), F.lit(1 << 30)) < share)
     rows = documents.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     # The sample of labels is bounded, so it is sent to the documents instead of moving these.
-    picked = rows.join(F.broadcast(drawn), "key").select("text", "label")
-    sample = picked.mapInPandas(_bags, "label int, bag binary").collect()
+    picked = rows.join(F.broadcast(drawn), "key").select(F.xxhash64("key").alias("key"), "text", "label")
+    bags = picked.mapInPandas(_bags, "key long, label int, bag binary")
+    # However many rows have a key, one of them is enough.
+    sample = bags.groupBy("key", "label").agg(F.min("bag").alias("bag")).collect()
     truth = np.array([r["label"] for r in sample], dtype=np.float64)
     if len(np.unique(truth)) < 2:
         return None
