@@ -208,29 +208,18 @@ def _encoder(shared, pattern: str) -> Encoder:
     return _encoders[name]
 
 
-def _encode_batches(shared, pattern: str):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = _encoder(shared, pattern)
-        for batch in batches:
-            yield pd.DataFrame({"key": batch["key"], "ids": [encoder.encode(text or "") for text in batch["text"]]})
-
-    return run
-
-
 def _digest_batches(shared, pattern: str):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = _encoder(shared, pattern)
-        for batch in batches:
+        for texts in batches:
             rows = []
-            for text in batch["text"]:
+            for text in texts:
                 packed = encoder.encode(text or "")
                 decoded = encoder.decode(packed)
                 rows.append((len(packed) // 4, hashlib.sha256(packed).hexdigest(), hashlib.sha256(decoded).hexdigest()))
-            out = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
-            out.insert(0, "key", batch["key"].to_numpy())
-            yield out
+            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return run
+    return F.pandas_udf(run, "n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def _inputs(documents: DataFrame, ranks_path: str, key: str, text: str):
@@ -238,20 +227,19 @@ def _inputs(documents: DataFrame, ranks_path: str, key: str, text: str):
     prepare(spark)
     # A vocabulary file has a fixed size of about a megabyte.
     shared = spark.sparkContext.broadcast(read_ranks(ranks_path))
-    rows = documents.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    return rows, shared, rows.schema["key"].dataType.simpleString()
+    return documents.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")), shared
 
 
 def encode(documents: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key`` and ``ids`` (array of int) of every whole text; see ``digests`` for the treatment of odd rows."""
-    rows, shared, kind = _inputs(documents, ranks_path, key, text)
+    rows, shared = _inputs(documents, ranks_path, key, text)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in _encode_batches(shared, pattern)(batches):
-            batch["ids"] = [np.frombuffer(packed, dtype="<u4").astype(np.int32) for packed in batch["ids"]]
-            yield batch
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        encoder = _encoder(shared, pattern)
+        for texts in batches:
+            yield pd.Series([np.frombuffer(encoder.encode(text or ""), dtype="<u4").astype(np.int32) for text in texts], dtype=object)
 
-    return rows.mapInPandas(run, f"key {kind}, ids array<int>").withColumnRenamed("key", key)
+    return rows.select(F.col("key").alias(key), F.pandas_udf(run, "array<int>")("text").alias("ids"))
 
 
 def decode(tokens: DataFrame, ranks_path: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -259,16 +247,13 @@ def decode(tokens: DataFrame, ranks_path: str, key: str = "doc_id", ids: str = "
     spark = tokens.sparkSession
     prepare(spark)
     shared = spark.sparkContext.broadcast(read_ranks(ranks_path))
-    rows = tokens.select(F.col(key).alias("key"), F.col(ids).alias("ids"))
-    kind = rows.schema["key"].dataType.simpleString()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         by_rank = {rank: token for token, rank in shared.value.items()}
-        for batch in batches:
-            found = [b"".join([by_rank[i] for i in ([] if x is None else x)]) for x in batch["ids"]]
-            yield pd.DataFrame({"key": batch["key"], "bytes": found})
+        for lists in batches:
+            yield pd.Series([b"".join([by_rank[i] for i in ([] if x is None else x)]) for x in lists], dtype=object)
 
-    return rows.mapInPandas(run, f"key {kind}, bytes binary").withColumnRenamed("key", key)
+    return tokens.select(F.col(key).alias(key), F.pandas_udf(run, "binary")(F.col(ids)).alias("bytes"))
 
 
 def digests(documents: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -279,6 +264,6 @@ def digests(documents: DataFrame, ranks_path: str, pattern: str, key: str = "doc
     and digests of nothing. Special tokens are not recognised. Any length of text is encoded whole. An empty
     table gives no rows; other columns are not looked at.
     """
-    rows, shared, kind = _inputs(documents, ranks_path, key, text)
-    schema = f"key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return rows.mapInPandas(_digest_batches(shared, pattern), schema).withColumnRenamed("key", key)
+    rows, shared = _inputs(documents, ranks_path, key, text)
+    done = rows.select("key", _digest_batches(shared, pattern)("text").alias("digests"))
+    return done.select(F.col("key").alias(key), "digests.*")

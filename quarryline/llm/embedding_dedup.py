@@ -105,10 +105,10 @@ def leaves_of(tree: Tree, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(leaves)
 
 
-def _canonical(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
+def _canonical(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    for vectors in batches:
         names, packed, sizes = [], [], []
-        for values in batch["embedding"]:
+        for values in vectors:
             vector = usable(values)
             if vector is None or not vector.any():
                 names.append(None)
@@ -119,7 +119,7 @@ def _canonical(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             names.append(hashlib.blake2b(raw, digest_size=16).hexdigest())
             packed.append(raw)
             sizes.append(len(vector))
-        yield pd.DataFrame({"key": batch["key"], "node": names, "vector": packed, "dims": sizes})
+        yield pd.DataFrame({"node": names, "vector": packed, "dims": sizes})
 
 
 def _unit(packed: bytes, dims: int | None = None) -> np.ndarray:
@@ -233,10 +233,8 @@ def near_duplicates(
     spark = rows.sparkSession
     prepare(spark)
     source = rows.select(F.col(key).alias("key"), F.col(vector).alias("embedding"))
-    kind = source.schema["key"].dataType.simpleString()
-    listed = pinned(
-        source.mapInPandas(_canonical, f"key {kind}, node string, vector binary, dims int"), "vectors"
-    )
+    canonical = F.pandas_udf(_canonical, "node string, vector binary, dims int")
+    listed = pinned(source.select("key", canonical("embedding").alias("v")).select("key", "v.*"), "vectors")
     # The vector follows from the node, so any row's copy of it will do.
     nodes = pinned(
         listed.where("node is not null").groupBy("node").agg(

@@ -209,10 +209,10 @@ def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str
     return " ".join(line for a, b in kept for line in lines[a:b] if line)
 
 
-def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        texts = [main_text(page) for page in batch["html"]]
-        yield batch[["page_id", "url"]].assign(text=texts, n_chars=[len(text) for text in texts])
+def _extract(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    for pages in batches:
+        texts = [main_text(page) for page in pages]
+        yield pd.DataFrame({"text": texts, "n_chars": [len(text) for text in texts]})
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
@@ -223,8 +223,6 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str
     table gives no rows; other columns are not looked at.
     """
     prepare(pages.sparkSession)
-    rows = pages.select(F.col(key).alias("page_id"), F.col(url).alias("url"), F.col(page).alias("html"))
-    kinds = {field.name: field.dataType.simpleString() for field in rows.schema}
-    schema = f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long"
-    done = rows.mapInPandas(_extract, schema)
-    return done.withColumnsRenamed({"page_id": key, "url": url})
+    main = F.pandas_udf(_extract, "text string, n_chars long")
+    rows = pages.select(F.struct(key, url).alias("row"), main(F.col(page).cast("string")).alias("main"))
+    return rows.select("row.*", "main.*")

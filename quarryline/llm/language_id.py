@@ -190,12 +190,12 @@ def _sampled(runs_each: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for lang, text in zip(batch["lang"], batch["text"]):
+            for key, lang, text in zip(batch["key"], batch["lang"], batch["text"]):
                 runs = runs_of(text)
                 if runs:
                     picks = random.Random(zlib.crc32(text.encode("utf-8", "replace"))).choices(runs, k=runs_each)
-                    rows.append((lang, b" ".join(picks)))
-            yield pd.DataFrame(rows, columns=["lang", "runs"])
+                    rows.append((key, lang, b" ".join(picks)))
+            yield pd.DataFrame(rows, columns=["key", "lang", "runs"])
 
     return run
 
@@ -210,7 +210,7 @@ def train(
 ) -> BiGRU | None:
     """A network fitted on documents that are not held out; nothing without labelled text.
 
-    About ``sample_documents`` documents of each language are drawn by a hash of their key and digest, and
+    About ``sample_documents`` documents of each language are drawn by a hash of their key, one for each key, and
     ``sample_runs`` runs of letters at random from the whole text of each, so the driver holds a bounded sample.
     """
     prepare(documents.sparkSession)
@@ -227,7 +227,10 @@ def train(
     )
     # One small row a language.
     drawn = rows.join(F.broadcast(shares), "lang").where(F.pmod(F.xxhash64("key", F.lit(SEED)), F.lit(1 << 30)) < F.col("share"))
-    sample = drawn.select("lang", "text").mapInPandas(_sampled(sample_runs), "lang string, runs binary").collect()
+    drawn = drawn.select(F.xxhash64("key").alias("key"), "lang", "text")
+    sampled = drawn.mapInPandas(_sampled(sample_runs), "key long, lang string, runs binary")
+    # However many rows have a key, one of them is enough.
+    sample = sampled.groupBy("key", "lang").agg(F.min("runs").alias("runs")).collect()
     pairs = sorted((bytes(run), languages.index(r["lang"])) for r in sample for run in bytes(r["runs"]).split(b" "))
     if not pairs:
         return None
@@ -284,21 +287,21 @@ class Predictor:
 
 
 def _predict(shared, name: str):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         if name not in _memory:
             _memory.clear()
             _memory[name] = Predictor(pickle.loads(shared.value)) if shared.value else None
         predictor = _memory[name]
         for batch in batches:
+            langs, scores = [], []
             for low in range(0, len(batch), 2000):
-                part = batch.iloc[low : low + 2000]
-                if predictor is None:
-                    langs, scores = [UNKNOWN] * len(part), [0.0] * len(part)
-                else:
-                    langs, scores = predictor.documents(part["text"].tolist())
-                yield part.drop(columns="text").assign(lang_pred=langs, score=scores)
+                part = batch.iloc[low : low + 2000].tolist()
+                done = predictor.documents(part) if predictor else ([UNKNOWN] * len(part), [0.0] * len(part))
+                langs += done[0]
+                scores += done[1]
+            yield pd.DataFrame({"lang_pred": langs, "score": scores})
 
-    return run
+    return F.pandas_udf(run, "lang_pred string, score double")
 
 
 def predict(documents: DataFrame, model: BiGRU | None, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -312,10 +315,9 @@ def predict(documents: DataFrame, model: BiGRU | None, key: str = "doc_id", text
     packed = pickle.dumps(model) if model is not None else b""
     shared = spark.sparkContext.broadcast(packed)
     rows = documents.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    kind = rows.schema["key"].dataType.simpleString()
     name = f"{zlib.crc32(packed)}-{len(packed)}"
-    done = rows.mapInPandas(_predict(shared, name), f"key {kind}, lang_pred string, score double")
-    return done.select(F.col("key").alias(key), held_out(F.col("key")).alias("held_out"), "lang_pred", "score")
+    done = rows.select("key", _predict(shared, name)("text").alias("found"))
+    return done.select(F.col("key").alias(key), held_out(F.col("key")).alias("held_out"), "found.lang_pred", "found.score")
 
 
 def accepted(documents: DataFrame, model: BiGRU | None, least: float, text: str = "text") -> DataFrame:
@@ -327,10 +329,4 @@ def accepted(documents: DataFrame, model: BiGRU | None, least: float, text: str
     packed = pickle.dumps(model)
     shared = spark.sparkContext.broadcast(packed)
     name = f"{zlib.crc32(packed)}-{len(packed)}"
-
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            parts = _predict(shared, name)(iter([pd.DataFrame({"text": texts})]))
-            yield pd.concat([part["score"] for part in parts], ignore_index=True)
-
-    return documents.where(F.pandas_udf(score, "double")(F.col(text).cast("string")) >= least)
+    return documents.where(_predict(shared, name)(F.col(text).cast("string"))["score"] >= least)

@@ -94,7 +94,8 @@ def best_fit(
     digest = F.md5(F.col(text).cast("binary"))
     shown = F.when(F.length(text) > 0, digest if cluster is None else cluster.cast("string"))
     whole = documents.select(
-        F.col(key).alias("key"),
+        # As text: pandas would turn whole numbers beside nulls into floating point.
+        F.col(key).cast("string").alias("key"),
         F.coalesce(F.length(text), F.lit(0)).cast("long").alias("length"),
         F.col(source).cast("string").alias("source"),
         shown.alias("cluster"),
@@ -110,7 +111,6 @@ def best_fit(
     pieces = pinned(pieces.withColumn("row", F.monotonically_increasing_id()), "pieces")
     parts = shares(pieces.count(), part_pieces)
     dealt = pieces.withColumn("part", F.pmod(F.xxhash64("row"), F.lit(parts)).cast("long")).drop("row")
-    kinds = {field.name: field.dataType.simpleString() for field in pieces.schema}
-    schema = f"key {kinds['key']}, piece int, start long, size long, source string, cluster string, bin_id long"
+    schema = "key string, piece int, start long, size long, source string, cluster string, bin_id long"
     packed = dealt.groupBy("part").applyInPandas(_pack_part(capacity), schema)
-    return packed.withColumnRenamed("key", key)
+    return packed.select(F.col("key").cast(documents.schema[key].dataType).alias(key), *packed.columns[1:])

@@ -403,3 +403,23 @@ def test_tree_search_is_complete():
         tree.add(value)
     for query in range(0, 1024, 37):
         assert {tree.values[i] for i in tree.within(query, 2)} == {v for v in values if (v ^ query).bit_count() <= 2}
+
+
+def test_large_keys_beside_null_keys(spark):
+    big = 2**53 + 1  # no floating point number
+    rows = [(None, "ab cd", "s"), (big, "ab cd", "t"), (big + 2, "xy zz", "t")]
+    frame, keys = documents(spark, rows).coalesce(1), {None, big, big + 2}
+    vectors = spark.createDataFrame([(key, [1.0, 0.0]) for key in keys], "vec_id long, embedding array<double>").coalesce(1)
+    pages = spark.createDataFrame([(key, "u", "<p>a</p>") for key in keys], "page_id long, url string, html string").coalesce(1)
+    done = [
+        byte_bpe.digests(frame, RANKS, public_tokenizers.PATTERN),
+        byte_bpe.encode(frame, RANKS, public_tokenizers.PATTERN),
+        byte_bpe.decode(byte_bpe.encode(frame, RANKS, public_tokenizers.PATTERN), RANKS),
+        language_id.predict(frame, language_id.train(frame)),
+        packing.best_fit(frame),
+        near_duplicates(vectors),
+        html_text.extract(pages),
+        near_copies.one_of_each(frame.where("doc_id is null or source = 't'")).unionByName(frame.where("doc_id is null")),
+    ]
+    for result in done:
+        assert {r[0] for r in result.collect()} == keys, result.columns
