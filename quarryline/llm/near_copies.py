@@ -107,6 +107,6 @@ def one_of_each(documents: DataFrame, key: str = "doc_id", text: str = "text", w
     nodes = ids.groupBy("value").agg(F.min(F.struct(F.col("key").isNull().alias("last"), "key", "digest")).alias("best"))
     # Equal texts count once.
     sketches = ids.select("value", "codes").distinct()
-    shards = sketches.select("value", F.posexplode("codes").alias("block", "code")).distinct()
+    shards = sketches.select("value", F.posexplode("codes").alias("block", "code"))
     links = links_in_shards(shards, _shard_links(radius, _from_bytes, _to_bytes), "a binary, b binary")
     return first_of_each(documents, nodes, connected_components(links), key)
