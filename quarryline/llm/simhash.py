@@ -149,30 +149,20 @@ def with_fingerprint(documents: DataFrame, text: str = "text", name: str = "fing
 SHARD = ["block", "code", "tile_a", "tile_b"]
 
 
-def _from_longs(values: np.ndarray) -> list[int]:
-    return np.sort(values.view(np.uint64)).tolist()
-
-
-def _to_longs(links: list[tuple[int, int]]) -> pd.DataFrame:
-    return pd.DataFrame(np.array(links, dtype=np.uint64).reshape(-1, 2).view(np.int64), columns=["a", "b"])
-
-
-def _shard_links(radius: int, numbers=_from_longs, frame=_to_longs):
-    """Links inside sorted shards; ``numbers`` reads fingerprints as sorted integers, ``frame`` writes links of them."""
-
+def _shard_links(radius: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for links in links_of(sorted_runs(batches, SHARD, ["value", "tile"])):
-            yield frame(links)
+            yield pd.DataFrame(np.array(links, dtype=np.uint64).reshape(-1, 2).view(np.int64), columns=["a", "b"])
 
     def links_of(shards: Iterator[tuple[tuple, dict]]) -> Iterator[list[tuple[int, int]]]:
         held: list[tuple[int, int]] = []
         for (_, _, tile_a, tile_b), rows in shards:
-            values = rows["value"]
+            values = rows["value"].view(np.uint64)
             if tile_a == tile_b:
-                held += tree_links(numbers(values), None, radius)
+                held += tree_links(np.sort(values).tolist(), None, radius)
             else:
                 own = rows["tile"] == tile_a
-                held += tree_links(numbers(values[own]), numbers(values[~own]), radius)
+                held += tree_links(np.sort(values[own]).tolist(), np.sort(values[~own]).tolist(), radius)
             if len(held) >= HASH_CHUNK:
                 yield held
                 held = []
@@ -181,8 +171,8 @@ def _shard_links(radius: int, numbers=_from_longs, frame=_to_longs):
     return run
 
 
-def links_in_shards(rows: DataFrame, run, schema: str, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """Links found by ``run`` in every shard of distinct rows (block, code, value); large shards are tiled."""
+def tiled(rows: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """Distinct rows (block, code, value) of shards with two or more, once for every pair of tiles they belong to."""
     # A shard with one fingerprint has no links, and shards beyond the limit are tiled.
     sizes = rows.groupBy("block", "code").agg(F.count("*").alias("n")).where("n > 1")
     tiles = F.ceil(F.col("n") / F.lit(shard_rows)).cast("int")
@@ -190,9 +180,13 @@ def links_in_shards(rows: DataFrame, run, schema: str, shard_rows: int = SHARD_R
     rows = rows.withColumn("tile", F.pmod(F.xxhash64("value"), F.col("tiles")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
     rows = rows.select("block", "code", "value", "tile", other.alias("other"))
-    rows = rows.select(
+    return rows.select(
         "block", "code", F.least("tile", "other").alias("tile_a"), F.greatest("tile", "other").alias("tile_b"), "value", "tile"
     )
+
+
+def links_in_tiles(rows: DataFrame, run, schema: str) -> DataFrame:
+    """Links found by ``run`` in the sorted shards of tiled rows."""
     # Most shards are tiny, so a task goes through its shards in sorted order instead of starting anew for each.
     return rows.repartition(*SHARD).sortWithinPartitions(*SHARD).mapInPandas(run, schema)
 
@@ -209,7 +203,7 @@ def near_links(nodes: DataFrame, value: str = "fingerprint", radius: int = RADIU
         mask = (1 << size) - 1 if size < BITS else -1
         codes.append(F.struct(F.lit(block).alias("block"), part.bitwiseAND(F.lit(mask)).alias("code")))
     rows = nodes.select(F.col(value).alias("value"), F.explode(F.array(*codes)).alias("s")).select("value", "s.*")
-    return links_in_shards(rows, _shard_links(radius), "a long, b long", shard_rows)
+    return links_in_tiles(tiled(rows, shard_rows), _shard_links(radius), "a long, b long")
 
 
 def simhash_components(documents: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:

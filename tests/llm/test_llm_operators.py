@@ -396,6 +396,27 @@ def test_near_copies_of_similarity_go(spark):
     assert near_copies.one_of_each(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("shard_rows", [4, 2048])
+def test_near_copies_end_at_the_border(spark, shard_rows):
+    source = random.Random(21)
+    rows = []
+    for group in range(40):
+        text = [f"g{group}w{i}" for i in range(source.choice([8, 9, 30, 60, 240]))]
+        for _ in range(6):
+            own = text[: len(text) - source.choice([0, 0, 1, 2])]
+            for _ in range(source.choice([0, 1, 1, 2, max(1, len(own) // 50)])):
+                own[source.randrange(len(own))] = f"edit{len(rows)}"
+            rows.append((len(rows), " ".join(own), "a"))
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for _, t, _ in rows]
+    labels = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8 and labels[a] != labels[b]:
+                labels = [min(labels[a], labels[b]) if x in (labels[a], labels[b]) else x for x in labels]
+    kept = near_copies.one_of_each(documents(spark, rows), shard_rows=shard_rows)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(labels))
+
+
 def test_tree_search_is_complete():
     rng = random.Random(1)
     tree, values = simhash.BKTree(), [rng.getrandbits(10) for _ in range(300)]
