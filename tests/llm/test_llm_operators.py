@@ -79,6 +79,24 @@ def test_embedding_links_match_brute_force(spark):
     assert near_duplicates(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("tile_rows", [8192, 300])
+def test_links_of_a_group_that_holds_a_third(spark, tile_rows):
+    rng = np.random.default_rng(8)
+    centre = rng.normal(size=64)
+    group = centre / np.linalg.norm(centre) + rng.normal(scale=0.0315, size=(1500, 64))
+    # Some are linked with part of the group only, most with nothing.
+    rim = centre / np.linalg.norm(centre) + rng.normal(scale=0.05, size=(40, 64))
+    x = np.concatenate([group, rim, rng.normal(size=(2960, 64))])
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = {r["vec_id"]: r for r in near_duplicates(frame, tile_rows=tile_rows).collect()}
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    near = unit @ unit.T >= 0.9
+    np.fill_diagonal(near, False)
+    links = np.array([found[i]["n_links"] for i in range(len(x))])
+    assert (links <= near.sum(axis=1)).all() and links.sum() >= 0.999 * near.sum()
+    assert {found[i]["component_id"] for i in range(1500)} == {0}
+
+
 # 2
 
 
