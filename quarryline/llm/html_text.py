@@ -2,7 +2,8 @@
 
 Markup is stripped to one line per block of text; elements that never belong to an article (scripts, menus,
 forms, adverts, ...) leave empty lines. The line-block distribution is the sum of text lengths over sliding windows
-of lines. It surges where text begins and dives to nothing where it ends; the text between surge and dive is kept.
+of lines. It surges where text begins and dives to nothing where it ends; the text between surge and dive is kept,
+and so are short stretches next to it in the same parent. What a page marks as its article weighs more in the sums.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from quarryline.llm.common import prepare
 WINDOW = 3
 # Characters a window must hold for text to surge.
 SURGE = 86
+# How often a character inside an article or main element counts.
+ARTICLE = 4
 
 # Elements of the HTML standard by what they mean for text.
 RAW = "script style textarea title noscript template svg math iframe object canvas xmp noembed noframes".split()
@@ -49,6 +52,7 @@ _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\
 _WORD = re.compile(r"[a-z]+(?:-[a-z]+)*")
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*>?", re.I) for name in RAW}
 _MARKS, _ROLES, _RAW, _ASIDE, _BLOCK, _VOID = map(frozenset, (MARKS, ROLES, RAW, ASIDE, BLOCK, VOID))
+_HOLDERS = frozenset("article main section div td th".split())
 _LAYOUT, _REMARKS = frozenset(LAYOUT), frozenset(REMARKS)
 # Opening one of these ends an open element of the same kind inside the same parent.
 _CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
@@ -74,13 +78,15 @@ def _marked(attributes: str, marks: frozenset = _MARKS) -> bool:
     return False
 
 
-def lines_of(page: str) -> tuple[list[str], list[bool]]:
-    """Lines of text in page order, and whether each is inside an article or main element.
+def lines_of(page: str) -> tuple[list[str], list[bool], list[tuple[int, int]]]:
+    """Lines of text in page order, whether each is inside an article or main element, and what holds it.
 
+    That is the number of the innermost open element that lays out a page, and of the one around it; the body is 0.
     Each removed element leaves as many empty lines as a window has.
     """
     lines: list[str] = []
     inside: list[bool] = []
+    parents: list[tuple[int, int]] = []
     held: list[str] = []
 
     def end_line() -> None:
@@ -90,14 +96,24 @@ def lines_of(page: str) -> tuple[list[str], list[bool]]:
             if text:
                 lines.append(text)
                 inside.append("article" in outer or "main" in outer)
+                parents.append((holders[-1][1], holders[-2][1] if len(holders) > 1 else 0))
 
     def gap() -> None:
         end_line()
         lines.extend([""] * WINDOW)
         inside.extend([False] * WINDOW)
+        parents.extend([(0, 0)] * WINDOW)
+
+    def close(name: str) -> None:
+        while outer.pop() != name:
+            pass
+        while holders[-1][0] >= len(outer):
+            holders.pop()
 
     skipped: list[str] = []  # open elements inside the one that is left out
     outer: list[str] = []  # open elements that are kept
+    holders: list[tuple[int, int]] = [(-1, 0)]  # place in ``outer`` and number of those that hold lines
+    held_by = 0
     at, size = 0, len(page)
     while at < size:
         found = _TOKEN.search(page, at)
@@ -126,8 +142,7 @@ def lines_of(page: str) -> tuple[list[str], list[bool]]:
                 elif name in outer and name in _BLOCK:
                     # The left-out element was never closed: its parent ends here.
                     skipped.clear()
-                    while outer.pop() != name:
-                        pass
+                    close(name)
             elif name not in _VOID and not found.group(3).endswith("/"):
                 if skipped[-1] in _CLOSES.get(name, ()):
                     skipped.pop()
@@ -137,8 +152,7 @@ def lines_of(page: str) -> tuple[list[str], list[bool]]:
             if name in _BLOCK or name in _ASIDE:
                 end_line()
             if name in outer:
-                while outer.pop() != name:
-                    pass
+                close(name)
             continue
         out = name in _ASIDE
         if not out and found.group(3) and name not in ("html", "body", "main"):
@@ -152,28 +166,34 @@ def lines_of(page: str) -> tuple[list[str], list[bool]]:
             end_line()
         if name not in _VOID:
             if outer and outer[-1] in _CLOSES.get(name, ()):
-                outer.pop()
+                close(outer[-1])
+            if name in _HOLDERS:
+                held_by += 1
+                holders.append((len(outer), held_by))
             outer.append(name)
     end_line()
-    return lines, inside
+    return lines, inside, parents
 
 
-def distribution(lines: list[str], window: int = WINDOW) -> list[int]:
+def distribution(lengths: list[int], window: int = WINDOW) -> list[int]:
     """Characters in the window of lines that starts at each line."""
-    lengths = [len(line) for line in lines] + [0] * window
+    size, lengths = len(lengths), lengths + [0] * window
     total = sum(lengths[:window])
     sums = []
-    for i in range(len(lines)):
+    for i in range(size):
         sums.append(total)
         total += lengths[i + window] - lengths[i]
     return sums
 
 
-def spans(sums: list[int], lengths: list[int], surge: int = SURGE) -> list[tuple[int, int]]:
+def spans(
+    sums: list[int], lengths: list[int], surge: int = SURGE, parents: list[tuple[int, int]] | None = None
+) -> list[tuple[int, int]]:
     """Stretches of lines from a surge to the dive after it.
 
     A stretch ends where the window is empty; it counts if any of its windows surges. Where none does, the stretch
-    with the most text counts, so that short articles are not lost.
+    with the most text counts, so that short articles are not lost. With ``parents``, gaps next to a stretch that
+    counts are bridged, see ``bridged``.
     """
     stretches, start, high, text = [], None, 0, 0
     for i, total in enumerate([*sums, 0]):
@@ -186,26 +206,43 @@ def spans(sums: list[int], lengths: list[int], surge: int = SURGE) -> list[tuple
                 start = None
             elif i < len(lengths):
                 text += lengths[i]
-    kept = [(a, b) for a, b, top, _ in stretches if top >= surge]
-    if not kept and stretches:
-        best = max(stretches, key=lambda s: (s[3], -s[0]))
-        kept = [best[:2]]
-    return kept
-
+    kept = [top >= surge for _, _, top, _ in stretches]
+    if not any(kept) and stretches:
+        kept[max(range(len(stretches)), key=lambda k: (stretches[k][3], -stretches[k][0]))] = True
+    if parents is not None:
+        kept = bridged(kept, [{p for p, n in zip(parents[a:b], lengths[a:b]) if n} for a, b, _, _ in stretches])
+    return [(a, b) for (a, b, _, _), keep in zip(stretches, kept) if keep]
 
 
-def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
-    """The article of a page, blocks joined by one space; empty without text.
+def bridged(kept: list[bool], held: list[set[tuple[int, int]]]) -> list[bool]:
+    """Which stretches count when those next to one that counts join it.
 
-    Where a page marks its article, only that is searched and all its stretches count, however short.
+    They join when the same element holds them, or elements next to each other in one element. Elements next to each
+    other in the body join only between two stretches that count, as what surrounds an article is there as well.
     """
+    own = [{p for p, _ in pairs} for pairs in held]
+    near = [one | {above for _, above in pairs if above} for one, pairs in zip(own, held)]
+    loose = [one | {above for _, above in pairs} for one, pairs in zip(own, held)]
+    done = list(kept)
+    for order in (range(1, len(kept)), range(len(kept) - 2, -1, -1)):
+        for k in order:
+            before = k - order.step
+            done[k] = done[k] or (done[before] and not near[k].isdisjoint(near[before]))
+    last = None
+    for k in [k for k, keep in enumerate(done) if keep]:
+        if last is not None and all(not loose[x].isdisjoint(loose[last] & loose[k]) for x in range(last + 1, k)):
+            done[last + 1 : k] = [True] * (k - last - 1)
+        last = k
+    return done
+
+
+def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE, article: int = ARTICLE) -> str:
+    """The article of a page, blocks joined by one space; empty without text."""
     if not page:
         return ""
-    lines, inside = lines_of(page)
-    if any(inside):
-        lines, surge = [line if own else "" for line, own in zip(lines, inside)], 1
-    lengths = [len(line) for line in lines]
-    kept = spans(distribution(lines, window), lengths, surge)
+    lines, inside, parents = lines_of(page)
+    lengths = [len(line) * (article if own else 1) for line, own in zip(lines, inside)]
+    kept = spans(distribution(lengths, window), lengths, surge, parents)
     return " ".join(line for a, b in kept for line in lines[a:b] if line)
 
 

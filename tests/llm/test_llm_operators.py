@@ -342,6 +342,25 @@ def test_main_text_of_pages(spark):
     assert html_text.extract(pages.limit(0)).count() == 0
 
 
+def test_text_beside_a_teaser_and_short_paragraphs_stay():
+    long, short = "The text of this page goes on for some time. " * 4, "A short paragraph."
+    teaser = "<article><h2>More</h2></article>"
+    words = f"{long.strip()} {short}"
+    assert words in html_text.main_text(f"<body>{teaser}<div>{long}</div><div>{short}</div></body>")
+    advert = "<div class=ad>Buy</div>"
+    for page in (
+        f"<body><p>{long}</p>{advert}<p>{short}</p></body>",
+        f"<body><div>Top</div>{advert}<div><p>{long}</p>{advert}<p>{short}</p></div>{advert}<div>Bottom</div></body>",
+        f"<div><div>Top</div></div>{advert}<div><div>{long}</div>{advert}<div>{short}</div></div>",
+    ):
+        assert html_text.main_text(page) == words
+    between = f"<div>{long}</div>{advert}<div>{short}</div>{advert}<div>{long}</div>"
+    assert html_text.main_text(between) == f"{words} {long.strip()}"
+    # The article wins where nothing else surges; where its text is next to nothing, the distribution decides.
+    assert html_text.main_text(f"<article><p>{short} {short}</p>{advert}<p>End.</p></article>{advert}<div>{long[:80]}</div>") == f"{short} {short} End."
+    assert html_text.main_text(f"<article>x</article>{advert}<div>{long}</div>") == long.strip()
+
+
 def test_given_pages_keep_their_articles(spark, sf_dir):
     import re
 
