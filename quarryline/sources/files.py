@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator, Mapping
 from functools import reduce
@@ -17,7 +18,7 @@ from quarryline.functions.checksums import all_checksums
 from quarryline.functions.dates import quoted
 from quarryline.functions.text import base_name
 from quarryline.operators.columns import union_tables
-from quarryline.runtime import expand_glob, read_head, ship_package, task_filesystem
+from quarryline.runtime import expand_glob, ship_package, task_filesystem
 from quarryline.sources.formats import SOURCE_FILE_COLUMN, field_delimiter, file_format, worksheet
 from quarryline.sources.pickled import read_pickled
 from quarryline.sources.workbook import read_workbooks
@@ -220,28 +221,120 @@ def _load_csv(spark: SparkSession, paths: list[str], spec: Mapping) -> DataFrame
     return _inferred(united, [c for c in united.columns if c != SOURCE_FILE_COLUMN])
 
 
-def _json_layout(spark: SparkSession, paths: list[str], spec: Mapping) -> str:
+def _is_columns(document) -> bool | None:
+    """Whether a document holds rows below columns; None when it could also be one record."""
+    cells = list(document.values()) if isinstance(document, dict) else []
+    if not cells or not all(isinstance(cell, dict) for cell in cells):
+        return False
+    keys = {key for cell in cells for key in cell}
+    return all(re.fullmatch("[0-9]+", key) for key in keys) if keys else None
+
+
+def json_layout(stream) -> str:
+    """Layout of one JSON file: lines, records or columns; empty for a file without content, else what is wrong.
+
+    The first document decides as far as it is on a line of its own with more below it. A file of one document is held
+    whole, as Spark's reader holds it.
+    """
+    first, at_end = b"", False
+    while not first.strip() and not at_end:
+        first, at_end = _next_line(stream)
+    first = first.decode("utf-8-sig").strip()
+    if not first:
+        return ""
+    try:
+        document, whole = json.loads(first), True
+    except ValueError:
+        document, whole = None, False
+    more = b""
+    while not more.strip() and not at_end:
+        more, at_end = _next_line(stream)
+    more = bool(more.strip())
+    if first.startswith("["):
+        return "starts with a list that ends before the file does" if whole and more else "records"
+    if not first.startswith("{"):
+        return "starts with neither a list nor an object"
+    if whole and more:
+        return "lines"
+    if not whole:
+        stream.seek(0)
+        try:
+            document = json.loads(stream.read().decode("utf-8-sig"))
+        except ValueError:
+            return "is neither lines of objects nor one document"
+    columns = _is_columns(document)
+    if columns is None:
+        return "may be columns without rows or one record of empty objects"
+    return "columns" if columns else "lines" if whole else "records"
+
+
+def _next_line(stream) -> tuple[bytes, bool]:
+    line = stream.readline()
+    return line, not line
+
+
+def _json_groups(spark: SparkSession, paths: list[str], spec: Mapping) -> dict[str, list[str]]:
+    """The paths by layout; as given when all files share one. Each task reads its files as far as they need."""
     layout = spec.get("layout", "auto")
     if layout not in JSON_LAYOUTS:
         raise ValueError(f"JSON layout must be one of {JSON_LAYOUTS}, not {layout!r}")
     if layout != "auto":
-        return layout
-    files = expand_glob(spark, paths[0])
-    first = files[0].path
-    if files[0].is_dir:
-        return "lines"
-    head = "".join(read_head(spark, first).split())
-    if head.startswith("["):
-        return "records"
-    _, _, inner = head.partition(":")
-    return "columns" if inner.startswith('{"0":') else "lines"
+        return {layout: paths}
+
+    def layouts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import io
+
+        for batch in batches:
+            found = []
+            for path in batch["path"]:
+                filesystem, location = task_filesystem(path)
 
+                def opened(filesystem=filesystem, location=location):
+                    return filesystem.open_input_stream(location, compression="detect")
 
-def _load_json_columns(spark: SparkSession, paths: list[str]) -> DataFrame:
+                with _Reopened(opened, io.BufferedReader) as stream:
+                    found.append(json_layout(stream))
+            yield pd.DataFrame({"path": batch["path"], "layout": found})
+
+    ship_package(spark)
+    listed = spark.read.format("binaryFile").load(paths).select("path")
+    found = listed.mapInPandas(layouts, "path string, layout string").where("layout <> ''")
+    kinds = {r.layout for r in found.select("layout").distinct().collect()}
+    wrong = sorted(kinds - set(JSON_LAYOUTS))
+    if wrong:
+        path, why = found.where(F.col("layout") == wrong[0]).first()
+        raise ValueError(f"the layout of JSON file {path} is not clear, it {why}; give a layout for it")
+    if len(kinds) <= 1:
+        return {(kinds or {"lines"}).pop(): paths}
+    groups: dict[str, list[str]] = {}
+    for path, kind in sorted(found.collect()):
+        groups.setdefault(kind, []).append(path)
+    return groups
+
+
+class _Reopened:
+    """A stream that only goes forward, but can start again."""
+
+    def __init__(self, opened, buffered):
+        self.opened, self.buffered = opened, buffered
+        self.seek(0)
+
+    def seek(self, _: int) -> None:
+        self.stream = self.buffered(self.opened())
+        self.readline, self.read = self.stream.readline, self.stream.read
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.stream.close()
+
+
+def _load_json_columns(spark: SparkSession, paths: list[str], schema: StructType | None = None) -> DataFrame:
     """Documents of the form ``{"column": {"row": value}}``.
 
     Cells are exploded next to each other and brought together again per file and row; the
-    column types come from one aggregation over the cells.
+    column types come from the schema, or from one aggregation over the cells.
     """
     documents = spark.read.text(paths, wholetext=True).select(
         F.col("_metadata.file_path").alias("file"),
@@ -253,12 +346,15 @@ def _load_json_columns(spark: SparkSession, paths: list[str]) -> DataFrame:
         "LATERAL variant_explode(document) AS c, LATERAL variant_explode(c.value) AS r",
         documents=documents,
     )
-    kinds = cells.groupBy("name").agg(
-        F.expr("schema_of_variant_agg(cell)").alias("kind"), F.min("file").alias("f")
-    )
-    found = {r.name: r.kind for r in kinds.orderBy("f", "name").collect()}
+    if schema is not None:
+        found = {field.name: field.dataType.simpleString() for field in schema}
+    else:
+        kinds = cells.groupBy("name").agg(
+            F.expr("schema_of_variant_agg(cell)").alias("kind"), F.min("file").alias("f")
+        )
+        found = {r.name: _cell_type(r.kind) for r in kinds.orderBy("f", "name").collect()}
     values = [
-        F.max(F.when(F.col("name") == name, F.try_variant_get("cell", "$", _cell_type(kind)))).alias(name)
+        F.any_value(F.when(F.col("name") == name, F.try_variant_get("cell", "$", kind)), True).alias(name)
         for name, kind in found.items()
     ]
     return (
@@ -275,13 +371,17 @@ def _cell_type(kind: str) -> str:
 
 
 def _load_json(spark: SparkSession, paths: list[str], spec: Mapping) -> DataFrame:
-    layout = _json_layout(spark, paths, spec)
-    if layout == "columns":
-        return _load_json_columns(spark, paths)
-    reader = spark.read.option("multiLine", layout == "records")
-    if spec.get("schema") is not None:
-        reader = reader.schema(spec["schema"])
-    return _with_provenance(reader.json(paths))
+    schema = spec.get("schema")
+    if schema is not None and not isinstance(schema, StructType):
+        schema = spark.createDataFrame([], schema).schema
+    parts = []
+    for layout, group in _json_groups(spark, paths, spec).items():
+        if layout == "columns":
+            parts.append(_load_json_columns(spark, group, schema))
+            continue
+        reader = spark.read.option("multiLine", layout == "records")
+        parts.append(_with_provenance((reader if schema is None else reader.schema(schema)).json(group)))
+    return parts[0] if len(parts) == 1 else union_tables(parts)
 
 
 def _load_parquet(spark: SparkSession, paths: list[str], spec: Mapping) -> DataFrame:

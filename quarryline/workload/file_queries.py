@@ -103,6 +103,28 @@ for _format in ("csv", "json", "parquet", "pickle", "excel"):
     _register_drift(f"U1_union_{_format}_files", _format)
 
 
+@query(
+    "U1_union_json_layouts",
+    "SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders",
+)
+def union_json_layouts(spark, sf_dir):
+    """Orders written as lines, as lists of records and as columns of rows, by status, and read as one table."""
+    orders = table(spark, sf_dir, "orders").select("o_orderstatus", "o_orderkey", "o_totalprice", "o_orderpriority")
+    names = orders.columns[1:]
+    # Keys of one document, which is one value.
+    part = F.floor(F.col("o_orderkey") / 20_000).alias("part")
+    lines, records, columns = (scratch_path(spark, f"layout-{kind}") for kind in ("lines", "records", "columns"))
+    sinks.save(orders.where("o_orderstatus = 'F'").select(*names), {"format": "json", "name": lines})
+    listed = F.to_json(F.collect_list(F.struct(*names))).alias("value")
+    orders.where("o_orderstatus = 'O'").groupBy(part).agg(listed).write.partitionBy("part").text(records)
+    row = F.col("o_orderkey").cast("string")
+    cells = [F.map_from_entries(F.collect_list(F.struct(row, name))).alias(name) for name in names]
+    rest = orders.where("o_orderstatus not in ('F', 'O') or o_orderstatus is null")
+    rest.groupBy(part).agg(F.to_json(F.struct(*cells)).alias("value")).write.partitionBy("part").text(columns)
+    loaded = files.load(spark, {"format": "json", "file list": [lines, f"{records}/part=*", f"{columns}/part=*"]})
+    return loaded.select(*names)
+
+
 @query(
     "P10_source_file_name",
     """SELECT 'part-' AS prefix, o_orderpriority IS NULL AS first_slice,

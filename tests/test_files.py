@@ -133,6 +133,31 @@ def test_json_layouts(spark, tmp_path):
         files.load(spark, {"format": "json", "file list": ["x"], "layout": "other"})
 
 
+def test_mixed_json_layouts(spark, tmp_path):
+    contents = {
+        "1": '{"a": 1, "b": "x"}\n{"a": 2, "b": "y"}\n',
+        "2": '[{"a": 3, "b": "z"},\n {"a": 4}]',
+        "3": '{"a": {"5": 5, "7": 6},\n "b": {"5": "u"}}',
+        "4": '{"a": {"5": 7}}',
+        "5": '{\n "a": 8,\n "b": "v"\n}\n',
+        "6": "",
+    }
+    for name, text in contents.items():
+        (tmp_path / f"{name}.json").write_text(text)
+    expected = [(1, "x"), (2, "y"), (3, "z"), (4, None), (5, "u"), (6, None), (7, None), (8, "v")]
+    for given in (str(tmp_path), [str(tmp_path / f"{n}.json") for n in contents]):
+        for more in ({}, {"schema": "a bigint, b string"}):
+            loaded = files.load(spark, {"format": "json", "file list": given, **more})
+            assert rows(loaded.select("a", "b")) == expected
+            assert loaded.schema["a"].dataType.simpleString() == "bigint"
+    loaded = files.load(spark, {"format": "json", "file list": str(tmp_path / "3.json"), "schema": "a int, c double"})
+    assert rows(loaded.select("a", "c")) == [(5, None), (6, None)] and dict(loaded.dtypes)["a"] == "int"
+    for text in ('{"a": {}}', "[1]\n[2]", '"a"', '{"a": 1,\n "b"'):
+        (tmp_path / "6.json").write_text(text)
+        with pytest.raises(ValueError, match="6.json"):
+            files.load(spark, {"format": "json", "file list": str(tmp_path)})
+
+
 def test_compressed_json_documents(spark, tmp_path):
     for name, text in (("c", '{"a": {"0": 1, "1": 2}}'), ("r", '[{"a": 1}, {"a": 2}]')):
         path = tmp_path / f"{name}.json.gz"
