@@ -45,11 +45,18 @@ def assign(documents: DataFrame, key: str = "doc_id", text: str = "text", limit:
     an empty prefix holds all when they fit. Null keys count as one key; repeated rows are rows. An empty table
     gives no rows. Other columns are not looked at.
     """
+    return _placed(documents, F.col(key), key, text, limit).select(
+        F.col("carried").alias(key), "shard", "depth", F.col("bytes").alias("shard_bytes"), F.col("rows").alias("shard_rows")
+    )
+
+
+def _placed(documents: DataFrame, carried: Column, key: str, text: str, limit: int) -> DataFrame:
+    """Shard, depth, bytes and rows of the shard next to what is carried of every row."""
     weight = F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
     salt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << SALT_BITS))
     address = key_address(F.col(key)) * (1 << SALT_BITS) + salt
     # Written once: whatever is run again later finds the same salts.
-    rows = pinned(documents.select(F.col(key).alias("key"), weight.alias("bytes"), address.alias("address")), "addresses")
+    rows = pinned(documents.select(carried.alias("carried"), weight.alias("bytes"), address.alias("address")), "addresses")
     total = rows.agg(F.sum("bytes")).first()[0] or 0
     low, high = 0, min(BITS, max(0, math.ceil(math.log2(max(1.0, total / limit)))) + SPARE_BITS)
     done, first = [], True
@@ -75,25 +82,26 @@ def assign(documents: DataFrame, key: str = "doc_id", text: str = "text", limit:
             covered = covered.withColumn("prefix", F.expr(f"shiftright(cell, {high} - depth)"))
             directory = covered.join(shards, ["depth", "prefix"])
             placed = rows.withColumn("cell", F.shiftright("address", BITS - high)).drop("bytes").join(directory, "cell")
-            done.append(placed.select("key", "depth", "prefix", "bytes", "rows"))
+            done.append(placed.select("carried", "depth", "prefix", "bytes", "rows"))
         over = cells.where(~_fits("bytes", "rows", F.lit(high), limit)).select("cell")
         if over.isEmpty():
             break
         rows = pinned(rows.join(over, F.shiftright("address", BITS - high) == F.col("cell"), "left_semi"), "addresses")
         low, high, first = high, min(BITS, high + ROUND_BITS), False
     if not done:
-        done = [rows.select("key", F.lit(0).alias("depth"), F.lit(0).cast("long").alias("prefix"), "bytes", F.lit(0).cast("long").alias("rows"))]
+        done = [rows.select("carried", F.lit(0).alias("depth"), F.lit(0).cast("long").alias("prefix"), "bytes", F.lit(0).cast("long").alias("rows"))]
     return reduce(DataFrame.unionByName, done).select(
-        F.col("key").alias(key),
+        "carried",
         F.lpad(F.bin("prefix"), F.col("depth"), F.lit("0")).alias("shard"),
         F.col("depth").cast("int").alias("depth"),
-        F.col("bytes").alias("shard_bytes"),
-        F.col("rows").alias("shard_rows"),
+        "bytes",
+        "rows",
     )
 
 
 def write_shards(documents: DataFrame, path: str, key: str = "doc_id", text: str = "text", limit: int = SHARD_BYTES) -> None:
-    """Write the rows as Parquet, one folder a shard; keys must be unique and not null."""
-    placed = assign(documents, key, text, limit).select(F.col(key).alias("_key"), F.concat(F.lit("s"), "shard").alias("shard"))
-    joined = documents.join(placed, documents[key] == placed["_key"]).drop("_key")
-    joined.repartition("shard").write.partitionBy("shard").parquet(path)
+    """Write the rows as Parquet, one folder a shard; null and repeated keys are rows like any other."""
+    # Whole rows go through the address table, so nothing is joined by key.
+    row = F.struct(*[F.col(f"`{name}`") for name in documents.columns])
+    placed = _placed(documents, row, key, text, limit).select("carried.*", F.concat(F.lit("s"), "shard").alias("shard"))
+    placed.repartition("shard").write.partitionBy("shard").parquet(path)

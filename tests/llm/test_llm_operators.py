@@ -323,6 +323,14 @@ def test_only_large_buckets_split(spark):
     assert sharding.assign(documents(spark, [])).count() == 0
 
 
+def test_written_shards_hold_null_and_repeated_keys(spark, tmp_path):
+    frame = documents(spark, [(i, f"text {i}", "s") for i in range(40)] + [(7, f"again {i}", "s") for i in range(20)] + [(None, "none", "s")] * 2)
+    sharding.write_shards(frame, str(tmp_path / "shards"), limit=100)
+    written = spark.read.parquet(str(tmp_path / "shards"))
+    assert sorted(map(repr, written.select(*frame.columns).collect())) == sorted(map(repr, frame.collect()))
+    assert written.select("shard").distinct().count() > 1
+
+
 # 9
 
 
