@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarryline.llm import byte_bpe, html_text, language_id, packing, quality, sharding, url_filter
+from quarryline.llm import (
+    byte_bpe,
+    filter_audit,
+    html_text,
+    language_id,
+    packing,
+    quality,
+    repeated_passages,
+    resampling,
+    sharding,
+    url_filter,
+)
 from quarryline.llm.embedding_dedup import near_duplicates
 from quarryline.llm.simhash import simhash_components
 from quarryline.llm.topk_search import top_k
@@ -193,3 +204,139 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash_components(_table(spark, sf_dir, "documents"))
+
+
+# The CRC-32 of distinct words is folded bit by bit over their bytes.
+RESAMPLING_SQL = r"""
+with words as (
+    select 'd' as side, doc_id as id, rowid_ as r, unnest(regexp_extract_all(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as word
+    from (select doc_id, text, row_number() over () as rowid_ from documents)
+    union all
+    select 't', null, null, unnest(regexp_extract_all(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'))
+    from benchmark
+),
+tallied as (select side, id, r, word, count(*) as n from words group by all),
+coded as (
+    select word, list_reduce(
+        list_transform(range(0, strlen(word)), lambda i: ('0x' || substr(hex(encode(word)), (2 * i + 1)::bigint, 2))::bigint),
+        lambda c, b: list_reduce(range(0, 8),
+            lambda s, k: case when s & 1 = 1 then xor(s >> 1, 3988292384) else s >> 1 end, xor(c, b)),
+        4294967295::bigint) as state
+    from (select distinct word from tallied)
+),
+bucketed as (select side, id, r, xor(state, 4294967295) % 10000 as bucket, n from tallied join coded using (word)),
+sizes as (
+    select bucket, coalesce(sum(n) filter (side = 'd'), 0)::double as s, coalesce(sum(n) filter (side = 't'), 0)::double as t
+    from bucketed group by bucket
+),
+totals as (select sum(s) as s_all, sum(t) as t_all from sizes),
+gained as (
+    select bucket, floor(1000 * ln((t + 1) * (s_all + 10000) / ((s + 1) * (t_all + 10000))))::bigint as gain from sizes, totals
+),
+weighed as (
+    select r, sum(n)::bigint as n, floor(sum(n * gain)::double / sum(n))::bigint as weight
+    from bucketed join gained using (bucket) where side = 'd' group by r
+),
+scored as (
+    select doc_id, coalesce(n, 0)::bigint as n_features, coalesce(weight, 0)::bigint as weight,
+      coalesce(weight, 0)::bigint + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::varchar, '')), 1, 8))::bigint
+        + 0.5::double) / 4294967296::double)))::bigint as score
+    from (select doc_id, row_number() over () as r from documents) left join weighed using (r)
+),
+placed as (
+    select *, row_number() over (partition by n_features >= 20 order by score desc, doc_id nulls last)::bigint as place,
+      count(*) filter (n_features >= 20) over () as able
+    from scored
+)
+select doc_id, n_features, weight, score, case when n_features >= 20 and place <= able * 10 // 100 then place end as rank from placed
+"""
+
+
+@query("op11_importance_resampling", RESAMPLING_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents drawn for their likeness to the benchmark texts."""
+    return resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+# Every order is played out step by step; the Shapley counts are summed over the orders.
+AUDIT_SQL = r"""
+with worded as (
+    select doc_id, coalesce(source, '') as part, coalesce(text, '') as text,
+      regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents
+),
+flags as (select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as toxic from labels group by doc_id),
+failing as (
+    select part, coalesce(good, false) as good, coalesce(toxic, false) as toxic,
+      (case when len(words) < 200 then 'A' else '' end)
+      || (case when 100 * len(list_distinct(words)) < 50 * len(words) then 'B' else '' end)
+      || (case when 100 * (length(text) - length(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) > 2 * length(text) then 'C' else '' end)
+      || (case when regexp_matches(text, '[#$%&*|]') then 'D' else '' end)
+      || (case when doc_id > min(doc_id) over (partition by text)
+               or doc_id is null and min(doc_id) over (partition by text) is not null then 'E' else '' end) as fails
+    from worded left join flags using (doc_id)
+),
+kinds as (select part, fails, good, toxic, count(*) as n from failing group by all),
+letters(letter) as (values ('A'), ('B'), ('C'), ('D'), ('E')),
+orders as (
+    select a.letter || b.letter || c.letter || d.letter || e.letter as filter_order
+    from letters a, letters b, letters c, letters d, letters e
+    where len(list_distinct([a.letter, b.letter, c.letter, d.letter, e.letter])) = 5
+),
+steps as (
+    select part, filter_order, step::int as step, substr(filter_order, step, 1) as own, substr(filter_order, 1, step - 1) as earlier
+    from (select distinct part from kinds), orders, (select unnest(range(1, 6)) as step)
+),
+judged as (
+    select s.part, filter_order, step, own, n, good, toxic, fails, contains(fails, own) as hit,
+      translate(fails, earlier, '') != fails as gone
+    from steps s join kinds k on k.part = s.part
+),
+counted as (
+    select part, filter_order, step, own,
+      coalesce(sum(n) filter (not gone and not hit), 0)::bigint as kept,
+      coalesce(sum(n) filter (not gone and hit), 0)::bigint as removed,
+      coalesce(sum(n) filter (gone and hit), 0)::bigint as redundant,
+      coalesce(sum(n) filter (fails = own), 0)::bigint as unique_fails,
+      coalesce(sum(n) filter (not gone and hit and good), 0)::bigint as good_lost,
+      coalesce(sum(n) filter (not gone and hit and toxic), 0)::bigint as toxic_lost
+    from judged group by all
+)
+select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) over (partition by part, own))::bigint as shapley
+from counted
+"""
+
+
+@query("op12_filter_interaction_audit", AUDIT_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove alone and together, by source and order."""
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+PASSAGES_SQL = r"""
+with worded as (
+    select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents
+),
+windows as (
+    select r, spot, sha256(array_to_string(list_slice(words, spot, spot + 34), ' ')) as code
+    from (select r, words, unnest(range(1, len(words) - 33)) as spot from worded)
+),
+again as (select r, spot from windows where code in (select code from windows group by code having count(*) > 1)),
+placed as (select r, doc_id, unnest(words) as word, generate_subscripts(words, 1) as spot from worded),
+covered as (select distinct r, unnest(range(spot, spot + 35)) as spot from again),
+rest as (
+    select p.r, count(c.r)::bigint as n_removed, coalesce(string_agg(word, ' ' order by p.spot) filter (c.r is null), '') as kept
+    from placed p left join covered c on c.r = p.r and c.spot = p.spot group by p.r
+)
+select doc_id, len(words)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from worded left join rest using (r)
+"""
+
+
+@query("op13_substring_dedup", PASSAGES_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the passages of 35 words and more that occur again."""
+    done = repeated_passages.without_repeats(_table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
