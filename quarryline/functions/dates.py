@@ -2,33 +2,12 @@
 
 from __future__ import annotations
 
-import re
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Strftime directives and the Spark pattern letters that print the same.
-STRFTIME_TO_SPARK = {
-    "%Y": "yyyy",
-    "%y": "yy",
-    "%m": "MM",
-    "%d": "dd",
-    "%H": "HH",
-    "%I": "hh",
-    "%M": "mm",
-    "%S": "ss",
-    "%f": "SSSSSS",
-    "%j": "DDD",
-    "%A": "EEEE",
-    "%a": "EEE",
-    "%B": "MMMM",
-    "%b": "MMM",
-    "%p": "a",
-    "%Z": "z",
-    "%%": "%",
-}
-
+from quarryline.functions.directives import print_datetime, read_datetimes
 
 def quoted(name: str) -> Column:
     """Column by literal name, whatever spaces, dots or brackets it holds."""
@@ -40,39 +19,6 @@ def moment_literal(value: date | datetime | str) -> Column:
     return F.lit(value if isinstance(value, str) else value.isoformat()).cast("timestamp_ntz")
 
 
-def spark_pattern(strftime_format: str) -> str:
-    """Translate a strftime format; plain text is quoted for Spark."""
-    pieces = []
-    for part in re.findall(r"%.|[^%]+", strftime_format):
-        if part.startswith("%"):
-            if part not in STRFTIME_TO_SPARK:
-                raise ValueError(f"format directive {part!r} has no Spark equivalent")
-            pieces.append(STRFTIME_TO_SPARK[part])
-        else:
-            pieces.append(re.sub(r"[A-Za-z']+", lambda m: "'" + m.group(0).replace("'", "''") + "'", part))
-    return "".join(pieces)
-
-
-def print_datetime(moment: Column, strftime_format: str) -> Column:
-    """Text of a datetime; ISO year, week and weekday are fields of their own in Spark."""
-    iso_fields = {
-        "%G": F.extract(F.lit("YEAROFWEEK"), moment).cast("string"),
-        "%V": F.lpad(F.weekofyear(moment).cast("string"), 2, "0"),
-        "%u": F.extract(F.lit("DAYOFWEEK_ISO"), moment).cast("string"),
-    }
-    fields, plain = [], ""
-    for part in [*re.findall(r"%.|[^%]+", strftime_format), None]:
-        if part is not None and part not in iso_fields:
-            plain += part
-            continue
-        if plain:
-            fields.append(F.date_format(moment, spark_pattern(plain)))
-            plain = ""
-        if part is not None:
-            fields.append(iso_fields[part])
-    return fields[0] if len(fields) == 1 else F.concat(*fields)
-
-
 def add_days_within(
     df: DataFrame, start: str = "Start Date", end: str = "End Date", name: str = "Days Within"
 ) -> DataFrame:
@@ -114,12 +60,10 @@ def datetime_to_string(df: DataFrame, columns: list[str], strftime_format: str)
 
 
 def string_to_datetime(
-    df: DataFrame, columns: list[str], strftime_format: str, lenient: bool = False
+    df: DataFrame, columns: list[str], strftime_format: str, lenient: bool = False, check_weekday: bool = True
 ) -> DataFrame:
     """Parse several text columns in place; a bad value fails the query unless ``lenient``."""
-    pattern = F.lit(spark_pattern(strftime_format))
-    parse = F.try_to_timestamp if lenient else F.to_timestamp_ntz
-    return df.withColumns({c: parse(quoted(c), pattern).cast("timestamp_ntz") for c in columns})
+    return read_datetimes(df, [quoted(c) for c in columns], columns, strftime_format, lenient, check_weekday)
 
 
 def now_utc() -> Column:
@@ -139,7 +83,7 @@ def epoch_to_timestamp(seconds: Column | str) -> Column:
 
 def epoch_to_string(seconds: Column | str, strftime_format: str = "%Y-%m-%d %H:%M:%S.%f") -> Column:
     """Seconds since 1970 as text, the way file times are reported."""
-    return F.trim(F.date_format(epoch_to_timestamp(seconds), spark_pattern(strftime_format)))
+    return F.trim(print_datetime(epoch_to_timestamp(seconds), strftime_format))
 
 
 def age_verdict(moment: Column, reference: Column) -> Column:

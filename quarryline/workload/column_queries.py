@@ -69,6 +69,36 @@ def string_to_datetime(spark, sf_dir):
     return dates.string_to_datetime(printed, ["ts"], "%d.%m.%Y %H:%M:%S.%f").select("event_id", "ts")
 
 
+@query(
+    "D26_datetime_directives",
+    """SELECT event_id, strftime(ts, '%w %U %W') || ' ' || strftime(ts, '%m/%d/%y %Y-%m-%d %H:%M:%S') || ' '
+        || strftime(ts, '%a %b ') || lpad(strftime(ts, '%-d'), 2, ' ') || strftime(ts, ' %H:%M:%S %Y') AS ts FROM events""",
+)
+def datetime_directives(spark, sf_dir):
+    """Week numbers, and directives that stand for others."""
+    printed = dates.datetime_to_string(table(spark, sf_dir, "events"), ["ts"], "%w %U %W %D %F %T %c")
+    return printed.select("event_id", "ts")
+
+
+@query(
+    "D27_string_to_datetime_short_fields",
+    """SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) AS by_numbers, CAST(o_orderdate AS TIMESTAMP) AS by_names,
+        date_trunc('week', o_orderdate)::TIMESTAMP AS by_week FROM orders""",
+)
+def string_to_datetime_short_fields(spark, sf_dir):
+    """Days and months of one digit, names of weekdays and months, and weeks counted from Monday."""
+    day = F.col("o_orderdate")
+    written = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.concat_ws("/", F.dayofmonth(day), F.month(day), F.year(day)).alias("by_numbers"),
+        F.upper(F.date_format(day, "EEEE d MMM yyyy")).alias("by_names"),
+        F.concat(F.extract(F.lit("YEAROFWEEK"), day), F.lit("-"), F.weekofyear(day), F.lit("-Mon")).alias("by_week"),
+    )
+    read = dates.string_to_datetime(written, ["by_numbers"], "%d/%m/%Y")
+    read = dates.string_to_datetime(read, ["by_names"], "%A %d %b %Y")
+    return dates.string_to_datetime(read, ["by_week"], "%G-%V-%a")
+
+
 @query(
     "D28_now_and_utcnow",
     """SELECT o_orderkey, o_orderdate < CAST(now() AS TIMESTAMP) AS before_now,
