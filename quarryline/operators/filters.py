@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
+import re
+import struct
 from collections.abc import Mapping
 from datetime import date, datetime
 from decimal import Decimal, InvalidOperation, localcontext
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DecimalType, StringType, StructField, StructType
 
 from quarryline.functions.dates import age_verdict, moment_literal, quoted
 from quarryline.operators.row_index import add_row_index
@@ -17,21 +20,29 @@ from quarryline.operators.validation import resolvable
 # Longer value lists are joined instead of being spelled out in the plan.
 IN_LIST_LIMIT = 1_000
 
+# Stands between the values of a long list in one literal.
+VALUES_APART = "\x1f"
+
 # A band this wide or narrower is read as two top-k queries around the reference row.
 TOP_K_LIMIT = 1_000
 
+# Names of doubles that are no numbers, and of truth values.
+NOT_FINITE = {"nan": "NaN", "inf": "Infinity", "infinity": "Infinity", "-inf": "-Infinity", "-infinity": "-Infinity"}
+TRUE = ("true", "t", "yes", "y")
+FALSE = ("false", "f", "no", "n")
+
 INTEGRAL = {"tinyint": 8, "smallint": 16, "int": 32, "bigint": 64}
 
 
-def _type_of(df: DataFrame, column: str):
+def _type_of(df: DataFrame, column: str) -> DataType:
     return df.select(quoted(column)).schema[0].dataType
 
 
-def _typed(df: DataFrame, column: str, value) -> Column:
-    """The literal in the type of the column it is compared with; null when the text is no such value."""
+def _typed(kind: DataType, value) -> Column:
+    """A value in the type of the column it is compared with; null when the text is no such value."""
     if isinstance(value, (date, datetime)):
         value = value.isoformat()
-    return F.lit(value).try_cast(_type_of(df, column))
+    return F.lit(value).try_cast(kind)
 
 
 def _number(value) -> Decimal | None:
@@ -42,85 +53,157 @@ def _number(value) -> Decimal | None:
     return number if number.is_finite() else None
 
 
-def _holds(df: DataFrame, column: str, value) -> bool:
-    """Whether a column of this type can hold exactly this value; a cast would cut off what does not fit."""
-    kind = _type_of(df, column)
-    name = kind.simpleString()
-    if value is None or not (name in INTEGRAL or name.startswith("decimal")):
-        return True
+def _moment(value) -> datetime | None:
+    """Time of a date, a datetime or an ISO text, whose month and day may have one digit."""
+    if isinstance(value, datetime):
+        return value
+    text = value.isoformat() if isinstance(value, date) else str(value).strip()
+    text = re.sub(r"^(\d{4})-(\d{1,2})-(\d{1,2})(?!\d)", lambda m: "-".join(part.zfill(2) for part in m.groups()), text)
+    try:
+        return datetime.fromisoformat(text)
+    except ValueError:
+        return None
+
+
+def _as_integral(kind: DataType, value) -> str | None:
+    number, bound = _number(value), 1 << (INTEGRAL[kind.simpleString()] - 1)
+    if number is None or number != number.to_integral_value() or not -bound <= number < bound:
+        return None
+    return str(int(number))
+
+
+def _as_decimal(kind: DecimalType, value) -> str | None:
     number = _number(value)
     if number is None:
-        return False
-    if name in INTEGRAL:
-        bound = 1 << (INTEGRAL[name] - 1)
-        return number == number.to_integral_value() and -bound <= number < bound
+        return None
     with localcontext() as exact:
         exact.prec = 100
         scaled = number.scaleb(kind.scale)
-        return scaled == scaled.to_integral_value() and abs(scaled) < 10**kind.precision
+        fits = scaled == scaled.to_integral_value() and abs(scaled) < 10**kind.precision
+    return format(number, "f") if fits else None
+
+
+def _as_floating(kind: DataType, value) -> str | None:
+    """A number that a double (or float) holds as it is written; the shortest text of a fraction names it too."""
+    if isinstance(value, str) and value.strip().lower() in NOT_FINITE or isinstance(value, float) and not math.isfinite(value):
+        return NOT_FINITE[str(value).strip().lower()]
+    number = _number(value)
+    if number is None:
+        return None
+    held = float(number)
+    if kind.simpleString() == "float":
+        try:
+            held = struct.unpack("f", struct.pack("f", held))[0]
+        except OverflowError:
+            return None
+    if not math.isfinite(held):
+        return None
+    # 0.1 is meant as the nearest double, but a whole number must be that number.
+    whole = number == number.to_integral_value()
+    if whole and Decimal(held) != number:
+        return None
+    return repr(held) if whole or kind.simpleString() == "double" else str(number)
 
 
-def _exact(df: DataFrame, column: str, value) -> Column:
-    """The literal of a value that the column can hold."""
-    name = _type_of(df, column).simpleString()
-    if value is not None and (name in INTEGRAL or name.startswith("decimal")):
-        value = str(int(_number(value))) if name in INTEGRAL else format(_number(value), "f")
-    return _typed(df, column, value)
+def _as_boolean(kind: DataType, value) -> str | None:
+    number, text = _number(value), str(value).strip().lower()
+    if number is not None:
+        return {0: "false", 1: "true"}.get(number)
+    return "true" if text in TRUE else "false" if text in FALSE else None
+
+
+def _as_date(kind: DataType, value) -> str | None:
+    moment = _moment(value)
+    if moment is None or moment != moment.replace(hour=0, minute=0, second=0, microsecond=0) or moment.tzinfo is not None:
+        return None
+    return moment.date().isoformat()
+
+
+def _as_moment(kind: DataType, value) -> str | None:
+    if isinstance(value, (bool, int, float, Decimal)):
+        return None
+    moment = _moment(value)
+    # A wall time has no zone that could be compared.
+    return None if moment is None or (moment.tzinfo is not None and kind.simpleString() == "timestamp_ntz") else moment.isoformat()
+
+
+def _printed_number(value: float | Decimal) -> str:
+    """A number as Spark prints it in a text."""
+    number = Decimal(repr(value)) if isinstance(value, float) else value
+    if isinstance(value, Decimal) or not number or Decimal("1e-3") <= abs(number) < Decimal("1e7"):
+        text = format(number, "f")
+        return text if "." in text or isinstance(value, Decimal) else text + ".0"
+    sign, digits, exponent = number.as_tuple()
+    rest = "".join(map(str, digits[1:])).rstrip("0") or "0"
+    return f"{'-' * sign}{digits[0]}.{rest}E{exponent + len(digits) - 1}"
+
+
+def _exact_text(kind: DataType, value) -> str | None:
+    """A value as a text that casts to exactly this value in a column's type; nothing when the type cannot hold it."""
+    name = kind.simpleString()
+    if name in INTEGRAL:
+        return _as_integral(kind, value)
+    if isinstance(kind, DecimalType):
+        return _as_decimal(kind, value)
+    if name in ("double", "float"):
+        return _as_floating(kind, value)
+    if name == "boolean":
+        return _as_boolean(kind, value)
+    if name == "date":
+        return _as_date(kind, value)
+    if name in ("timestamp", "timestamp_ntz"):
+        return _as_moment(kind, value)
+    if isinstance(value, (date, datetime)):
+        return value.isoformat()
+    # Texts of numbers and booleans are those that Spark prints.
+    if isinstance(value, float) and not math.isfinite(value):
+        return NOT_FINITE[str(value)]
+    if isinstance(value, (float, Decimal)):
+        return _printed_number(value)
+    if isinstance(value, (bytes, bytearray)):
+        return bytes(value).decode("utf-8")
+    return str(value).lower() if isinstance(value, bool) else str(value)
+
+
+def _exact(kind: DataType, value) -> Column | None:
+    """The literal of a value that a column can hold."""
+    text = _exact_text(kind, value)
+    return None if text is None else F.lit(text).try_cast(kind)
 
 
 def filter_equal(df: DataFrame, column: str, value) -> DataFrame:
     """Rows with this value; none when the column's type cannot hold it."""
-    if not _holds(df, column, value):
+    literal = None if value is None else _exact(_type_of(df, column), value)
+    if literal is None:
         return df.where(F.lit(False))
-    return df.where(quoted(column) == _exact(df, column, value))
+    return df.where(quoted(column) == literal)
 
 
 def filter_different(df: DataFrame, column: str, value) -> DataFrame:
     """Rows with another value; rows without a value are kept, and all when the column's type cannot hold it."""
-    if not _holds(df, column, value):
-        return df
-    literal = _exact(df, column, value)
     if value is None:
-        return df.where(~quoted(column).eqNullSafe(literal))
+        return df.where(quoted(column).isNotNull())
+    literal = _exact(_type_of(df, column), value)
+    if literal is None:
+        return df
     return df.where(~(quoted(column).eqNullSafe(literal) & literal.isNotNull()))
 
 
-def _listed(df: DataFrame, column: str, values: list) -> DataFrame:
-    """Values as rows in the column's type, cast like single literals: each kind of Python value on its own."""
-    kinds = {bool: "boolean", int: "decimal(38,0)", float: "double"}
-    exact = _type_of(df, column).simpleString()
-    tables: dict[str, list] = {}
-    for value in values:
-        if exact in INTEGRAL:
-            tables.setdefault("string", []).append(str(int(_number(value))))
-        elif exact.startswith("decimal"):
-            tables.setdefault("string", []).append(format(_number(value), "f"))
-        elif isinstance(value, (date, datetime)):
-            tables.setdefault("string", []).append(value.isoformat())
-        elif type(value) is int:
-            tables.setdefault(kinds[int], []).append(Decimal(value))
-        else:
-            kind = kinds.get(type(value), "string")
-            tables.setdefault(kind, []).append(value if kind != "string" else str(value))
-    parts = [
-        df.sparkSession.createDataFrame([(v,) for v in dict.fromkeys(rows)], f"wanted {kind}").select(
-            F.col("wanted").try_cast(_type_of(df, column)).alias(column)
-        )
-        for kind, rows in tables.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
-
-
 def filter_multiple_match(df: DataFrame, column: str, values) -> DataFrame:
     """Rows whose value is in a set (the values of a mapping, or a list), however long.
 
     Values that the column's type cannot hold, and missing ones, match nothing.
     """
     values = list(values.values()) if isinstance(values, Mapping) else list(values)
-    values = [value for value in values if value is not None and _holds(df, column, value)]
-    if len(values) <= IN_LIST_LIMIT:
-        return df.where(quoted(column).isin(*[_exact(df, column, value) for value in values]))
-    return resolvable(df, _listed(df, column, values), [column])
+    kind = _type_of(df, column)
+    texts = list(dict.fromkeys(t for v in values if v is not None and (t := _exact_text(kind, v)) is not None))
+    if len(texts) <= IN_LIST_LIMIT:
+        return df.where(quoted(column).isin(*[F.lit(text).try_cast(kind) for text in texts]))
+    # One literal for all values, however many, and one row each.
+    rows = df.sparkSession.range(1).select(F.explode(F.split(F.lit(VALUES_APART.join(texts)), VALUES_APART)).alias(column))
+    if any(VALUES_APART in text for text in texts):
+        rows = df.sparkSession.createDataFrame([(text,) for text in texts], StructType([StructField(column, StringType())]))
+    return resolvable(df, rows.select(quoted(column).try_cast(kind).alias(column)), [column])
 
 
 def apply_filter(df: DataFrame, column_to_filter: str, filter_to_apply: str, filter_values) -> DataFrame:
@@ -156,14 +239,14 @@ def _compare(df: DataFrame, order_by: list[str], reference, beyond: str) -> Colu
         if value is None:
             step, same = (column.isNotNull() if after else F.lit(False)), column.isNull()
         else:
-            literal = _typed(df, name, value)
+            literal = _typed(_type_of(df, name), value)
             step, same = (column > literal if after else column.isNull() | (column < literal)), column == literal
         result = step | (same & result)
     lead, value = quoted(order_by[0]), reference[0]
     if value is None:
         bound = F.lit(True) if after else lead.isNull()
     else:
-        literal = _typed(df, order_by[0], value)
+        literal = _typed(_type_of(df, order_by[0]), value)
         bound = lead >= literal if after else lead.isNull() | (lead <= literal)
     return bound & result
 
@@ -203,7 +286,7 @@ def _band_by_index(df: DataFrame, position: tuple, order_by: list[str], lower, u
     indexed = add_row_index(df, order_by, name="__row_idx")
     here = F.lit(True)
     for name, value in zip(order_by, position):
-        here = here & quoted(name).eqNullSafe(_typed(df, name, value))
+        here = here & quoted(name).eqNullSafe(_typed(_type_of(df, name), value))
     at = indexed.where(here).agg(F.min("__row_idx").alias("i")).first().i
     if lower is not None:
         indexed = indexed.where(F.col("__row_idx") >= at - lower)

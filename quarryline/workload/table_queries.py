@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarryline.functions.dates import add_timeline_evaluation
@@ -395,6 +397,47 @@ def filter_different_fraction(spark, sf_dir):
     return filters.filter_different(table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", 7.5)
 
 
+@query(
+    "F1_filter_equal_inexact_literals",
+    """SELECT 'date' AS kind, o_orderkey FROM orders WHERE CAST(o_orderdate AS TIMESTAMP) = TIMESTAMP '1995-01-01 05:00:00'
+        UNION ALL SELECT 'day', o_orderkey FROM orders WHERE CAST(o_orderdate AS DATE) = DATE '1995-01-01'
+        UNION ALL SELECT 'one', o_orderkey FROM orders WHERE o_orderkey % 2 = 1
+        UNION ALL SELECT 'double', o_orderkey FROM orders
+            WHERE CAST(CAST(o_orderkey AS DOUBLE) + 9007199254740000 AS HUGEINT) = 9007199254740993""",
+)
+def filter_equal_inexact_literals(spark, sf_dir):
+    """An hour on a date, two on a truth value, a number between two doubles: no rows; exact literals: theirs."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.col("o_orderdate").cast("date").alias("day"),
+        (F.col("o_orderkey") % 2 == 1).alias("odd"),
+        (F.col("o_orderkey").cast("double") + 9007199254740000.0).alias("far"),
+    )
+    wanted = [
+        ("date", "day", datetime(1995, 1, 1, 5)),
+        ("day", "day", datetime(1995, 1, 1)),
+        ("two", "odd", 2),
+        ("one", "odd", 1),
+        ("double", "far", 9007199254740993),
+    ]
+    parts = [
+        filters.filter_equal(orders, column, value).select(F.lit(kind).alias("kind"), "o_orderkey") for kind, column, value in wanted
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(
+    "F2_F3_filter_inexact_literals",
+    """SELECT o_orderkey FROM orders WHERE CAST(o_orderdate AS DATE) IN (DATE '1995-01-01', DATE '1995-02-01')""",
+)
+def filter_inexact_literals(spark, sf_dir):
+    """Other than an hour of a day is every date; in a list, an hour matches none."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("day"))
+    every = filters.filter_different(orders, "day", datetime(1995, 2, 1, 5))
+    wanted = [datetime(1995, 1, 1), date(1995, 2, 1), "1995-03-01 01:00:00", datetime(1995, 4, 1, 0, 0, 1), None]
+    return filters.filter_multiple_match(every, "day", wanted).select("o_orderkey")
+
+
 @query(
     "F3_filter_long_list_of_kinds",
     """SELECT o_orderkey, planted FROM (SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN 'true' WHEN 1 THEN '1.0E7'

@@ -1,7 +1,8 @@
 """Filters, aggregations, shifts, row index and checks, against brute force where order matters."""
 
 import random
-from datetime import date
+from datetime import date, datetime, timezone
+from decimal import Decimal
 
 import pytest
 from conftest import rows
@@ -255,3 +256,48 @@ def test_text_of_numbers(spark):
     found = [tuple(r) for r in frame.select(fill_empty("v", "-"), fill_empty("t", "-")).collect()]
     assert [t for t, _ in found] == ["12345678", "0.0005", "1.0E-7", "1.0E20", "2.5", "-3", "-", "-"]
     assert {t for _, t in found} == {"1.0"}
+
+
+def test_literals_that_a_type_cannot_hold(spark):
+    frame = spark.sql(
+        """SELECT DATE '2020-01-01' AS day, true AS yes, 9007199254740992D AS far, CAST(0.1 AS FLOAT) AS tenth, CAST(16777216 AS FLOAT) AS whole,
+        TIMESTAMP_NTZ '2020-01-01 05:00:00' AS at, CAST(1.50 AS DECIMAL(9,2)) AS price, '1.0E7' AS text, double('NaN') AS none"""
+    )
+    held = {
+        "day": [date(2020, 1, 1), datetime(2020, 1, 1), "2020-01-01", "2020-1-1"],
+        "yes": [True, 1, 1.0, "true", "Yes"],
+        "far": [9007199254740992, "9007199254740992", 2.0**53],
+        "tenth": [0.1, "0.1"],
+        "whole": [16777216],
+        "at": [datetime(2020, 1, 1, 5), "2020-01-01 05:00:00", "2020-01-01T05:00"],
+        "price": [1.5, "1.50", Decimal("1.500")],
+        "text": [1e7, "1.0E7"],
+        "none": [float("nan"), "NaN"],
+    }
+    refused = {
+        "day": [datetime(2020, 1, 1, 5), "2020-01-01 00:00:01", 20200101.5, "x", True],
+        "yes": [2, 0.5, "maybe", -1],
+        "far": [9007199254740993, "9007199254740993", "x", 10**400],
+        "whole": [16777217],
+        "at": [1577854800, datetime(2020, 1, 1, 5, tzinfo=timezone.utc), "x", date(2020, 1, 1)],
+        "price": [1.501, "x"],
+        "text": [10_000_000, "1E7"],
+    }
+    for column, values in held.items():
+        for value in values:
+            assert filters.filter_equal(frame, column, value).count() == 1, (column, value)
+            assert filters.filter_different(frame, column, value).count() == 0, (column, value)
+            assert filters.filter_multiple_match(frame, column, [value, None]).count() == 1, (column, value)
+    for column, values in refused.items():
+        for value in values:
+            assert filters.filter_equal(frame, column, value).count() == 0, (column, value)
+            assert filters.filter_different(frame, column, value).count() == 1, (column, value)
+        many = [*values, *([] if column in ("yes", "day", "at") else range(5, 1100))]
+        assert filters.filter_multiple_match(frame, column, many).count() == 0, column
+
+
+def test_long_lists_hold_any_text(spark):
+    frame = spark.createDataFrame([("a\x1fb",), ("a",), ("",)], "t string")
+    values = ["a\x1fb", "", *[f"w{i}" for i in range(1200)]]
+    assert {r.t for r in filters.filter_multiple_match(frame, "t", values).collect()} == {"a\x1fb", ""}
+    assert {r.t for r in filters.filter_multiple_match(frame, "t", values[1:]).collect()} == {""}
