@@ -61,7 +61,7 @@ def test_datetime_to_string_prints_like_strftime(spark, pattern):
 
 def test_unknown_directive():
     with pytest.raises(ValueError):
-        dates.spark_pattern("%Q")
+        dates.print_datetime(F.col("t"), "%Q")
 
 
 def test_string_to_datetime(spark):
