@@ -5,21 +5,21 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator, Mapping
-from functools import reduce
 
 import pandas as pd
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from quarryline.functions.checksums import all_checksums
 from quarryline.functions.dates import quoted
 from quarryline.functions.text import base_name
 from quarryline.operators.columns import union_tables
-from quarryline.runtime import expand_glob, ship_package, task_filesystem
-from quarryline.sources.formats import SOURCE_FILE_COLUMN, field_delimiter, file_format, worksheet
+from quarryline.runtime import expand_glob, scratch_path, ship_package, task_filesystem
+from quarryline.sources.csv_tables import load_csv
+from quarryline.sources.formats import SOURCE_FILE_COLUMN, file_format, worksheet
 from quarryline.sources.pickled import read_pickled
 from quarryline.sources.workbook import read_workbooks
 
@@ -28,15 +28,6 @@ WHOLE_FILE_LIMIT = 256 * 1024 * 1024
 
 _STREAM_BLOCK = 8 * 1024 * 1024
 
-# Texts that stand for a missing value in a CSV file, besides an empty field.
-MISSING_TEXTS = (
-    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
-    "NULL", "NaN", "None", "n/a", "nan", "null",
-)
-
-WHOLE_NUMBER = r"^\s*[+-]?\d+\s*$"
-NUMBER = r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
-
 JSON_LAYOUTS = ("auto", "lines", "records", "columns")
 
 
@@ -115,112 +106,6 @@ def _with_provenance(df: DataFrame) -> DataFrame:
     return df.withColumn(SOURCE_FILE_COLUMN, F.col("_metadata.file_name"))
 
 
-def _csv_groups(spark: SparkSession, paths: list[str]) -> list[list[str]]:
-    """The paths split by header line; as given when all files share one.
-
-    Each task reads the head of its files only, and file names are brought to the driver, where
-    Spark's own file listing is kept, only when headers differ.
-    """
-
-    def heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            lines = []
-            for path in batch["path"]:
-                filesystem, location = task_filesystem(path)
-                with filesystem.open_input_stream(location, compression="detect") as stream:
-                    head = b""
-                    while b"\n" not in head:
-                        block = stream.read(65536)
-                        if not block:
-                            break
-                        head += block
-                lines.append(head.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8-sig"))
-            yield pd.DataFrame({"path": batch["path"], "header": lines})
-
-    ship_package(spark)
-    listed = spark.read.format("binaryFile").load(paths).select("path")
-    found = listed.mapInPandas(heads, "path string, header string").where("header <> ''")
-    if found.select("header").distinct().count() <= 1:
-        return [paths]
-    groups: dict[str, list[str]] = {}
-    for row in sorted(found.collect()):
-        groups.setdefault(row.header, []).append(row.path)
-    return list(groups.values())
-
-
-def _has_multi_line_fields(spark: SparkSession, paths: list[str], spec: Mapping) -> bool:
-    """Whether a quoted field goes over a line end: then a line has an odd number of quotes.
-
-    Only files without such fields can be split between tasks, so it pays to find out. ``multi
-    line`` in the specification answers the question without a scan.
-    """
-    told = spec.get("multi line")
-    if told is not None:
-        return bool(told)
-    odd = F.regexp_count("value", F.lit('"')) % 2 == 1
-    return not spark.read.text(paths).where(odd).isEmpty()
-
-
-def _inferred(frame: DataFrame, names: list[str]) -> DataFrame:
-    """Text columns as whole numbers, numbers or booleans when every value allows it.
-
-    One aggregation over the table decides for all columns: the lowest and highest rank of its
-    values. Texts for missing values become null; a column without any value is numeric.
-    """
-    texts = {n: F.when(~quoted(n).isin(*MISSING_TEXTS), quoted(n)) for n in names}
-    frame = frame.withColumns(texts)
-
-    def rank(value: Column) -> Column:
-        whole = value.rlike(WHOLE_NUMBER)
-        fits, wide = (F.trim(value).try_cast(kind).isNotNull() for kind in ("bigint", "decimal(38,0)"))
-        flag = F.lower(value).isin("true", "false")
-        number = F.when(whole & ~fits & ~wide, 5).when(value.rlike(NUMBER), 3)
-        ranked = F.when(whole & fits, 1).when(whole & wide, 2).otherwise(F.coalesce(number, F.when(flag, 4), F.lit(5)))
-        return F.when(value.isNotNull(), ranked)
-
-    ranks = frame.select(*[rank(quoted(n)).alias(f"r{i}") for i, n in enumerate(names)])
-    bounds = [f(f"r{i}").alias(f"{label}{i}") for i in range(len(names)) for label, f in (("low", F.min), ("high", F.max))]
-    facts = ranks.agg(*bounds).first()
-    chosen = {}
-    for i, name in enumerate(names):
-        low, high = facts[f"low{i}"], facts[f"high{i}"]
-        if high is None or high <= 3:
-            chosen[name] = F.trim(quoted(name)).cast({1: "bigint", 2: "decimal(38,0)"}.get(high, "double"))
-        elif low == high == 4:
-            chosen[name] = quoted(name).cast("boolean")
-    return frame.withColumns(chosen) if chosen else frame
-
-
-def _csv_by_name(reader, groups: list[list[str]], schema: StructType) -> DataFrame:
-    """Columns of a schema by header name: files may order them differently; what a file lacks is null."""
-    parts = []
-    for group in groups:
-        header = reader(None).csv(group).columns
-        kinds = {field.name: field for field in schema}
-        found = StructType([kinds.get(name, StructField(name, StringType())) for name in header])
-        part = _with_provenance(reader(found).csv(group))
-        columns = [quoted(f.name) if f.name in header else F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
-        parts.append(part.select(*columns, SOURCE_FILE_COLUMN))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _load_csv(spark: SparkSession, paths: list[str], spec: Mapping) -> DataFrame:
-    """One multi-file scan per distinct header, joined by column name."""
-    options = {"header": True, "sep": field_delimiter(spec), "escape": '"', "multiLine": _has_multi_line_fields(spark, paths, spec)}
-    reader = spark.read.options(**options)
-    if spec.get("schema") is not None:
-        given = spec["schema"]
-        schema = given if isinstance(given, StructType) else spark.createDataFrame([], given).schema
-
-        def typed(kinds: StructType | None):
-            fresh = spark.read.options(**options)
-            return fresh if kinds is None else fresh.schema(kinds)
-
-        return _csv_by_name(typed, _csv_groups(spark, paths), schema)
-    united = union_tables([_with_provenance(reader.csv(group)) for group in _csv_groups(spark, paths)])
-    return _inferred(united, [c for c in united.columns if c != SOURCE_FILE_COLUMN])
-
-
 def _is_columns(document) -> bool | None:
     """Whether a document holds rows below columns; None when it could also be one record."""
     cells = list(document.values()) if isinstance(document, dict) else []
@@ -230,8 +115,21 @@ def _is_columns(document) -> bool | None:
     return all(re.fullmatch("[0-9]+", key) for key in keys) if keys else None
 
 
+# A document on one line whose values are objects below numbers: rows below columns, or one record of such objects. Several
+# values with the same numbers are columns. Otherwise numbers that count from 0 are rows unless other files are lines.
+UNCLEAR = ("columns or record", "numbers or record")
+
+
+def _one_line(document: dict) -> str:
+    rows = {frozenset(cell) for cell in document.values()}
+    if len(document) > 1 and len(rows) == 1:
+        return "columns"
+    keys = {int(key) for row in rows for key in row}
+    return UNCLEAR[0] if keys == set(range(len(keys))) else UNCLEAR[1]
+
+
 def json_layout(stream) -> str:
-    """Layout of one JSON file: lines, records or columns; empty for a file without content, else what is wrong.
+    """Layout of one JSON file: lines, records or columns; empty for a file without content, else what is wrong or unclear.
 
     The first document decides as far as it is on a line of its own with more below it. A file of one document is held
     whole, as Spark's reader holds it.
@@ -265,6 +163,8 @@ def json_layout(stream) -> str:
     columns = _is_columns(document)
     if columns is None:
         return "may be columns without rows or one record of empty objects"
+    if columns and whole:
+        return _one_line(document)
     return "columns" if columns else "lines" if whole else "records"
 
 
@@ -298,17 +198,25 @@ def _json_groups(spark: SparkSession, paths: list[str], spec: Mapping) -> dict[s
 
     ship_package(spark)
     listed = spark.read.format("binaryFile").load(paths).select("path")
-    found = listed.mapInPandas(layouts, "path string, layout string").where("layout <> ''")
+    known = scratch_path(spark, "layouts")
+    listed.mapInPandas(layouts, "path string, layout string").where("layout <> ''").write.parquet(known)
+    found = spark.read.schema("path string, layout string").parquet(known)
     kinds = {r.layout for r in found.select("layout").distinct().collect()}
-    wrong = sorted(kinds - set(JSON_LAYOUTS))
+    clear = kinds & set(JSON_LAYOUTS)
+    # What one line leaves open, the other files decide.
+    decided = next((kind for kind in ("columns", "lines") if kind in clear), None)
+    meant = {UNCLEAR[0]: decided or "columns", UNCLEAR[1]: decided} if not clear or decided else dict.fromkeys(UNCLEAR)
+    wrong = sorted(kind for kind in kinds - clear if meant.get(kind) is None)
     if wrong:
         path, why = found.where(F.col("layout") == wrong[0]).first()
-        raise ValueError(f"the layout of JSON file {path} is not clear, it {why}; give a layout for it")
+        why = "may be columns of numbered rows or one record of objects" if why in UNCLEAR else f"it {why}"
+        raise ValueError(f"the layout of JSON file {path} is not clear, {why}; give a layout for it")
+    kinds = {meant.get(kind, kind) for kind in kinds}
     if len(kinds) <= 1:
         return {(kinds or {"lines"}).pop(): paths}
     groups: dict[str, list[str]] = {}
     for path, kind in sorted(found.collect()):
-        groups.setdefault(kind, []).append(path)
+        groups.setdefault(meant.get(kind, kind), []).append(path)
     return groups
 
 
@@ -333,19 +241,17 @@ class _Reopened:
 def _load_json_columns(spark: SparkSession, paths: list[str], schema: StructType | None = None) -> DataFrame:
     """Documents of the form ``{"column": {"row": value}}``.
 
-    Cells are exploded next to each other and brought together again per file and row; the
-    column types come from the schema, or from one aggregation over the cells.
+    A document is a map of columns, each a map of rows. Where all columns of a document have the same rows in one order, as
+    documents written from tables do, the columns are zipped in place; cells of other documents are exploded and
+    brought together per file and row. Column types come from the schema, or from one aggregation over the cells.
     """
     documents = spark.read.text(paths, wholetext=True).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_name").alias("source"),
-        F.parse_json("value").alias("document"),
-    )
-    cells = spark.sql(
-        "SELECT file, source, c.key AS name, r.key AS row, r.value AS cell FROM {documents}, "
-        "LATERAL variant_explode(document) AS c, LATERAL variant_explode(c.value) AS r",
-        documents=documents,
+        F.from_json("value", "map<string,map<string,variant>>").alias("document"),
     )
+    columns = documents.select("file", F.explode("document").alias("name", "rows"))
+    cells = columns.select("file", "name", F.explode("rows").alias("row", "cell"))
     if schema is not None:
         found = {field.name: field.dataType.simpleString() for field in schema}
     else:
@@ -353,14 +259,27 @@ def _load_json_columns(spark: SparkSession, paths: list[str], schema: StructType
             F.expr("schema_of_variant_agg(cell)").alias("kind"), F.min("file").alias("f")
         )
         found = {r.name: _cell_type(r.kind) for r in kinds.orderBy("f", "name").collect()}
+    rows = F.transform(F.map_values("document"), lambda cells: F.map_keys(cells))
+    alike = F.coalesce(F.size(F.array_distinct(rows)) == 1, F.lit(False))
+    # The rows of a column, where a document has it; zipping adds nulls where it has not.
+    own = [F.map_values(F.try_element_at("document", F.lit(name))).alias(f"c{i}") for i, name in enumerate(found)]
+    first = F.map_keys(F.get(F.map_values("document"), F.lit(0))).alias("row")
+    zipped = documents.where(alike).select("source", F.inline(F.arrays_zip(first, *(F.coalesce(c, F.array()).alias(f"c{i}") for i, c in enumerate(own)))))
+    straight = zipped.select(
+        *[F.try_variant_get(f"c{i}", "$", kind).alias(name) for i, (name, kind) in enumerate(found.items())],
+        F.col("source").alias(SOURCE_FILE_COLUMN),
+    )
     values = [
         F.any_value(F.when(F.col("name") == name, F.try_variant_get("cell", "$", kind)), True).alias(name)
         for name, kind in found.items()
     ]
-    return (
-        cells.groupBy("file", "source", "row").agg(*values).drop("file", "row")
+    apart = documents.where(~alike).select("file", "source", F.explode("document").alias("name", "rows"))
+    apart = apart.select("file", "source", "name", F.explode("rows").alias("row", "cell"))
+    regrouped = (
+        apart.groupBy("file", "source", "row").agg(*values).drop("file", "row")
         .select(*[quoted(n) for n in found], F.col("source").alias(SOURCE_FILE_COLUMN))
     )
+    return straight.unionByName(regrouped)
 
 
 def _cell_type(kind: str) -> str:
@@ -409,7 +328,7 @@ def load(spark: SparkSession, spec: Mapping) -> DataFrame:
     if not paths:
         raise ValueError('a load specification needs a non-empty "file list"')
     if chosen == "csv":
-        return _load_csv(spark, paths, spec)
+        return load_csv(spark, paths, spec)
     if chosen == "excel":
         return read_workbooks(spark, paths, worksheet(spec), spec.get("schema"))
     if chosen == "json":

@@ -41,11 +41,12 @@ def save(df: DataFrame, spec: Mapping, mode: str = "overwrite") -> None:
             compression=packed, timestampFormat=TIMESTAMP_TEXT, timestampNTZFormat=TIMESTAMP_TEXT
         )
         if chosen == "csv":
-            writer.options(header=True, sep=field_delimiter(spec), escape='"').csv(path)
+            kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+            writer.options(header=True, sep=field_delimiter(spec), escape='"', **kept).csv(path)
         elif chosen == "json":
             writer.option("ignoreNullFields", False).json(path)
         else:
-            writer.option("outputTimestampType", "INT96").parquet(path)
+            writer.parquet(path)
         return
     if path_exists(df.sparkSession, path):
         if mode == "ignore":

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from itertools import permutations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -125,6 +126,59 @@ def union_json_layouts(spark, sf_dir):
     return loaded.select(*names)
 
 
+@query(
+    "S5_csv_wide_with_fraction",
+    """SELECT o_orderkey, CAST(12345678901234560000 + o_orderkey AS DECIMAL(38,2))
+        + CASE WHEN o_orderkey % 3 = 0 THEN 0.25 ELSE 0 END AS wide FROM orders""",
+)
+def csv_wide_with_fraction(spark, sf_dir):
+    """Identifiers of twenty digits beside fractions stay apart."""
+    wide = F.lit("12345678901234560000").cast("decimal(30,0)") + F.col("o_orderkey")
+    text = F.concat(wide.cast("decimal(30,0)").cast("string"), F.when(F.col("o_orderkey") % 3 == 0, ".25").otherwise(""))
+    written = table(spark, sf_dir, "orders").select("o_orderkey", text.alias("wide"))
+    spec = {"format": "csv", "name": scratch_path(spark, "wide")}
+    sinks.save(written, spec)
+    return files.load(spark, {**spec, "file list": [spec["name"]]}).select("o_orderkey", F.col("wide").cast("decimal(38,2)").alias("wide"))
+
+
+@query(
+    "S5_csv_fields_over_lines",
+    """SELECT o_orderkey, o_orderstatus || chr(10) || 'said "' || o_orderpriority || '",' || chr(10) || repeat('x' || chr(10), o_orderkey % 9) AS note
+        FROM orders""",
+)
+def csv_fields_over_lines(spark, sf_dir):
+    """Quoted fields with line ends, delimiters and quotes; splits are cut into records in parallel."""
+    note = F.concat(
+        "o_orderstatus", F.lit('\nsaid "'), "o_orderpriority", F.lit('",\n'), F.repeat(F.lit("x\n"), (F.col("o_orderkey") % 9).cast("int"))
+    )
+    spec = {"format": "csv", "name": scratch_path(spark, "notes")}
+    sinks.save(table(spark, sf_dir, "orders").select("o_orderkey", note.alias("note")), spec)
+    return files.load(spark, {**spec, "file list": [spec["name"]], "schema": "o_orderkey bigint, note string"}).select("o_orderkey", "note")
+
+
+@query("U1_union_csv_headers", "SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM orders")
+def union_csv_headers(spark, sf_dir):
+    """Twelve outputs whose headers differ in order, read in one scan."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    base = scratch_path(spark, "headers")
+    for i, names in enumerate(list(permutations(orders.columns))[:12]):
+        sinks.save(orders.where(F.col("o_orderkey") % 12 == i).select(*names), {"format": "csv", "name": f"{base}/{i}"})
+    return files.load(spark, {"format": "csv", "file list": [f"{base}/*"]}).select(*orders.columns)
+
+
+@query("S7_json_one_line_record", "SELECT o_orderkey, o_custkey FROM orders")
+def json_one_line_record(spark, sf_dir):
+    """Files of one line each, which alone could be columns of rows, take the layout of the lines beside them."""
+    key = F.col("o_orderkey")
+    folder = scratch_path(spark, "one-line")
+    record = F.to_json(F.struct(F.struct(key.alias("7"), F.col("o_custkey").alias("8")).alias("o")))
+    orders = table(spark, sf_dir, "orders").select(key, record.alias("value"))
+    single = F.when(key < 4, key).otherwise(F.lit(0)).cast("string").alias("part")
+    orders.select("value", single).repartition("part").write.partitionBy("part").text(folder)
+    loaded = files.load(spark, {"format": "json", "file list": [folder]})
+    return loaded.select(F.col("o.7").alias("o_orderkey"), F.col("o.8").alias("o_custkey"))
+
+
 @query(
     "P10_source_file_name",
     """SELECT 'part-' AS prefix, o_orderpriority IS NULL AS first_slice,

@@ -403,3 +403,52 @@ def test_scratch_of_other_applications_stays(spark, tmp_path, monkeypatch):
         folder.mkdir(parents=True)
     runtime.clear_scratch(spark)
     assert not own.exists() and other.exists()
+
+
+def test_one_line_json_does_not_depend_on_its_neighbours(spark, tmp_path):
+    """Objects below numbers on one line: refused, unless other files or a layout say what they are."""
+    record = '{"a": {"1": 5}}'
+    (tmp_path / "one.json").write_text(record)
+    one = {"format": "json", "file list": [str(tmp_path / "one.json")]}
+    with pytest.raises(ValueError, match="one.json"):
+        files.load(spark, one)
+    assert rows(files.load(spark, {**one, "layout": "columns"}).select("a")) == [(5,)]
+    assert files.load(spark, {**one, "layout": "lines"}).select("a.1").first()[0] == 5
+    (tmp_path / "two.json").write_text(record + "\n" + record.replace("5", "7"))
+    both = files.load(spark, {"format": "json", "file list": [str(tmp_path)]})
+    assert sorted(r.a["1"] for r in both.collect()) == [5, 5, 7]
+    (tmp_path / "two.json").write_text('{"a": {"4": 6,\n "9": 8}}')
+    both = files.load(spark, {"format": "json", "file list": [str(tmp_path)]})
+    assert rows(both.select("a")) == [(5,), (6,), (8,)]
+    (tmp_path / "two.json").write_text('[{"a": 1}]')
+    with pytest.raises(ValueError, match="one.json"):
+        files.load(spark, {"format": "json", "file list": [str(tmp_path)]})
+
+
+def test_columns_with_different_rows(spark, tmp_path):
+    (tmp_path / "same.json").write_text('{"a": {"7": 1, "3": 2},\n "b": {"7": "x", "3": null}}')
+    (tmp_path / "other.json").write_text('{"a": {"0": 3, "1": 4},\n "c": {"1": true}}')
+    (tmp_path / "order.json").write_text('{"a": {"0": 5, "1": 6},\n "b": {"1": "v", "0": "u"}}')
+    loaded = files.load(spark, {"format": "json", "file list": [str(tmp_path)]})
+    assert rows(loaded.select("a", "b", "c")) == [(1, "x", None), (2, None, None), (3, None, None), (4, None, True), (5, "u", None), (6, "v", None)]
+
+
+def test_csv_keeps_white_space_around_values(spark, tmp_path):
+    spec = {"format": "csv", "name": str(tmp_path / "blanks.csv"), "schema": "t string"}
+    sinks.save(spark.createDataFrame([(" a ",), ("b\n",), ("\tc",)], "t string"), spec)
+    assert {r.t for r in files.load(spark, {**spec, "file list": [spec["name"]]}).collect()} == {" a ", "b\n", "\tc"}
+
+
+def test_parquet_timestamps_follow_the_session(spark, tmp_path):
+    """The physical type of instants is the session's setting; there is no option for it."""
+    import pyarrow.parquet as pq
+
+    frame = spark.sql("SELECT TIMESTAMP_LTZ '2020-01-01 00:00:00' AS t")
+    held = spark.conf.get("spark.sql.parquet.outputTimestampType")
+    for setting, physical in (("INT96", "INT96"), ("TIMESTAMP_MICROS", "INT64")):
+        spark.conf.set("spark.sql.parquet.outputTimestampType", setting)
+        name = tmp_path / setting
+        sinks.save(frame, {"format": "parquet", "name": str(name)})
+        part = next(name.glob("part-*.parquet"))
+        assert pq.ParquetFile(part).schema.column(0).physical_type == physical
+    spark.conf.set("spark.sql.parquet.outputTimestampType", held)
