@@ -1,16 +1,23 @@
 """Main text of web pages by line-block distribution.
 
-Markup is stripped to one line per block of text; elements that never belong to an article (scripts, menus,
-forms, adverts, ...) leave empty lines. The line-block distribution is the sum of text lengths over sliding windows
-of lines. It surges where text begins and dives to nothing where it ends; the text between surge and dive is kept,
-and so are short stretches next to it in the same parent. What a page marks as its article weighs more in the sums.
+Markup is stripped to one line per block of text. The line-block distribution is the sum of text lengths over sliding
+windows of lines. It surges where text begins and dives to nothing where it ends; the text between surge and dive is
+kept, and so are short stretches next to it in the same parent.
+
+What a page says about its parts enters as weights of the lengths: characters inside an article or main element count more,
+those of links nothing, those of an element whose class hints at something else (``sidebar-right``) less. Elements that name
+themselves something else (``nav``, ``class="comments"``) count nothing, unless they hold most of the page's text and what is left
+does not surge: then the name is overruled. Where the layout moves from one part of the page to another, and
+where something counts nothing, lines are set apart by empty ones, so that no window reaches across.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from dataclasses import dataclass, replace
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -22,8 +29,13 @@ from quarryline.llm.common import prepare
 WINDOW = 3
 # Characters a window must hold for text to surge.
 SURGE = 86
-# How often a character inside an article or main element counts.
+# How often a character inside an article or main element counts, and one of an element hinted at only divided by it.
 ARTICLE = 4
+# A name is overruled when its element holds this share of the page's text or more, and the rest an eighth of that at most or no surge.
+MOST = 0.5
+REST = 8
+# Names judged one inside the other; where more of them hold most of the text, none is believed.
+MOST_OVERRULED = 16
 
 # Elements of the HTML standard by what they mean for text.
 RAW = "script style textarea title noscript template svg math iframe object canvas xmp noembed noframes".split()
@@ -33,7 +45,7 @@ BLOCK = (
     " html legend li main ol p pre section summary table tbody td tfoot th thead tr ul"
 ).split()
 VOID = "area base br col embed hr img input link meta param source track wbr".split()
-# Words of class and id attributes, and roles, that mark what surrounds an article.
+# Words of class and id attributes, and roles, that mark what surrounds an article; as a part of a longer word, a hint.
 MARKS = (
     "ad ads advert advertisement adverts advertising banner sponsor sponsored promo promotion sidebar side-bar menu"
     " navbar nav navigation breadcrumb breadcrumbs footer header masthead cookie cookies consent gdpr notice notices"
@@ -45,9 +57,9 @@ LAYOUT = "with has no without".split()
 REMARKS = "comment comments reply replies".split()
 ROLES = "navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split()
 
-_TOKEN = re.compile(
-    r"<!--(?:>|->|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>\x00]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>?", re.S
-)
+_COMMENT_END = re.compile(r"--!?>")
+_NAME = re.compile(r"(/?)([a-zA-Z][^\s/>\x00]*)")
+_STOP = re.compile("[>\"']")
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 _WORD = re.compile(r"[a-z]+(?:-[a-z]+)*")
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*>?", re.I) for name in RAW}
@@ -57,122 +69,254 @@ _LAYOUT, _REMARKS = frozenset(LAYOUT), frozenset(REMARKS)
 # Opening one of these ends an open element of the same kind inside the same parent.
 _CLOSES = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 
+# Elements that HTML itself sets aside are never overruled; a form may be wrapped around a whole page.
+_FIRM = _ASIDE - {"form"}
+FIRM, NAMED, HINTED = "firm", "named", "hinted"
 
-def _marked(attributes: str, marks: frozenset = _MARKS) -> bool:
-    """Whether attributes say that an element surrounds the article or is not shown."""
+
+def _marked(attributes: str, marks: frozenset = _MARKS) -> str | None:
+    """Whether attributes name an element as something that is no article or not shown, or a part of a class hints at it."""
+    hint = None
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return NAMED
         if name == "style":
             if "display:none" in value.replace(" ", ""):
-                return True
+                return NAMED
         elif name == "role":
             if value.strip() in _ROLES:
-                return True
+                return NAMED
         else:
-            for word in _WORD.findall(value.replace("_", "-")):
-                parts = word.split("-")
-                if word in marks or (parts[0] not in _LAYOUT and not marks.isdisjoint(parts)):
-                    return True
-    return False
+            for word in value.split():
+                if word in marks:
+                    return NAMED
+                for part in _WORD.findall(word.replace("_", "-")):
+                    parts = part.split("-")
+                    if part in marks or (parts[0] not in _LAYOUT and not marks.isdisjoint(parts)):
+                        hint = HINTED
+    return hint
 
 
-def lines_of(page: str) -> tuple[list[str], list[bool], list[tuple[int, int]]]:
-    """Lines of text in page order, whether each is inside an article or main element, and what holds it.
+def tag_ends(page: str):
+    """Where the tag whose attributes begin at a place ends, after its ``>`` outside of quotes; -1 if nowhere.
 
-    That is the number of the innermost open element that lays out a page, and of the one around it; the body is 0.
-    Each removed element leaves as many empty lines as a window has.
+    All quotes and ``>`` are looked at once, from the last to the first, so that broken markup takes no longer.
     """
-    lines: list[str] = []
-    inside: list[bool] = []
-    parents: list[tuple[int, int]] = []
-    held: list[str] = []
+    places, ends = [], []
+    for stop in _STOP.finditer(page):
+        places.append(stop.start())
+    ends = [-1] * (len(places) + 1)
+    following = {"'": len(places), '"': len(places)}
+    for k in range(len(places) - 1, -1, -1):
+        sign = page[places[k]]
+        if sign == ">":
+            ends[k] = places[k] + 1
+        else:
+            # On from the stop after the closing quote.
+            close = following[sign]
+            ends[k] = ends[close + 1] if close < len(places) else -1
+            following[sign] = k
+    return lambda at: ends[bisect_left(places, at)]
+
+
+def tokens(page: str) -> Iterator[tuple[str, str, bool, str]]:
+    """Texts, and tags as name, whether they close, and attributes; raw elements as an opening tag alone."""
+    at, begin, size, end_of = 0, 0, len(page), tag_ends(page)
+    while True:
+        at = page.find("<", at)
+        if at < 0:
+            break
+        tag = None
+        if page.startswith("<!--", at):
+            if page.startswith((">", "->"), at + 4):
+                end = page.index(">", at + 4) + 1
+            else:
+                close = _COMMENT_END.search(page, at + 4)
+                end = close.end() if close else size
+        elif found := _NAME.match(page, at + 1):
+            end = end_of(found.end())
+            if end < 0:
+                # No tag: the sign is text.
+                at += 1
+                continue
+            tag = found.group(2).lower(), bool(found.group(1)), page[found.end() : end - 1]
+        elif page.startswith(("<!", "<?", "</"), at):
+            end = page.find(">", at) + 1 or size
+        else:
+            at += 1
+            continue
+        if begin < at:
+            yield page[begin:at], "", False, ""
+        if tag is not None:
+            yield "", *tag
+            if tag[0] in _RAW and not tag[1]:
+                close = _RAW_END[tag[0]].search(page, end)
+                end = close.end() if close else size
+        at = begin = end
+    if begin < size:
+        yield page[begin:], "", False, ""
+
+
+@dataclass
+class Line:
+    """A block of text, the innermost elements around it by number (0 for none), and what the page says about it."""
+
+    text: str
+    linked: int  # characters inside links
+    article: bool
+    hinted: bool
+    named: int  # that names itself something else
+    own: int  # that lays out a page; the body is 0
+    above: int  # the one around that
+    after_gap: bool
+
+
+@dataclass
+class Page:
+    """Lines in page order; by number, the named element around a named one, the last element inside one that holds lines, and
+    the named elements that are never overruled."""
+
+    lines: list[Line]
+    around: dict[int, int]
+    last: dict[int, int]
+    firm: set[int]
+
+
+class _Open:
+    """Open elements, with how many there are of each name."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, str | None, int]] = []
+        self.count: dict[str, int] = {}
+
+    def push(self, name: str, mark: str | None, number: int) -> None:
+        self.stack.append((name, mark, number))
+        self.count[name] = self.count.get(name, 0) + 1
+
+    def pop(self) -> tuple[str, str | None, int]:
+        top = self.stack.pop()
+        self.count[top[0]] -= 1
+        return top
+
+
+def lines_of(page: str) -> Page:
+    """Lines of text and the elements around them."""
+    lines: list[Line] = []
+    held: list[tuple[str, bool]] = []
+    open_, links = _Open(), 0
+    named: list[int] = [0]
+    hinted = 0
+    holders: list[int] = [0]
+    around: dict[int, int] = {}
+    inner: dict[int, int] = {}
+    firm: set[int] = set()
+    number, gap = 0, False
 
     def end_line() -> None:
-        if held:
-            text = " ".join(html.unescape("".join(held)).split())
-            held.clear()
-            if text:
-                lines.append(text)
-                inside.append("article" in outer or "main" in outer)
-                parents.append((holders[-1][1], holders[-2][1] if len(holders) > 1 else 0))
-
-    def gap() -> None:
-        end_line()
-        lines.extend([""] * WINDOW)
-        inside.extend([False] * WINDOW)
-        parents.extend([(0, 0)] * WINDOW)
+        nonlocal gap
+        if not held:
+            return
+        texts = [" ".join(html.unescape(text).split()) for text, _ in held]
+        text = " ".join(html.unescape("".join(text for text, _ in held)).split())
+        linked = sum(len(text) for text, (_, link) in zip(texts, held) if link)
+        held.clear()
+        if text:
+            article = bool(open_.count.get("article") or open_.count.get("main"))
+            lines.append(Line(text, min(linked, len(text)), article, hinted > 0, named[-1], holders[-1], holders[-2] if len(holders) > 1 else 0, gap))
+            gap = False
+
+    def left(mark: str | None, name: str) -> None:
+        nonlocal hinted, gap, links
+        if mark in (FIRM, NAMED):
+            named.pop()
+        elif mark == HINTED:
+            hinted -= 1
+        if mark:
+            gap = True
+        if name in _HOLDERS:
+            inner[holders.pop()] = number
+        if name == "a":
+            links -= 1
 
     def close(name: str) -> None:
-        while outer.pop() != name:
-            pass
-        while holders[-1][0] >= len(outer):
-            holders.pop()
-
-    skipped: list[str] = []  # open elements inside the one that is left out
-    outer: list[str] = []  # open elements that are kept
-    holders: list[tuple[int, int]] = [(-1, 0)]  # place in ``outer`` and number of those that hold lines
-    held_by = 0
-    at, size = 0, len(page)
-    while at < size:
-        found = _TOKEN.search(page, at)
-        if found is None:
-            if not skipped:
-                held.append(page[at:])
-            break
-        if not skipped and found.start() > at:
-            held.append(page[at : found.start()])
-        at = found.end()
-        name = found.group(2)
-        if name is None:
+        while True:
+            top, mark, _ = open_.pop()
+            if mark:
+                end_line()
+            left(mark, top)
+            if top == name:
+                return
+
+    for text, name, closing, attributes in tokens(page):
+        if not name:
+            held.append((text, links > 0))
             continue
-        name, closing = name.lower(), bool(found.group(1))
         if name in _RAW and not closing:
-            end = _RAW_END[name].search(page, at)
-            at = end.end() if end else size
-            if not skipped and name != "title":
-                gap()
-            continue
-        if skipped:
-            if closing:
-                if name in skipped:
-                    while skipped.pop() != name:
-                        pass
-                elif name in outer and name in _BLOCK:
-                    # The left-out element was never closed: its parent ends here.
-                    skipped.clear()
-                    close(name)
-            elif name not in _VOID and not found.group(3).endswith("/"):
-                if skipped[-1] in _CLOSES.get(name, ()):
-                    skipped.pop()
-                skipped.append(name)
+            if name != "title":
+                end_line()
+                gap = True
             continue
         if closing:
             if name in _BLOCK or name in _ASIDE:
                 end_line()
-            if name in outer:
+            if open_.count.get(name):
                 close(name)
             continue
-        out = name in _ASIDE
-        if not out and found.group(3) and name not in ("html", "body", "main"):
-            out = _marked(found.group(3), _REMARKS if name == "article" else _MARKS)
-        if out and name not in _VOID:
-            gap()
-            if not found.group(3).endswith("/"):
-                skipped.append(name)
-            continue
-        if name in _BLOCK:
+        mark = FIRM if name in _FIRM else NAMED if name in _ASIDE else None
+        if mark is None and attributes and name not in ("html", "body", "main"):
+            mark = _marked(attributes, _REMARKS if name == "article" else _MARKS)
+        if name in _BLOCK or mark:
             end_line()
-        if name not in _VOID:
-            if outer and outer[-1] in _CLOSES.get(name, ()):
-                close(outer[-1])
-            if name in _HOLDERS:
-                held_by += 1
-                holders.append((len(outer), held_by))
-            outer.append(name)
+        if name in _VOID or (attributes.endswith("/") and mark):
+            gap = gap or mark is not None
+            continue
+        if open_.stack and open_.stack[-1][0] in _CLOSES.get(name, ()):
+            close(open_.stack[-1][0])
+        number += 1
+        if mark in (FIRM, NAMED):
+            around[number] = named[-1]
+            if mark == FIRM:
+                firm.add(number)
+            named.append(number)
+        elif mark == HINTED:
+            hinted += 1
+        if mark:
+            gap = True
+        if name in _HOLDERS:
+            holders.append(number)
+        if name == "a":
+            links += 1
+        open_.push(name, mark, number)
     end_line()
-    return lines, inside, parents
+    return Page(lines, around, inner | dict.fromkeys(holders, number), firm)
+
+
+def _weight(line: Line, article: int) -> int:
+    """Characters of a line as they count in the windows; a linked line counts nothing."""
+    plain = len(line.text) - line.linked
+    if 2 * line.linked > len(line.text):
+        return plain if plain > 2 * SURGE else 0
+    if line.article:
+        plain = len(line.text) * article
+    return -(-plain // article) if line.hinted else plain if line.article else len(line.text)
+
+
+def apart(lines: list[Line], last: dict[int, int]) -> list[bool]:
+    """Before which lines the layout moves to another part of the page.
+
+    Parts are what different elements hold, unless one is inside the other or both are single lines side by side, as paragraphs are.
+    """
+    sizes: dict[int, int] = {}
+    for line in lines:
+        sizes[line.own] = sizes.get(line.own, 0) + 1
+    cut = [False] * len(lines)
+    for i in range(1, len(lines)):
+        before, here = lines[i - 1], lines[i]
+        nested = before.own <= here.own <= last[before.own] or here.own <= before.own <= last[here.own]
+        if not nested:
+            cut[i] = before.above != here.above or sizes[before.own] > 1 or sizes[here.own] > 1
+    return cut
 
 
 def distribution(lengths: list[int], window: int = WINDOW) -> list[int]:
@@ -236,14 +380,87 @@ def bridged(kept: list[bool], held: list[set[tuple[int, int]]]) -> list[bool]:
     return done
 
 
+def _kept(lines: list[Line], last: dict[int, int], window: int, surge: int, article: int) -> tuple[list[int], bool]:
+    """Numbers of the lines between surge and dive, and whether the distribution surges anywhere."""
+    numbers: list[int] = []
+    lengths: list[int] = []
+    parents: list[tuple[int, int]] = []
+    cut = apart(lines, last)
+    weights = [_weight(line, article) for line in lines]
+    # What is hinted at counts only where it surges by itself, or where there is nothing else.
+    if any(weight and not line.hinted for weight, line in zip(weights, lines)):
+        own = distribution([weight if line.hinted else 0 for weight, line in zip(weights, lines)], window)
+        reached = [any(own[max(0, i - window + 1) : i + 1][k] >= surge for k in range(min(window, i + 1))) for i in range(len(lines))]
+        weights = [0 if line.hinted and not reached[i] else weight for i, (weight, line) in enumerate(zip(weights, lines))]
+
+    def empty() -> None:
+        numbers.extend([-1] * window)
+        lengths.extend([0] * window)
+        parents.extend([(0, 0)] * window)
+
+    for i, line in enumerate(lines):
+        if line.after_gap or cut[i]:
+            empty()
+        weight = weights[i]
+        if not weight:
+            # A line that counts nothing is a gap.
+            empty()
+            continue
+        numbers.append(i)
+        lengths.append(weight)
+        # What is hinted at joins nothing: it stays by its own surge.
+        parents.append((-i - 1, 0) if line.hinted else (line.own, line.above))
+    sums = distribution(lengths, window)
+    kept = spans(sums, lengths, surge, parents)
+    return [numbers[k] for a, b in kept for k in range(a, b) if numbers[k] >= 0], any(total >= surge for total in sums)
+
+
 def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE, article: int = ARTICLE) -> str:
     """The article of a page, blocks joined by one space; empty without text."""
     if not page:
         return ""
-    lines, inside, parents = lines_of(page)
-    lengths = [len(line) * (article if own else 1) for line, own in zip(lines, inside)]
-    kept = spans(distribution(lengths, window), lengths, surge, parents)
-    return " ".join(line for a, b in kept for line in lines[a:b] if line)
+    read = lines_of(page)
+    overruled: set[int] = set()
+    total = sum(len(line.text) for line in read.lines)
+    while True:
+        # The outermost name around each line that is not overruled.
+        outermost = {0: 0}
+        for number, outer in read.around.items():
+            outermost[number] = outermost[outer] or (0 if number in overruled else number)
+        shown: list[Line] = []
+        within: dict[int, int] = {}
+        gap = False
+        for line in read.lines:
+            if name := outermost[line.named]:
+                within[name] = within.get(name, 0) + len(line.text) - line.linked
+                gap = True
+            else:
+                # Where something that counts nothing stood, a gap stays.
+                shown.append(replace(line, after_gap=True) if gap else line)
+                gap = False
+        kept, surges = _kept(shown, read.last, window, surge, article)
+        largest = max(within, key=within.__getitem__, default=0)
+        if not largest or largest in read.firm or within[largest] < MOST * total or any(shown[k].article for k in kept):
+            break
+        if surges and REST * sum(_weight(shown[k], article) for k in kept) > within[largest]:
+            break
+        overruled.add(largest)
+        if len(overruled) == MOST_OVERRULED:
+            # Names in names without end: all of them go.
+            overruled.update(read.around.keys() - read.firm)
+    return " ".join(_with_links(shown, kept))
+
+
+def _with_links(lines: list[Line], kept: list[int]) -> list[str]:
+    """Texts of the kept lines, and of linked lines between two of one element."""
+    texts: list[str] = []
+    for k, following in zip(kept, [*kept[1:], None]):
+        texts.append(lines[k].text)
+        if following is not None and lines[k].own == lines[following].own:
+            between = lines[k + 1 : following]
+            if all(line.own == lines[k].own and line.linked for line in between):
+                texts += [line.text for line in between]
+    return texts
 
 
 def _extract(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
