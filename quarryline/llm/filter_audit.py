@@ -67,7 +67,10 @@ def failing(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text:
         ),
         "failures",
     )
-    firsts = narrow.groupBy("digest").agg(F.min("key").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    # Written, so that the join with them is free to split a frequent text.
+    firsts = pinned(
+        narrow.groupBy("digest").agg(F.min("key").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "firsts"
+    )
     rows = narrow.join(_flags(labels, key), "key", "left").join(firsts, "digest", "left")
     # Beside a key that is known, a null key is the larger one.
     copy = F.coalesce(F.col("key") > F.col("first"), F.col("first").isNotNull() & F.col("key").isNull())
