@@ -223,8 +223,8 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _repeated(rows: DataFrame, by: list[str], weight: Column) -> DataFrame:
-    """Hashes counted more than once."""
-    return rows.groupBy(*by).agg(F.sum(weight).alias("times")).where("times > 1").drop("times")
+    """Hashes counted more than once; written, so that a join with them is free to split a frequent hash."""
+    return pinned(rows.groupBy(*by).agg(F.sum(weight).alias("times")).where("times > 1").drop("times"), "repeated")
 
 
 def _beside(texts: DataFrame, rows: DataFrame, places: Column, how: str = "inner") -> DataFrame:
@@ -266,7 +266,7 @@ def without_repeats(documents: DataFrame, key: str = "doc_id", text: str = "text
     kinds = pinned(kinds, "kinds")
     # Half-length windows with different runs, one of which occurs once.
     open_halves = kinds.groupBy("half").agg(F.count("*").alias("kinds"), F.min("times").alias("least"))
-    open_halves = open_halves.where("kinds > 1 and least = 1").select("half")
+    open_halves = pinned(open_halves.where("kinds > 1 and least = 1").select("half"), "halves")
     each = kinds.join(open_halves, "half").withColumn("settled", F.col("times") > 1)
 
     windows = _beside(texts, each, F.struct("low", "n", "settled")).mapInArrow(
