@@ -26,6 +26,10 @@ VALUES_APART = "\x1f"
 # A band this wide or narrower is read as two top-k queries around the reference row.
 TOP_K_LIMIT = 1_000
 
+# Buckets of one pass over a leading key, and rows that are few enough to be put in order at once.
+BUCKETS = 1_000
+FEW_ROWS = 10_000
+
 # Names of doubles that are no numbers, and of truth values.
 NOT_FINITE = {"nan": "NaN", "inf": "Infinity", "infinity": "Infinity", "-inf": "-Infinity", "-infinity": "-Infinity"}
 TRUE = ("true", "t", "yes", "y")
@@ -262,8 +266,9 @@ def filter_band(
 
     ``order_by`` must be a total order, in which nulls come first. A missing side is unbounded; when
     nothing matches, all rows come back. The reference position is one row on the driver. Bounded
-    sides are top-k queries, so no global index is built; only bands wider than ``TOP_K_LIMIT``
-    go through one.
+    sides are top-k queries, so no global index is built. The ends of bands wider than ``TOP_K_LIMIT`` are found by
+    rank, see ``_kth``, which leaves a plain filter; only where the leading key is no number or time they
+    go through an index.
     """
     if lower is None and upper is None:
         return df
@@ -272,7 +277,10 @@ def filter_band(
     if position is None:
         return df
     if max(lower or 0, upper or 0) > TOP_K_LIMIT:
-        return _band_by_index(df, tuple(position), order_by, lower, upper)
+        try:
+            return _band_by_rank(df, tuple(position), order_by, lower, upper)
+        except _NoHistogram:
+            return _band_by_index(df, tuple(position), order_by, lower, upper)
     after = df.where(_compare(df, order_by, position, "at or after"))
     before = df.where(_compare(df, order_by, position, "before"))
     if upper is not None:
@@ -282,12 +290,87 @@ def filter_band(
     return before.unionByName(after)
 
 
+class _NoHistogram(Exception):
+    """The leading key cannot be put on a scale."""
+
+
+def _on_scale(df: DataFrame, name: str) -> Column:
+    """A key as a double that never falls while the key rises; different keys may share one."""
+    kind = _type_of(df, name)
+    text = kind.simpleString()
+    if isinstance(kind, DecimalType) or text in INTEGRAL or text in ("double", "float"):
+        return quoted(name).cast("double")
+    if text == "date":
+        return F.unix_date(quoted(name)).cast("double")
+    if text == "timestamp":
+        return F.unix_micros(quoted(name)).cast("double")
+    if text == "timestamp_ntz":
+        zero = F.lit("1970-01-01").cast("timestamp_ntz")
+        return F.timestamp_diff("MICROSECOND", zero, quoted(name)).cast("double")
+    raise _NoHistogram
+
+
+def _kth(df: DataFrame, order_by: list[str], k: int, down: bool) -> tuple | None:
+    """Values of the order keys of the ``k``-th row, from the first (nulls come first) or ``down`` from the last; None if there are fewer.
+
+    Counts in buckets of the leading key, one pass each, tell which bucket holds the row, and the next pass looks into this
+    bucket alone, until it holds ``FEW_ROWS`` rows at most. Rows that share the leading value go on by the next key. Nothing is
+    shuffled but counts, and the driver sees ``BUCKETS`` of them.
+    """
+    name, rest = order_by[0], order_by[1:]
+    lead, kind, scale = quoted(name), _type_of(df, name), _on_scale(df, name)
+    facts = df.agg(F.count("*").alias("n"), F.count(lead).alias("m"), F.min(lead).alias("low"), F.max(lead).alias("high")).first()
+    if k > facts["n"]:
+        return None
+    nulls = facts["n"] - facts["m"]
+    if k > facts["m"] if down else k <= nulls:
+        return None, *(_kth(df.where(lead.isNull()), rest, k - facts["m"] if down else k, down) if rest else ())
+    k -= 0 if down else nulls
+    rows, low, high = facts["m"], facts["low"], facts["high"]
+    within = df.where(lead.isNotNull())
+    while rows > FEW_ROWS and low != high:
+        ends = df.sparkSession.range(1).select(_typed(kind, low).alias(name), _typed(kind, high).alias("__high"))
+        first, last = (ends.select(value.alias(name)).select(scale).first()[0] for value in (quoted(name), F.col("__high")))
+        if not math.isfinite(last - first) or first == last:
+            raise _NoHistogram
+        bucket = F.least(F.floor((scale - first) / (last - first) * BUCKETS), F.lit(BUCKETS - 1))
+        counted = within.groupBy(bucket.alias("b")).agg(F.count("*").alias("n"), F.min(lead).alias("low"), F.max(lead).alias("high"))
+        for found in sorted(counted.collect(), key=lambda r: r["b"], reverse=down):
+            if k <= found["n"]:
+                break
+            k -= found["n"]
+        rows, low, high = found["n"], found["low"], found["high"]
+        within = within.where(lead.between(_typed(kind, low), _typed(kind, high)))
+    if rows > FEW_ROWS and rest:
+        return low, *_kth(within, rest, k, down)
+    keys = [quoted(c).desc_nulls_last() if down else quoted(c).asc_nulls_first() for c in order_by]
+    nearest = within.orderBy(*keys).limit(k).select(_sort_key(order_by).alias("at"))
+    return tuple(nearest.agg((F.min if down else F.max)("at").alias("at")).first()["at"])
+
+
+def _same(df: DataFrame, order_by: list[str], position: tuple) -> Column:
+    result = F.lit(True)
+    for name, value in zip(order_by, position):
+        result = result & quoted(name).eqNullSafe(_typed(_type_of(df, name), value))
+    return result
+
+
+def _band_by_rank(df: DataFrame, position: tuple, order_by: list[str], lower, upper) -> DataFrame:
+    """The band as a filter between the exact positions of its first and its last row."""
+    after = df.where(_compare(df, order_by, position, "at or after"))
+    before = df.where(_compare(df, order_by, position, "before"))
+    if upper is not None and (end := _kth(after, order_by, upper + 1, down=False)) is not None:
+        after = after.where(_compare(df, order_by, end, "before") | _same(df, order_by, end))
+    if lower == 0:
+        return after
+    if lower is not None and (end := _kth(before, order_by, lower, down=True)) is not None:
+        before = before.where(_compare(df, order_by, end, "at or after"))
+    return before.unionByName(after)
+
+
 def _band_by_index(df: DataFrame, position: tuple, order_by: list[str], lower, upper) -> DataFrame:
     indexed = add_row_index(df, order_by, name="__row_idx")
-    here = F.lit(True)
-    for name, value in zip(order_by, position):
-        here = here & quoted(name).eqNullSafe(_typed(_type_of(df, name), value))
-    at = indexed.where(here).agg(F.min("__row_idx").alias("i")).first().i
+    at = indexed.where(_same(df, order_by, position)).agg(F.min("__row_idx").alias("i")).first().i
     if lower is not None:
         indexed = indexed.where(F.col("__row_idx") >= at - lower)
     if upper is not None:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass
 from functools import reduce
 
@@ -60,14 +61,18 @@ def save(df: DataFrame, spec: Mapping, mode: str = "overwrite") -> None:
         write_pickled(df, path, packed)
 
 
-def staged(df: DataFrame, label: str = "staged") -> DataFrame:
-    """The same rows read back from a table in the shared scratch folder.
+@contextmanager
+def staged(df: DataFrame, label: str = "staged") -> Iterator[DataFrame]:
+    """The same rows read back from a table in the shared scratch folder, which is removed afterwards.
 
     Several sinks can then read them without asking the source again, also after lost executors.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    try:
+        df.write.parquet(path)
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        remove_output(df.sparkSession, path)
 
 
 @dataclass(frozen=True)
@@ -79,25 +84,34 @@ class Written:
 
 
 def save_all(
-    df: DataFrame, specs: Mapping | list[Mapping], mode: str = "overwrite", stage: bool | None = None
+    df: DataFrame,
+    specs: Mapping | list[Mapping],
+    mode: str = "overwrite",
+    stage: bool | None = None,
+    raise_errors: bool = False,
 ) -> list[Written]:
     """Write one result to every target; nothing is written when it has no rows.
 
     The result is staged once when there are several targets, or when asked for because the query
     must not run twice; otherwise it is written straight from the query after a one-row probe. A
-    target that fails does not keep the others from being written.
+    target that fails does not keep the others from being written; it is reported, or raised after the others with
+    ``raise_errors``.
     """
     specs = [specs] if isinstance(specs, Mapping) else list(specs)
-    source = staged(df) if (len(specs) > 1 if stage is None else stage) else df
-    if source.isEmpty():
-        return []
-    outcome = []
-    for spec in specs:
-        try:
-            save(source, spec, mode)
-            outcome.append(Written(spec["name"]))
-        except Exception as error:
-            outcome.append(Written(spec["name"], f"{type(error).__name__}: {error}"))
+    once = len(specs) > 1 if stage is None else stage
+    with staged(df) if once else nullcontext(df) as source:
+        if source.isEmpty():
+            return []
+        outcome = []
+        for spec in specs:
+            try:
+                save(source, spec, mode)
+                outcome.append(Written(spec["name"]))
+            except Exception as error:
+                outcome.append(Written(spec["name"], f"{type(error).__name__}: {error}"))
+    failed = [target for target in outcome if target.error is not None]
+    if failed and raise_errors:
+        raise OSError("; ".join(f"{target.name}: {target.error}" for target in failed))
     return outcome
 
 

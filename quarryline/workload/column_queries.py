@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarryline.functions import arrays, checksums, dates, text
 from quarryline.operators import columns
 from quarryline.operators.aggregates import every_true, min_max_by_group
 from quarryline.plans.reports import interval_timeline
+from quarryline.plans.template import DEFAULT_RULES, template_scan
 from quarryline.workload.registry import query, register, table
 
 REFERENCE = "1998-03-01"
@@ -284,6 +287,29 @@ def default_rules(spark, sf_dir):
     return table(spark, sf_dir, "supplier").select("s_suppkey", F.concat(prefix, "s_name", suffix).alias("rendered"))
 
 
+@query(
+    "P3_default_rules_in_templates",
+    """SELECT 'mapping' AS kind, o_orderkey FROM orders WHERE o_orderstatus IN ('F', 'O')
+        UNION ALL SELECT 'list', o_orderkey FROM orders WHERE o_custkey IN (1, 2, 3, 5, 8)
+        UNION ALL SELECT 'own rules', o_orderkey FROM orders WHERE o_custkey = 1 OR o_custkey = 4""",
+)
+def default_rules_in_templates(spark, sf_dir):
+    """Mappings and lists among the parameters of a template, joined by the rules of none and of a plan."""
+    table(spark, sf_dir, "orders").createOrReplaceTempView("orders_of_rules")
+    start = "SELECT o_orderkey FROM orders_of_rules WHERE "
+    own = {**DEFAULT_RULES, "list-values-glue": " OR o_custkey = ", "list-values-prefix": "(o_custkey = ", "list-values-suffix": ")"}
+    cases = [
+        ("mapping", "o_orderstatus %s", [{"done": "'F'", "open": "'O'"}], None),
+        ("list", "o_custkey IN (%s)", [[1, 2, 3, 5, 8]], None),
+        ("own rules", "%s", [[1, 4]], own),
+    ]
+    parts = [
+        template_scan(spark, start + condition, parameters, AS_OF, rules).select(F.lit(kind).alias("kind"), "o_orderkey")
+        for kind, condition, parameters, rules in cases
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("P4_select_fields", "SELECT l_orderkey, l_quantity, l_shipdate FROM lineitem")
 def select_fields(spark, sf_dir):
     return columns.select_fields(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_quantity", "l_shipdate"])

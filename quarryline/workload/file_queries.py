@@ -279,6 +279,67 @@ def whole_text(spark, sf_dir):
     return texts.select(parts[0].cast("bigint").alias("doc_id"), F.md5(parts[1]).alias("digest"))
 
 
+# Documents dealt to 64 files by a digest of their key; a file holds one line per document, or one line about all of them.
+_DEALT_SQL = """SELECT substr(md5(CAST(doc_id AS VARCHAR)), 1, 1) || CAST(doc_id % 4 AS VARCHAR) AS dealt,
+    CAST(doc_id AS VARCHAR) || ':' || CAST(n_chars AS VARCHAR) AS line, n_chars FROM documents"""
+
+
+def _dealt_files(spark, sf_dir, about: bool) -> str:
+    """A folder with one file per part, in subfolders named by the part."""
+    folder = scratch_path(spark, "dealt")
+    key = F.col("doc_id").cast("string")
+    dealt = F.concat(F.substring(F.md5(key), 1, 1), (F.col("doc_id") % 4).cast("string")).alias("dealt")
+    lines = table(spark, sf_dir, "documents").select(dealt, F.concat(key, F.lit(":"), "n_chars").alias("value"), "n_chars")
+    if about:
+        counts = F.concat("dealt", F.lit(" "), F.count("*"), F.lit(" "), F.sum("n_chars"))
+        lines = lines.groupBy("dealt").agg(counts.alias("value"))
+    lines.select("dealt", "value").repartition("dealt").write.partitionBy("dealt").text(folder)
+    return folder
+
+
+def _dealt():
+    return F.regexp_extract("path", "dealt=([^/]+)/", 1).alias("dealt")
+
+
+@query("X1_file_size_planted", f"SELECT dealt, CAST(sum(strlen(line) + 1) AS BIGINT) AS size FROM ({_DEALT_SQL}) GROUP BY dealt")
+def file_size_planted(spark, sf_dir):
+    found = files.file_statistics(spark, _dealt_files(spark, sf_dir, False), pattern="part-*")
+    return found.select(_dealt(), F.col("size [bytes]").alias("size"))
+
+
+@query(
+    "X2_file_dates_planted",
+    f"SELECT dealt, true AS after_start, true AS before_end, count(*) AS documents FROM ({_DEALT_SQL}) GROUP BY dealt",
+)
+def file_dates_planted(spark, sf_dir):
+    """Files written now have changed between two looks at the clock; their lines are counted beside them."""
+    clock = F.current_timestamp().alias("t")
+    start = spark.range(1).select(clock).first()["t"]
+    folder = _dealt_files(spark, sf_dir, False)
+    end = spark.range(1).select(clock).first()["t"]
+    changed = F.col("date when last modified")
+    found = files.file_statistics(spark, folder, pattern="part-*").select(
+        _dealt(),
+        # File systems may keep whole seconds only.
+        (changed >= F.date_trunc("second", F.lit(start))).alias("after_start"),
+        (changed <= F.lit(end)).alias("before_end"),
+    )
+    lines = spark.read.text(folder).groupBy("dealt").agg(F.count("*").alias("documents"))
+    return found.join(lines, "dealt")
+
+
+@query(
+    "X3_file_statistics_planted",
+    f"""SELECT dealt, CAST(strlen(content) AS BIGINT) AS size, md5(content) AS "MD5 Checksum", sha1(content) AS "SHA1 Checksum",
+        sha256(content) AS "SHA256 Checksum" FROM (SELECT dealt, dealt || ' ' || CAST(count(*) AS VARCHAR) || ' '
+        || CAST(sum(n_chars) AS VARCHAR) || chr(10) AS content FROM ({_DEALT_SQL}) GROUP BY dealt)""",
+)
+def file_statistics_planted(spark, sf_dir):
+    """Sizes and digests of files whose content is known from the table, half of them hashed as streams."""
+    found = files.file_statistics(spark, _dealt_files(spark, sf_dir, True), checksum=True, pattern="part-*", whole_file_limit=10)
+    return found.select(_dealt(), F.col("size [bytes]").alias("size"), "MD5 Checksum", "SHA1 Checksum", "SHA256 Checksum")
+
+
 @query("X1_file_size")
 def file_size(spark, sf_dir):
     return files.file_statistics(spark, sf_dir).select("file name", "size [bytes]")

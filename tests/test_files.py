@@ -452,3 +452,14 @@ def test_parquet_timestamps_follow_the_session(spark, tmp_path):
         part = next(name.glob("part-*.parquet"))
         assert pq.ParquetFile(part).schema.column(0).physical_type == physical
     spark.conf.set("spark.sql.parquet.outputTimestampType", held)
+
+
+def test_failing_targets_are_raised_when_asked_and_no_copy_stays(spark, tmp_path, monkeypatch):
+    staged = []
+    real = sinks.scratch_path
+    monkeypatch.setattr(sinks, "scratch_path", lambda *given: staged.append(real(*given)) or staged[-1])
+    targets = [{"format": "csv", "name": str(tmp_path / "a.csv")}, {"format": "parquet", "name": str(tmp_path / "b"), "compression": "brotli"}]
+    with pytest.raises(OSError, match="/b"):
+        sinks.save_all(spark.range(3), targets, raise_errors=True)
+    assert _back(spark, targets[0]).count() == 3
+    assert len(staged) == 1 and not files.build_file_list(spark, staged[0])

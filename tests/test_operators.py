@@ -301,3 +301,38 @@ def test_long_lists_hold_any_text(spark):
     values = ["a\x1fb", "", *[f"w{i}" for i in range(1200)]]
     assert {r.t for r in filters.filter_multiple_match(frame, "t", values).collect()} == {"a\x1fb", ""}
     assert {r.t for r in filters.filter_multiple_match(frame, "t", values[1:]).collect()} == {""}
+
+
+@pytest.mark.parametrize(
+    ("kind", "few"), [("bigint", 1), ("double", 40), ("date", 40), ("timestamp_ntz", 40), ("timestamp", 40), ("decimal(20,3)", 40), ("string", 40)]
+)
+def test_wide_bands_by_rank(spark, monkeypatch, kind, few):
+    """Ends of a band by histograms, against the rows in order: ties, nulls and all types."""
+    monkeypatch.setattr(filters, "TOP_K_LIMIT", 3)
+    monkeypatch.setattr(filters, "FEW_ROWS", few)
+    monkeypatch.setattr(filters, "BUCKETS", 4)
+    rng = random.Random(5)
+    numbers = [rng.choice([None, 7, 7, rng.randrange(1000), 10_000]) for _ in range(300)]
+    frame = spark.createDataFrame(list(enumerate(numbers)), "id long, n long")
+    key = F.col("n").cast(kind)
+    if kind in ("date", "timestamp_ntz", "timestamp"):
+        key = F.timestamp_seconds(F.col("n") * 86_400).cast(kind)
+    elif kind == "string":
+        key = F.lpad(F.col("n").cast("string"), 6, "0")
+    frame = frame.withColumn("k", key)
+    ordered = [i for i, n in sorted(enumerate(numbers), key=lambda p: (p[1] is not None, p[1] or 0, p[0]))]
+    for condition, lower, upper in (("n > 500", 200, 20), ("n is null", 0, 100), ("id = 3", None, 30)):
+        matching = [i for i in ordered if ((numbers[i] or 0) > 500 if condition == "n > 500" else i == 3 if condition == "id = 3" else numbers[i] is None)]
+        at = ordered.index(matching[0])
+        wanted = ordered[0 if lower is None else max(0, at - lower) : len(ordered) if upper is None else at + upper + 1]
+        found = filters.filter_band(frame, condition, ["k", "id"], lower, upper)
+        assert sorted(r.id for r in found.collect()) == sorted(wanted), (condition, lower, upper)
+
+
+def test_wide_bands_move_no_rows(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(filters, "FEW_ROWS", 50)
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    day = lines.selectExpr("percentile(unix_date(CAST(l_shipdate AS DATE)), 0.5)").first()[0]
+    band = filters.filter_band(lines, f"unix_date(CAST(l_shipdate AS DATE)) > {day}", ["l_shipdate", "l_orderkey", "l_linenumber"], 1500, 2000)
+    assert "Exchange" not in band._jdf.queryExecution().executedPlan().toString()
+    assert band.count() == 3501
