@@ -186,7 +186,7 @@ _SLOTS = {"%y": "%Y", "%B": "%m", "%b": "%m", "%e": "%d", "%I": "%H", "%k": "%H"
 
 
 class Reading:
-    """A compiled format: the regular expression, and the fold of its groups into a timestamp."""
+    """A compiled format: the regular expression, and the folds of its groups into a day and a time."""
 
     def __init__(self, strftime_format: str):
         expressions = _expressions()
@@ -218,37 +218,43 @@ class Reading:
         replaced = F.regexp_replace(text, self.expression, marked)
         return F.when(replaced != text, F.split(replaced, _BETWEEN))
 
-    def fold(self, parts: Column, check_weekday: bool) -> Column:
-        """Timestamp of the groups; null where they are no date."""
+    def has(self, *names: str) -> str | None:
+        """The first of some directives that the format has."""
+        return next((name for name in names if name in self.groups), None)
 
-        def has(*names: str) -> str | None:
-            return next((name for name in names if name in self.groups), None)
+    def _number(self, parts: Column, name: str | None, default: int = 0) -> Column:
+        return F.lit(default) if name is None else F.trim(F.get(parts, self.groups[name])).cast("int")
 
-        def field(name: str) -> Column:
-            return F.get(parts, self.groups[name])
+    def _named(self, parts: Column, name: str, names: list[str]) -> Column:
+        """Place of a name (from 0) by its first three letters."""
+        heads = "".join(n[:3] for n in names).lower()
+        head = F.lower(F.substring(F.get(parts, self.groups[name]), 1, 3))
+        return F.floor(F.instr(F.lit(heads), head) / 3).cast("int")
 
-        def number(name: str | None, default: int = 0) -> Column:
-            return F.lit(default) if name is None else F.trim(field(name)).cast("int")
+    def _weekday(self, parts: Column) -> Column | None:
+        """Monday 0 to Sunday 6."""
+        if (name := self.has("%A", "%a")) is not None:
+            return self._named(parts, name, WEEKDAYS)
+        if self.has("%u"):
+            return self._number(parts, "%u") - 1
+        return F.pmod(self._number(parts, "%w") + 6, F.lit(7)) if self.has("%w") else None
+
+    @property
+    def by_month(self) -> bool:
+        return self.has("%m", "%B", "%b", "%d", "%e") is not None
 
-        def named(name: str, names: list[str]) -> Column:
-            """Place of a name (from 0) by its first three letters."""
-            heads = "".join(n[:3] for n in names).lower()
-            return F.floor(F.instr(F.lit(heads), F.lower(F.substring(field(name), 1, 3))) / 3).cast("int")
+    def day(self, parts: Column) -> Column:
+        """Midnight of the date that the groups say; null where there is none."""
+        has = self.has
 
-        def weekday() -> Column | None:
-            """Monday 0 to Sunday 6."""
-            if (name := has("%A", "%a")) is not None:
-                return named(name, WEEKDAYS)
-            if has("%u"):
-                return number("%u") - 1
-            return F.pmod(number("%w") + 6, F.lit(7)) if has("%w") else None
+        def number(name: str | None, default: int = 0) -> Column:
+            return self._number(parts, name, default)
 
         year = number(has("%Y"), 1900)
         if has("%y"):
             year = number("%y") + F.when(number("%y") < 69, 2000).otherwise(1900)
-        month = named(has("%B", "%b"), MONTHS) + 1 if has("%B", "%b") else number(has("%m"), 1)
-        of_week, week = weekday(), has("%U", "%W")
-        by_month = has("%m", "%B", "%b", "%d", "%e") is not None
+        month = self._named(parts, has("%B", "%b"), MONTHS) + 1 if has("%B", "%b") else number(has("%m"), 1)
+        of_week, week = self._weekday(parts), has("%U", "%W")
 
         def midnight(y: Column, m: Column, d: Column) -> Column:
             zero = F.lit(0)
@@ -257,32 +263,42 @@ class Reading:
         def later(moment: Column, days: Column) -> Column:
             return moment + F.make_dt_interval(days)
 
-        def first_weekday(moment: Column) -> Column:
-            return F.weekday(moment)
-
         one = F.lit(1)
         if has("%G"):
             fourth = midnight(number("%G"), one, F.lit(4))
-            day = later(fourth, of_week - first_weekday(fourth) + 7 * (number("%V") - 1))
-            # Not every year has a week 53.
-            day = F.when(F.extract(F.lit("YEAROFWEEK"), day) == number("%G"), day)
-        elif by_month:
-            day = midnight(year, month, number(has("%d", "%e"), 1))
-        elif has("%j"):
-            day = later(midnight(year, one, one), number("%j") - 1)
-        elif week and of_week is not None:
+            return later(fourth, of_week - F.weekday(fourth) + 7 * (number("%V") - 1))
+        if self.by_month:
+            return midnight(year, month, number(has("%d", "%e"), 1))
+        if has("%j"):
+            return later(midnight(year, one, one), number("%j") - 1)
+        if week and of_week is not None:
             # Days of weeks that begin on Sunday (%U) or Monday (%W), counted from the first of January.
             shift = 1 if week == "%U" else 0
             first = midnight(year, one, one)
-            lead, own = F.pmod(first_weekday(first) + shift, F.lit(7)), F.pmod(of_week + shift, F.lit(7))
+            lead, own = F.pmod(F.weekday(first) + shift, F.lit(7)), F.pmod(of_week + shift, F.lit(7))
             whole = number(week) - F.when((lead == 0) & (number(week) > 0), 1).otherwise(0)
-            day = later(first, own - lead + 7 * whole)
-        else:
-            day = midnight(year, one, one)
-        # A weekday beside a date that does not need it can be checked only when a date is there.
-        if check_weekday and of_week is not None and (by_month or has("%j")):
-            day = F.when(first_weekday(day) == of_week, day)
+            return later(first, own - lead + 7 * whole)
+        return midnight(year, one, one)
 
+    def moment(self, parts: Column, day: Column, check_weekday: bool) -> Column:
+        """The time of the groups on a day; null where the day is not the one they name."""
+        has = self.has
+
+        def number(name: str | None, default: int = 0) -> Column:
+            return self._number(parts, name, default)
+
+        def field(name: str) -> Column:
+            return F.get(parts, self.groups[name])
+
+        of_week = self._weekday(parts)
+        right = F.lit(True)
+        if has("%G"):
+            # Not every year has a week 53.
+            right = F.extract(F.lit("YEAROFWEEK"), day) == number("%G")
+        elif check_weekday and of_week is not None and (self.by_month or has("%j")):
+            # A weekday can be checked only where it was not needed to find the date.
+            right = F.weekday(day) == of_week
+        day = F.when(right, day)
         hour = number(has("%H", "%k", "%I"))
         if has("%I"):
             late = F.upper(field("%p")) == "PM" if has("%p") else F.lit(False)
@@ -318,10 +334,14 @@ def read_datetimes(
     # The groups are a column of their own, so that the expression runs once a text.
     df = df.withColumns({f"{own[n]} text": c for n, c in zip(names, columns)})
     df = df.withColumns({f"{own[n]} parts": reading.split(F.col(f"`{own[n]} text`")) for n in names})
+    # So are the day and the time, as each is looked at more than once.
+    df = df.withColumns({f"{own[n]} day": reading.day(F.col(f"`{own[n]} parts`")) for n in names})
+    df = df.withColumns(
+        {f"{own[n]} moment": reading.moment(F.col(f"`{own[n]} parts`"), F.col(f"`{own[n]} day`"), check_weekday) for n in names}
+    )
     done = {}
     for name in names:
-        text, parts = (F.col(f"`{own[name]} {kind}`") for kind in ("text", "parts"))
-        moment = reading.fold(parts, check_weekday)
+        text, moment = (F.col(f"`{own[name]} {kind}`") for kind in ("text", "moment"))
         if not lenient:
             message = F.concat(F.lit("text could not be parsed by the format "), F.lit(strftime_format), F.lit(": "), text)
             moment = F.when(text.isNotNull() & moment.isNull(), F.raise_error(message).cast("timestamp_ntz")).otherwise(moment)
