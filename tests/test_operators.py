@@ -336,3 +336,48 @@ def test_wide_bands_move_no_rows(spark, sf_dir, monkeypatch):
     band = filters.filter_band(lines, f"unix_date(CAST(l_shipdate AS DATE)) > {day}", ["l_shipdate", "l_orderkey", "l_linenumber"], 1500, 2000)
     assert "Exchange" not in band._jdf.queryExecution().executedPlan().toString()
     assert band.count() == 3501
+
+
+MIXED = [
+    ("a", None, None, 5, "m"), ("a", None, 2, 6, "n"), ("a", 1, None, 7, "o"), ("a", 1, -(1 << 63), 8, "p"),
+    ("a", 9, (1 << 63) - 1, 9, "q"), ("a", 9, 3, 10, None), ("b", -5, 1, 11, "r"), ("b", -5, 2, None, "s"),
+    (None, 4, 4, 12, "t"), (None, 3, 9, 13, "prefix of eight and u"), (None, None, -7, 14, "prefix of eight and v"),
+]
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint", "date", "timestamp", "timestamp_ntz", "double", "string", "decimal(30,4)"])
+@pytest.mark.parametrize("value", ["v", "t"])
+@pytest.mark.parametrize("grouped", [True, False])
+def test_ends_of_mixed_orders(spark, kind, value, grouped):
+    made = "x" if kind not in ("date", "timestamp", "timestamp_ntz") else "date_add(DATE '2020-01-01', x)"
+    frame = spark.createDataFrame(MIXED, "g string, x int, y bigint, v int, t string")
+    frame = frame.selectExpr("g", f"CAST({made} AS {kind}) AS x", "y", "v", "t", "v % 2 = 0 AS even").repartition(3)
+    frame = frame.withColumn("Timeline Evaluation", F.when(F.col("even"), "Current").otherwise("Past"))
+    groups = ["g"] if grouped else []
+    number = (lambda x: str(x)) if kind == "string" else float
+    order = lambda r: tuple((k is not None, k) for k in (None if r[1] is None else number(r[1]), r[2]))
+    wanted = []
+    for g in {r[0] for r in MIXED} if grouped else {None}:
+        mine = sorted((r for r in MIXED if not grouped or r[0] == g), key=order)
+        pick = (lambda r: r[3]) if value == "v" else (lambda r: r[4])
+        current = [pick(r) for r in mine if r[3] is not None and r[3] % 2 == 0 and pick(r) is not None]
+        wanted.append((*([g] if grouped else []), pick(mine[0]), max(current, default=None), pick(mine[-1])))
+    found = aggregates.first_current_and_last(frame, value, ["x", "y"], groups)
+    assert rows(found) == sorted(wanted, key=repr)
+    short = aggregates.first_and_last(frame, value, ["x", "y"], groups)
+    assert rows(short) == sorted(((*w[:-2], w[-1]) for w in wanted), key=repr)
+
+
+def test_ends_by_one_order_leave_rows_without_it_out(spark):
+    frame = spark.createDataFrame([("a", None, "x"), ("a", "k", "y"), ("a", "kk", "z"), ("b", None, "w")], "g string, o string, v string")
+    assert rows(aggregates.first_and_last(frame, "v", ["o"], ["g"])) == [("a", "y", "z"), ("b", None, None)]
+    assert rows(aggregates.first_and_last(frame.limit(0), "v", ["o"])) == [(None, None)]
+
+
+def test_smallest_and_largest_text(spark):
+    words = ["", "same start 1", "same start 2", "same start", "über", "zz", "z"]
+    frame = spark.createDataFrame([(i % 2, w) for i in range(2) for w in words] + [(5, None)], "g int, `a.b` string")
+    found = aggregates.min_max_by_group(frame, "g", "a.b")
+    assert rows(found) == [(0, "", "über"), (1, "", "über"), (5, None, None)]
+    few = aggregates.min_max_by_group(frame.where("`a.b` LIKE 'same%'"), ["g"], "a.b")
+    assert rows(few) == [(0, "same start", "same start 2"), (1, "same start", "same start 2")]
