@@ -320,13 +320,78 @@ def predict(documents: DataFrame, model: BiGRU | None, key: str = "doc_id", text
     return done.select(F.col("key").alias(key), held_out(F.col("key")).alias("held_out"), "found.lang_pred", "found.score")
 
 
+def learned_bytes(model: BiGRU) -> np.ndarray:
+    """Which of the 256 bytes training has met: the input weights of all others are still as they were drawn."""
+    return (model.w["xf"] != BiGRU(model.languages, model.hidden).w["xf"]).any(axis=1)
+
+
+def _letter_shares(model: BiGRU, learned: np.ndarray, runs: list[bytes]) -> np.ndarray:
+    """Sum over the letter positions of each run of its probabilities; bytes never met have none."""
+    out = np.zeros((len(runs), len(model.languages)), dtype=np.float32)
+    lengths = np.array([len(run) for run in runs])
+    for length in np.unique(lengths):
+        members = np.flatnonzero(lengths == length)
+        for i in range(0, len(members), 4096):
+            part = members[i : i + 4096]
+            codes = _codes([runs[j] for j in part])
+            logs, _ = model.labels(codes)
+            out[part] = (np.exp(logs[:, 1:-1]) * learned[codes[:, 1:-1], None]).sum(axis=1)
+    return out
+
+
+class Recogniser:
+    """How well the best language fits: the mean over all letter bytes of a text of that language's probability.
+
+    Unlike a probability of the whole text this does not grow with its length, so what belongs to no learned language
+    stays near chance however long it is. Bytes of alphabets that training has not met count as 0. The runs that a worker
+    has seen are remembered.
+    """
+
+    def __init__(self, model: BiGRU):
+        self.model = model
+        self.learned = learned_bytes(model)
+        self.places: dict[bytes, int] = {}
+        self.shares = np.zeros((0, len(model.languages)), dtype=np.float32)
+
+    def fits(self, texts: list[str | None]) -> list[float]:
+        """From 0 to 1 for each text; 0 without letters."""
+        if len(self.places) > RUNS_KEPT:
+            self.places.clear()
+            self.shares = self.shares[:0]
+        split = [runs_of(text) if has_letter(text) else [] for text in texts]
+        fresh = [run for run in dict.fromkeys(run for runs in split for run in runs) if run not in self.places]
+        if fresh:
+            self.places.update(zip(fresh, range(len(self.places), len(self.places) + len(fresh))))
+            self.shares = np.concatenate([self.shares, _letter_shares(self.model, self.learned, fresh)])
+        found = []
+        for runs in split:
+            sums = self.shares[[self.places[run] for run in runs]].sum(axis=0, dtype=np.float64) if runs else np.zeros(1)
+            found.append(float(sums.max()) / max(1, sum(map(len, runs))))
+        return found
+
+
+def _fit(shared, name: str):
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        if name not in _memory:
+            _memory.clear()
+            _memory[name] = Recogniser(pickle.loads(shared.value))
+        for batch in batches:
+            texts = batch.tolist()
+            yield pd.Series([fit for low in range(0, len(texts), 2000) for fit in _memory[name].fits(texts[low : low + 2000])], dtype=float)
+
+    return F.pandas_udf(run, "double")
+
+
 def accepted(documents: DataFrame, model: BiGRU | None, least: float, text: str = "text") -> DataFrame:
-    """The rows whose language is recognised with at least this probability; all rows without a model."""
+    """The rows whose best language has at least this mean probability over the letter bytes; all rows without a model.
+
+    Null texts and texts without letters go when ``least`` is above 0. Repeated rows and all columns are kept.
+    """
     if model is None:
         return documents
     spark = documents.sparkSession
     prepare(spark)
     packed = pickle.dumps(model)
     shared = spark.sparkContext.broadcast(packed)
-    name = f"{zlib.crc32(packed)}-{len(packed)}"
-    return documents.where(_predict(shared, name)(F.col(text).cast("string"))["score"] >= least)
+    name = f"fit {zlib.crc32(packed)}-{len(packed)}"
+    return documents.where(_fit(shared, name)(F.col(text).cast("string")) >= least)
