@@ -15,11 +15,22 @@ from quarryline.llm.common import connected_components, pinned
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Fixed value: scheme and rest, host, path of a url.
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
-TAGS = r"(?is)<(?:link|meta)\s[^>]*>"
-CANONICAL = r"(?is)\srel\s*=\s*[\"']?canonical[\"'\s/>]"
-REFRESH = r"(?is)\shttp-equiv\s*=\s*[\"']?refresh[\"'\s/>]"
-HREF = r"(?is)\shref\s*=\s*[\"']?([^\"'\s>]+)"
-TARGET = r"(?is)\scontent\s*=\s*[\"']?\s*[0-9.]*\s*[;,]\s*(?:url\s*=\s*)?[\"']?([^\"'\s>]+)"
+# How markup splits into tags. A quote opens a value only after a sign of equality; whatever is left open ends
+# with the page, so every pattern passes over a page once.
+TAG_REST = r"""(?:[^>=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|=)*+(?:>|.*+)"""
+COMMENT = r"<!--(?:-?>|.*?--!?>|.*+)"
+RAW = rf"<(script|style|textarea|title|xmp|iframe|noembed|noframes)(?=[\s/>]){TAG_REST}(?:.*?</\1(?=[\s/>])|.*+)"
+NAMED_TAGS = rf"(?is){COMMENT}|{RAW}|(<(?:link|meta|base)(?=[\s/>]){TAG_REST})|<[a-z/!?]{TAG_REST}"
+ATTRIBUTE = r"""(?s)[^\s/>=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]++))?+"""
+REFRESH_TARGET = r"(?is)^\s*+[0-9.]*+(?:\s*+[;,]\s*+|\s++)(?:url\s*=\s*)?(?:\"([^\"]*)\"?|'([^']*)'?|(\S.*))"
+REFERENCE = r"(?s)&#[xX][0-9a-fA-F]++;?|&#[0-9]++;?|&[A-Za-z]++;|[^&]++|&"
+# Names of the ASCII signs that urls hold.
+NAMED_REFERENCES = {
+    "&excl;": "!", "&quot;": '"', "&num;": "#", "&dollar;": "$", "&percnt;": "%", "&amp;": "&", "&apos;": "'",
+    "&lpar;": "(", "&rpar;": ")", "&ast;": "*", "&plus;": "+", "&comma;": ",", "&period;": ".", "&sol;": "/",
+    "&colon;": ":", "&semi;": ";", "&lt;": "<", "&equals;": "=", "&gt;": ">", "&quest;": "?", "&commat;": "@",
+    "&lsqb;": "[", "&bsol;": "\\", "&rsqb;": "]", "&lowbar;": "_", "&Tab;": "\t", "&NewLine;": "\n",
+}
 
 
 def host_of(url: Column) -> Column:
@@ -40,33 +51,112 @@ def node_of(url: Column) -> Column:
     return F.when(host_of(url) != "", F.concat(F.translate(head, UPPER, LOWER), tail))
 
 
-def resolved(link: Column, base: Column) -> Column:
-    """An absolute url from a link on a page."""
-    link = F.replace(link, F.lit("&amp;"), F.lit("&"))
-    scheme = F.regexp_extract(base, r"(?s)^(.*?)://", 1)
-    origin = F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*)", 1)
+def decoded(text: Column) -> Column:
+    """Character references of a text as characters: numbers, and the names of ASCII signs; others stay as they are."""
+    names = F.create_map(*[F.lit(x) for pair in NAMED_REFERENCES.items() for x in pair])
+
+    def character(piece: Column) -> Column:
+        hexadecimal = piece.rlike("^&#[xX]")
+        digits = F.regexp_replace(piece, "^&#[xX]?0*|;$", "")
+        number = F.when(hexadecimal, F.conv(digits, 16, 10)).otherwise(F.conv(digits, 10, 10))
+        # A number that is no character becomes the replacement character.
+        number = F.when((F.length(digits) > 7) | (digits == ""), 0).otherwise(number.cast("long"))
+        wrong = (number == 0) | number.between(0xD800, 0xDFFF) | (number > 0x10FFFF)
+        word = F.unhex(F.lpad(F.hex(F.when(wrong, 0xFFFD).otherwise(number)), 8, "0"))
+        return F.when(piece.startswith("&#") & (F.length(piece) > 2), F.decode(word, "UTF-32")).otherwise(F.coalesce(names[piece], piece))
+
+    pieces = F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0))
+    return F.when(F.instr(text, "&") > 0, F.array_join(F.transform(pieces, character), "")).otherwise(text)
+
+
+def attribute(tag: Column, name: str) -> Column:
+    """An attribute's first value in a tag, as written without its quotes; null without the attribute."""
+    parts = F.regexp_extract_all(tag, F.lit(ATTRIBUTE), F.lit(0))
+    first = F.get(F.filter(parts, lambda part: part.rlike(rf"(?is)^{name}\s*(?:=|$)")), F.lit(0))
+    value = F.regexp_replace(first, r"(?s)^[^=]*(?:=\s*|$)", "")
+    return F.when(value.rlike("^[\"']"), F.substring(value, F.lit(2), F.length(value) - 2)).otherwise(value)
+
+
+def without_dots(path: Column) -> Column:
+    """A path without its segments ``.`` and ``..``."""
+    segments = F.split(path, "/", -1)
+    here, above = r"(?i)^(?:\.|%2e)$", r"(?i)^(?:\.|%2e){2}$"
+
+    def step(done: Column, segment: Column) -> Column:
+        # The first entry stands before the first slash and stays.
+        parent = F.when(F.size(done) > 1, F.slice(done, F.lit(1), F.size(done) - 1)).otherwise(done)
+        return F.when(segment.rlike(above), parent).when(segment.rlike(here), done).otherwise(F.concat(done, F.array(segment)))
+
+    kept = F.aggregate(segments, F.array().cast("array<string>"), step)
+    last = F.element_at(segments, -1)
+    ends = F.when(last.rlike(here) | last.rlike(above), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    return F.when(path.rlike(r"(?i)(?:^|/)(?:\.|%2e){1,2}(?:/|$)"), F.array_join(ends, "/")).otherwise(path)
+
+
+def resolved(rows: DataFrame, link: str, base: str) -> DataFrame:
+    """Rows whose column ``link`` is made an absolute url without dot segments; null stays null.
+
+    Intermediate results are columns, so that no expression is written out again at every place that uses it.
+    """
+    bare = F.regexp_replace(F.regexp_replace(link, r"(?s)^[\x00-\x20]+|[\x00-\x20]+$", ""), r"[\t\n\r]", "")
     page = F.regexp_extract(base, r"(?s)^(.*?://[^?#]*)", 1)
+    origin = F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*)", 1)
+    scheme = F.regexp_extract(base, r"(?s)^(.*?)://", 1)
+    parts = rows.withColumns({"_bare": bare, "_page": page, "_origin": origin, "_scheme": scheme})
+    bare, page = F.col("_bare"), F.col("_page")
     folder = F.regexp_replace(page, r"(?s)(?<!:)(?<!/)/[^/]*$", "")
-    return (
-        F.when(link.rlike(r"(?s)^[A-Za-z][A-Za-z0-9+.-]*:"), link)
-        .when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
-        .when(link.startswith("/"), F.concat(origin, link))
-        .when(link.startswith("?"), F.concat(page, link))
-        .otherwise(F.concat(folder, F.lit("/"), link))
+    whole = (
+        F.when(bare.rlike(r"(?s)^[A-Za-z][A-Za-z0-9+.-]*:"), bare)
+        .when(bare.startswith("//"), F.concat("_scheme", F.lit(":"), bare))
+        .when(bare.startswith("/"), F.concat("_origin", bare))
+        .when(bare.startswith("?"), F.concat(page, bare))
+        .when((bare == "") | bare.startswith("#"), F.col(base))
+        .otherwise(F.concat(folder, F.lit("/"), bare))
     )
+    parts = parts.withColumn("_whole", whole)
+    head, path = F.regexp_extract("_whole", r"(?s)^(.*?://[^/?#]*)", 1), F.regexp_extract("_whole", PARTS, 2)
+    parts = parts.withColumns({"_head": head, "_path": path})
+    tail = F.substring("_whole", F.length("_head") + F.length("_path") + 1, F.length("_whole"))
+    clean = F.concat("_head", without_dots(F.col("_path")), tail)
+    done = parts.withColumn(link, F.when(F.col("_head") == "", F.col("_whole")).otherwise(clean))
+    return done.drop("_bare", "_page", "_origin", "_scheme", "_whole", "_head", "_path")
 
 
 def alias_links(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
-    """Links (a, b) between a page's url and the urls that its markup redirects to or names as canonical."""
-    tags = F.regexp_extract_all(F.col(page), F.lit(TAGS), F.lit(0))
-    found = pages.where(F.col(page).rlike(r"(?is)(canonical|refresh)")).select(F.col(url).alias("base"), F.explode(tags).alias("tag"))
-    target = F.when(F.col("tag").rlike(CANONICAL), F.regexp_extract("tag", HREF, 1)).when(
-        F.col("tag").rlike(REFRESH), F.regexp_extract("tag", TARGET, 1)
+    """Links (a, b) between a page's url and the urls that its markup redirects to or names as canonical.
+
+    These are ``<link>`` tags whose ``rel`` holds the word canonical and ``<meta http-equiv=refresh>`` tags. Comments, and
+    the text of scripts, styles, titles and the like, hold no tags. The first value of an attribute counts, character references
+    are decoded, and links are resolved against the page's first ``<base href>``. Pages without url have no links.
+    """
+    tags = F.filter(F.regexp_extract_all(F.col(page), F.lit(NAMED_TAGS), F.lit(2)), lambda tag: tag != "")
+    # References may hide letters of either word.
+    likely = F.col(page).rlike(r"(?i)canonical|refresh|&#") & F.col(page).rlike(r"(?i)<(?:link|meta)[\s/]")
+    tagged = pages.where(likely & F.col(url).isNotNull()).select(F.col(url).alias("address"), tags.alias("tags"))
+    # Written, as exploding it would otherwise look for the tags of a page twice.
+    tagged = pinned(tagged.where(F.size("tags") > 0), "tags")
+    bases = F.filter("tags", lambda tag: tag.rlike("(?i)^<base") & attribute(tag, "href").isNotNull())
+    listed = tagged.select("address", F.get(bases, F.lit(0)).alias("base"), F.explode("tags").alias("tag"))
+    listed = listed.withColumn("meta", F.col("tag").rlike("(?i)^<meta")).where(~F.col("tag").rlike("(?i)^<base"))
+    named = listed.select(
+        "address",
+        "meta",
+        attribute(F.col("base"), "href").alias("base"),
+        F.when(F.col("meta"), attribute(F.col("tag"), "http-equiv")).otherwise(attribute(F.col("tag"), "rel")).alias("role"),
+        F.when(F.col("meta"), attribute(F.col("tag"), "content")).otherwise(attribute(F.col("tag"), "href")).alias("value"),
+    )
+    role = F.trim(F.lower(decoded(F.col("role"))))
+    read = named.select(
+        "address", "meta", decoded(F.col("base")).alias("base"), role.alias("role"), decoded(F.col("value")).alias("value")
     )
-    # Written before it is resolved: inlined into each other these expressions grow beyond what can be compiled.
-    named = pinned(found.select("base", target.alias("link")).where("link != ''"), "links")
-    resolved_links = pinned(named.select("base", resolved(F.col("link"), F.col("base")).alias("link")), "links")
-    return pinned(resolved_links.select(node_of(F.col("base")).alias("a"), node_of(F.col("link")).alias("b")), "links")
+    canonical = ~F.col("meta") & F.array_contains(F.split("role", r"\s+"), "canonical")
+    target = F.concat(*[F.regexp_extract("value", REFRESH_TARGET, i) for i in (1, 2, 3)])
+    link = F.when(canonical, F.col("value")).when(F.col("meta") & (F.col("role") == "refresh"), target)
+    # Most tags are of other kinds: what names a url is written, and only that is resolved.
+    pointed = pinned(read.select("address", "base", link.alias("link")).where("link != ''"), "links")
+    based = resolved(pointed, "base", "address").withColumn("base", F.coalesce("base", "address"))
+    ends = resolved(based, "link", "base")
+    return pinned(ends.select(node_of(F.col("address")).alias("a"), node_of(F.col("link")).alias("b")), "links")
 
 
 def rules_by_host(hosts: DataFrame, rules: DataFrame) -> DataFrame:
