@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quarryline.functions.dates import moment_literal
 from quarryline.functions.text import base_name
 from quarryline.operators import aggregates, filters
-from quarryline.runtime import scratch_path
+from quarryline.runtime import estimated_bytes, scratch_path
 from quarryline.sources import files, sinks
 from quarryline.sources.formats import SOURCE_FILE_COLUMN
 from quarryline.workload.registry import query, register, table
@@ -166,15 +166,25 @@ def union_csv_headers(spark, sf_dir):
     return files.load(spark, {"format": "csv", "file list": [f"{base}/*"]}).select(*orders.columns)
 
 
+# Bytes of the table that are worth a file of lines, and a task to write it.
+_LINES_BYTES = 8 * 1024 * 1024
+
+
 @query("S7_json_one_line_record", "SELECT o_orderkey, o_custkey FROM orders")
 def json_one_line_record(spark, sf_dir):
     """Files of one line each, which alone could be columns of rows, take the layout of the lines beside them."""
     key = F.col("o_orderkey")
     folder = scratch_path(spark, "one-line")
     record = F.to_json(F.struct(F.struct(key.alias("7"), F.col("o_custkey").alias("8")).alias("o")))
-    orders = table(spark, sf_dir, "orders").select(key, record.alias("value"))
-    single = F.when(key < 4, key).otherwise(F.lit(0)).cast("string").alias("part")
-    orders.select("value", single).repartition("part").write.partitionBy("part").text(folder)
+    orders = table(spark, sf_dir, "orders")
+    records = orders.select(key, record.alias("value"))
+    single = (key < 4) & (key != 0)
+    alone = records.where(single).select("value", key.cast("string").alias("part"))
+    alone.repartition("part").write.partitionBy("part").text(folder)
+    # The lines are written where they are read: shuffled to their part, all but a few would be sorted by one task. Only tables
+    # too small for several files are brought together, so that these do not end as single lines too.
+    lines = records.where(~F.coalesce(single, F.lit(False))).select("value")
+    lines.coalesce(max(1, (estimated_bytes(orders) or 0) // _LINES_BYTES)).write.text(f"{folder}/part=0")
     loaded = files.load(spark, {"format": "json", "file list": [folder]})
     return loaded.select(F.col("o.7").alias("o_orderkey"), F.col("o.8").alias("o_custkey"))
 

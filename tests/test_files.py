@@ -425,6 +425,31 @@ def test_one_line_json_does_not_depend_on_its_neighbours(spark, tmp_path):
         files.load(spark, {"format": "json", "file list": [str(tmp_path)]})
 
 
+def test_one_line_records_are_not_written_by_one_task(spark, tmp_path, monkeypatch):
+    """Lines go to a file for every task that reads the table, records that stand alone to one of their own."""
+    from quarryline.workload import file_queries
+
+    written = []
+    real = file_queries.scratch_path
+    monkeypatch.setattr(file_queries, "scratch_path", lambda *given: written.append(real(*given)) or written[-1])
+    key = F.when(F.col("id") % 1000 != 7, F.col("id")).alias("o_orderkey")
+    orders = spark.range(0, 300_000, 1, 4).select(key, (F.col("id") % 91).alias("o_custkey"), F.sha2(F.col("id").cast("string"), 256).alias("o_orderpriority"))
+    orders.write.parquet(str(tmp_path / "big" / "orders.parquet"))
+    # Four files of two lines each: brought together, and clear beside the single records.
+    few = spark.createDataFrame([(k, k) for k in (1, 2, 3, 4, 4, None, None, 5)], "o_orderkey bigint, o_custkey bigint")
+    few.repartition(4).write.parquet(str(tmp_path / "few" / "orders.parquet"))
+    for name, several in (("big", True), ("few", False)):
+        loaded = file_queries.json_one_line_record(spark, str(tmp_path / name))
+        given = spark.read.parquet(str(tmp_path / name / "orders.parquet")).select("o_orderkey", "o_custkey")
+        assert loaded.dtypes == given.dtypes
+        both = [frame.agg(F.count("*"), F.sum(F.hash("o_orderkey", "o_custkey").cast("long")), F.sum("o_orderkey")).first() for frame in (loaded, given)]
+        assert both[0] == both[1]
+        lines = spark.read.text(written[-1]).groupBy("part", F.input_file_name().alias("file")).count().collect()
+        assert sorted(r["count"] for r in lines if r.part != 0) == [1, 1, 1]
+        rest = [r["count"] for r in lines if r.part == 0]
+        assert (len(rest) > 1 and max(rest) < 0.6 * sum(rest)) if several else rest == [5]
+
+
 def test_columns_with_different_rows(spark, tmp_path):
     (tmp_path / "same.json").write_text('{"a": {"7": 1, "3": 2},\n "b": {"7": "x", "3": null}}')
     (tmp_path / "other.json").write_text('{"a": {"0": 3, "1": 4},\n "c": {"1": true}}')
